@@ -1,4 +1,4 @@
-"""Tokens and n-grams as JVM expressions."""
+"""Tokens and n-grams as JVM expressions, linear in the text even where the optimizer repeats them."""
 
 from __future__ import annotations
 
@@ -24,27 +24,9 @@ def add_terms(df: DataFrame, text: str, out: str, ngram=(1, 1), stop_words: list
 
 
 def _ngrams(tokens: Column, n: int) -> Column:
-    if n == 1:
-        return tokens
-    starts = F.slice(tokens, 1, F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-    return F.transform(starts, lambda _, i: F.array_join(F.slice(tokens, i + 1, n), " "))
-
-
-def add_counts(df: DataFrame, terms: str, out: str) -> DataFrame:
-    """Add ``out``: array of (term, n) sorted by term, by run lengths of the sorted terms: no shuffle."""
-    df = df.withColumn("_sorted", F.array_sort(terms))
-    s = F.col("_sorted")
-    starts = F.filter(
-        F.sequence(F.lit(1), F.greatest(F.size(s), F.lit(1))),
-        lambda i: (F.size(s) > 0) & ((i == 1) | (F.try_element_at(s, i) != F.try_element_at(s, F.greatest(i - 1, F.lit(1))))),
-    )
-    df = df.withColumn("_starts", starts)
-    b = F.col("_starts")
-    counts = F.transform(
-        b,
-        lambda i, j: F.struct(
-            F.element_at(s, i).alias("term"),
-            (F.coalesce(F.try_element_at(b, j + 2), F.size(s) + 1) - i).cast("long").alias("n"),
-        ),
-    )
-    return df.withColumn(out, counts).drop("_sorted", "_starts")
+    """Shifted copies of the token list glued element by element."""
+    length = F.greatest(F.size(tokens) - (n - 1), F.lit(0))
+    out = F.slice(tokens, 1, length)
+    for shift in range(1, n):
+        out = F.zip_with(out, F.slice(tokens, 1 + shift, length), lambda a, b: F.concat(a, F.lit(" "), b))
+    return out

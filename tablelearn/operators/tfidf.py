@@ -1,17 +1,17 @@
-"""TF-IDF over a bounded vocabulary: term counts inside the row, one grouped aggregate to fit, no shuffle to apply."""
+"""TF-IDF over a bounded vocabulary: one grouped aggregate to fit, no shuffle to apply."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import require
-from ..functions.text import add_counts, add_terms
-
-INLINE_TERMS = 1_000
+from ..functions.text import add_terms
 
 
 def _stop_list(stop_words):
@@ -37,11 +37,13 @@ class TfidfVectorizer(Operator):
         require(df, [self.text])
         stop = _stop_list(self.stop_words)
         terms = add_terms(df.select(self.text), self.text, "_terms", self.ngram, stop, self.lowercase)
-        counted = add_counts(terms.select("_terms"), "_terms", "_counts")
+        one = lambda n, d: lambda t: F.struct(t.alias("term"), F.lit(n).alias("n"), F.lit(d).alias("d"))
+        marks = F.concat(F.transform("_terms", one(1, 0)), F.transform(F.array_distinct("_terms"), one(0, 1)))
         n = df.count()
+        # explode_outer: a plain explode would add a size filter that evaluates the tokens twice
         top = (
-            counted.select(F.explode("_counts").alias("e"))
-            .groupBy("e.term").agg(F.sum("e.n").alias("total"), F.count(F.lit(1)).alias("df"))
+            terms.select(F.explode_outer(marks).alias("e")).where("e.term is not null")
+            .groupBy("e.term").agg(F.sum("e.n").alias("total"), F.sum("e.d").alias("df"))
             .orderBy(F.desc("total"), "term").limit(self.max_features).collect()
         )
         if not top:
@@ -62,28 +64,26 @@ class TfidfModel(Fitted):
         """``tfidf_features`` map (non-zero terms) and dense ``tfidf_vector``."""
         require(df, [self.text])
         out = add_terms(df, self.text, "_terms", self.ngram, self.stop_words, self.lowercase)
-        out = out.withColumn("_kept", F.filter("_terms", lambda t: t.isin(self.terms))).drop("_terms")
-        out = add_counts(out, "_kept", "_counts").drop("_kept")
-        if len(self.terms) <= INLINE_TERMS:
-            entries = [x for t, w in zip(self.terms, self.idf) for x in (F.lit(t), F.lit(w))]
-            idf = F.create_map(*entries)
-            weights = F.transform("_counts", lambda e: F.struct(e["term"].alias("term"), (e["n"] * idf[e["term"]]).alias("w")))
-        else:
-            weights = self._looked_up(F.col("_counts"))
-        out = out.withColumn("_weights", weights).drop("_counts")
-        norm = F.sqrt(F.aggregate("_weights", F.lit(0.0), lambda a, e: a + e["w"] * e["w"]))
-        out = out.withColumn("_norm", norm)
-        scaled = F.transform("_weights", lambda e: F.struct(e["term"], e["w"] / F.col("_norm")))
-        out = out.withColumn("tfidf_features", F.map_from_entries(scaled)).drop("_weights", "_norm")
-        dense = F.transform(F.array(*[F.lit(t) for t in self.terms]), lambda t: F.coalesce(F.col("tfidf_features")[t], F.lit(0.0)))
-        return out.withColumn("tfidf_vector", dense)
-
-    def _looked_up(self, counts):
-        """Hash lookup for a wide vocabulary, where a linear map scan per term would be slow."""
-        idf = dict(zip(self.terms, self.idf))
-
-        @F.pandas_udf("array<struct<term:string,w:double>>")
-        def weigh(rows):
-            return rows.map(lambda row: [{"term": e["term"], "w": e["n"] * idf[e["term"]]} for e in row])
-
-        return weigh(counts)
+        kept = F.filter("_terms", lambda t: t.isin(self.terms))
+        out = out.withColumn("_weights", self._weigh()(kept)).drop("_terms")
+        features = F.map_from_arrays("_weights.terms", "_weights.values")
+        return out.withColumn("tfidf_features", features).withColumn("tfidf_vector", F.col("_weights.vector")).drop("_weights")
+
+    def _weigh(self):
+        """Counts of the vocabulary terms of one row times idf, scaled to length 1; sparse and dense form."""
+        position = {t: i for i, t in enumerate(self.terms)}
+        terms, idf = self.terms, np.array(self.idf)
+
+        @F.pandas_udf("struct<terms:array<string>,values:array<double>,vector:array<double>>")
+        def weigh(rows: pd.Series) -> pd.DataFrame:
+            out = []
+            for row in rows:
+                at = np.array([position[t] for t in row], dtype=np.int64)
+                dense = np.bincount(at, minlength=len(idf)) * idf
+                size = np.sqrt((dense * dense).sum())
+                dense = dense / size if size else dense
+                hit = np.flatnonzero(dense)
+                out.append(([terms[i] for i in hit], dense[hit], dense))
+            return pd.DataFrame(out, columns=["terms", "values", "vector"])
+
+        return weigh

@@ -69,8 +69,9 @@ def moments_by(data: DataFrame, cols: list[str], group: Column) -> dict:
     width = 1 + d + len(upper[0])
 
     def partial(batches):
-        totals = {}
+        totals, kind = {}, None
         for batch in batches:
+            kind = batch.schema.field(0).type
             keys = np.array(batch.column(0).to_pylist(), dtype=object)
             x = np.column_stack([batch.column(1 + i).to_numpy(zero_copy_only=False) for i in range(d)])
             for key in set(keys):
@@ -79,7 +80,7 @@ def moments_by(data: DataFrame, cols: list[str], group: Column) -> dict:
                 totals[key] = totals.get(key, 0.0) + sums
         for key, sums in totals.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array([key] * width), pa.array(np.arange(width, dtype=np.int32)), pa.array(sums)], names=["g", "pos", "v"]
+                [pa.array([key] * width, kind), pa.array(np.arange(width, dtype=np.int32)), pa.array(sums)], names=["g", "pos", "v"]
             )
 
     kind = rows.schema["_g"].dataType.simpleString()
