@@ -72,7 +72,7 @@ def r_squared(m: Moments, w, b) -> float:
     residual = m.cross[-1, -1] - 2 * w @ m.cross[:-1, -1] + w @ m.cross[:-1, :-1] @ w
     bias = m.mean[-1] - b - m.mean[:-1] @ w
     sse = max(0.0, residual + m.n * bias * bias)
-    return 1.0 - sse / m.cross[-1, -1] if m.cross[-1, -1] > 0 else float(sse == 0)
+    return float(1.0 - sse / m.cross[-1, -1]) if m.cross[-1, -1] > 0 else float(sse == 0)
 
 
 class _LeastSquares(Operator):

@@ -1,11 +1,7 @@
 """Named queries over the given tables."""
 
-from . import evaluate, features, prep  # noqa: F401
+from . import evaluate, features, models, prep  # noqa: F401
 from .base import ORACLES, QUERIES
-
-
-def flagship(spark, sf):
-    raise NotImplementedError
-
+from .models import flagship
 
 __all__ = ["ORACLES", "QUERIES", "flagship"]
