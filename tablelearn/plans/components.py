@@ -8,11 +8,15 @@ from .lineage import checkpointed
 from .skew import hot_safe_join
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """``edges`` (a, b) -> (node, comp) with comp = smallest node of the component; nodes without edges are absent.
+FINISH_EDGES = 20_000
+
+
+def components(edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:
+    """``edges`` (a, b) of longs -> (node, comp) with comp = smallest node; nodes without edges are absent.
 
     Each round every node hooks to its smallest neighbour, parents are followed two steps, and the graph is
-    contracted, so the edge table shrinks geometrically. Rounds are cut with reliable checkpoints.
+    contracted, so the edge table shrinks geometrically. Rounds are cut with written tables. Once at most
+    ``finish_edges`` edges are left the remaining small graph is finished in one step.
     """
     current = _contract(edges.where(F.col("a") != F.col("b")))
     current = checkpointed(current)
@@ -21,10 +25,12 @@ def components(edges: DataFrame) -> DataFrame:
         size = current.count()
         if size == 0:
             break
+        if size <= finish_edges:
+            maps.append(_finish(current))
+            break
         both = current.select("a", "b").union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parent = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p"))
-        parent = checkpointed(parent)
-        parent = checkpointed(_jump(_jump(parent, size), size))
+        parent = checkpointed(_jump(_jump(checkpointed(parent), size), size))
         maps.append(parent)
         left = hot_safe_join(current, parent.withColumnRenamed("p", "pa"), ["a"], rows=size)
         right = parent.select(F.col("a").alias("b"), F.col("p").alias("pb"))
@@ -40,6 +46,22 @@ def components(edges: DataFrame) -> DataFrame:
     return checkpointed(labels)
 
 
+def _finish(current):
+    """Parents of a small graph (its size is checked by the caller)."""
+    up = {}
+
+    def root(v):
+        while up.setdefault(v, v) != v:
+            up[v] = up[up[v]]
+            v = up[v]
+        return v
+
+    for row in current.collect():
+        a, b = root(row.a), root(row.b)
+        up[max(a, b)] = min(a, b)
+    return current.sparkSession.createDataFrame([(v, root(v)) for v in list(up)], "a long, p long")
+
+
 def _contract(edges):
     return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 

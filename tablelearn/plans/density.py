@@ -105,9 +105,11 @@ def _grid(points, dims, eps, min_samples, metric):
         tagged = tagged.withColumn("core", F.lit(True))
     core = tagged.where("core").drop("cell_w", "cell_n")
     core_cells = checkpointed(core.groupBy(*g).agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("cell_n")))
-    links = _cell_links(core, core_cells, g, x, axes, side, parts, offsets, eps, metric)
-    comps = components(links)
-    labelled = core_cells.join(comps, core_cells.rep == comps.node, "left").select(*g, "cell_n", F.coalesce("comp", "rep").alias("label"))
+    comps = _cell_components(core, core_cells, g, x, axes, side, parts, offsets, eps, metric)
+    if comps is None:
+        labelled = core_cells.select(*g, "cell_n", F.col("rep").alias("label"))
+    else:
+        labelled = core_cells.join(comps, core_cells.rep == comps.node, "left").select(*g, "cell_n", F.coalesce("comp", "rep").alias("label"))
     labelled = checkpointed(labelled)
     core_labels = hot_safe_join(core, labelled.drop("cell_n"), g, rows=n).select("key", "label")
     if min_samples > 1:
@@ -117,8 +119,8 @@ def _grid(points, dims, eps, min_samples, metric):
     return tagged.select("key", "core").join(core_labels, "key", "left")
 
 
-def _cell_links(core, core_cells, g, x, axes, side, parts, offsets, eps, metric):
-    """(a, b) pairs of cell representatives that hold two core rows within eps."""
+def _cell_components(core, core_cells, g, x, axes, side, parts, offsets, eps, metric):
+    """(node, comp) over the cell representatives; two cells are linked when they hold core rows within eps."""
     sub = [f"s{i}" for i in axes]
     cut = [F.least(F.floor((F.col(f"x{i}") / F.lit(side) - F.col(f"g{i}")) * parts), F.lit(parts - 1)).cast("int").alias(f"s{i}") for i in axes]
     core = core.select("*", *cut)
@@ -127,7 +129,7 @@ def _cell_links(core, core_cells, g, x, axes, side, parts, offsets, eps, metric)
     boxes = checkpointed(boxes)
     half = [o for o in offsets if o > tuple(0 for _ in axes)]
     if not half:
-        return core_cells.select(F.col("rep").alias("a"), F.col("rep").alias("b")).limit(0)
+        return None
     names = [c for c in boxes.columns if c not in g]
     moved = F.explode(F.array(*[F.struct(*[(F.col(f"g{i}") + o[i]).alias(f"g{i}") for i in axes]) for o in half]))
     here = boxes.select(*[F.col(c).alias(f"p_{c}") for c in names], *[F.col(c).alias(f"p_{c}") for c in g], moved.alias("t"))
@@ -144,14 +146,19 @@ def _cell_links(core, core_cells, g, x, axes, side, parts, offsets, eps, metric)
     for side_ in ("a", "b"):
         named = comps.select(F.col("node").alias(side_), F.col("comp").alias(f"c{side_}"))
         open_ = open_.join(named, side_, "left").withColumn(f"c{side_}", F.coalesce(f"c{side_}", side_))
-    open_ = open_.where("ca != cb")
+    open_ = checkpointed(open_.where("ca != cb"))
+    if open_.isEmpty():
+        return comps
     slices = lambda c: F.ceil(F.col(c) / SLICE_ROWS).cast("int")
     open_ = open_.withColumn("pt", slices("p_box_n")).withColumn("nt", slices("box_n"))
     open_ = open_.withColumn("ps", F.explode(F.sequence(F.lit(0), F.col("pt") - 1))).withColumn("ns", F.explode(F.sequence(F.lit(0), F.col("nt") - 1)))
     sliced = core.join(boxes.select(*g, *sub, "box_n"), [*g, *sub]).withColumn("sl", F.pmod(F.xxhash64("key"), slices("box_n")).cast("int"))
     first = sliced.select(*[F.col(c).alias(f"p_{c}") for c in [*g, *sub]], F.col("sl").alias("ps"), *[F.col(c).alias(f"p_{c}") for c in x])
     second = sliced.select(*g, *sub, F.col("sl").alias("ns"), *x)
-    pairs = open_.select("a", "b", "ps", "ns", *g, *sub, *[f"p_{c}" for c in [*g, *sub]])
+    pairs = open_.select("ca", "cb", "ps", "ns", *g, *sub, *[f"p_{c}" for c in [*g, *sub]])
     pairs = pairs.join(first, [*[f"p_{c}" for c in [*g, *sub]], "ps"]).join(second, [*g, *sub, "ns"])
     near = _length([F.abs(F.col(f"x{i}") - F.col(f"p_x{i}")) for i in axes], metric) <= F.lit(eps)
-    return sure.unionByName(pairs.where(near).select("a", "b").distinct())
+    late = components(pairs.where(near).select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
+    late = late.select(F.col("node").alias("comp"), F.col("comp").alias("late"))
+    every = comps.unionByName(late.select(F.col("comp").alias("node"), "comp")).distinct()  # cells linked only late
+    return hot_safe_join(every, late, ["comp"], "left").select("node", F.coalesce("late", "comp").alias("comp"))
