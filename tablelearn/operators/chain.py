@@ -59,7 +59,7 @@ class Chain(Operator):
         if estimator != "none" and target is None:
             raise ValueError("an estimator needs a target")
         self.cols, self.preprocessors, self.estimator, self.target = names(cols), list(preprocessors), estimator, target
-        self.pca_components, self.degree, self.params = pca_components, degree, params or {}
+        self.pca_components, self.degree, self.member_params = pca_components, degree, params or {}
 
     def _fit(self, df):
         require(df, self.cols + ([self.target] if self.target else []))
@@ -74,7 +74,7 @@ class Chain(Operator):
             has_estimator=self.estimator != "none", stages=[s.to_json() for s in stages], last=None, score=None,
         )
         if self.estimator != "none":
-            model.estimator = make(self.estimator, cols, self.target, **self.params).fit(rows)
+            model.estimator = make(self.estimator, cols, self.target, **self.member_params).fit(rows)
             scored = model.transform(df)
             if is_regressor(self.estimator):
                 model.state["score"] = regression_metrics(scored, self.target, "prediction").first().r2

@@ -143,7 +143,7 @@ def dbscan_summary(clustered: DataFrame) -> DataFrame:
 
 
 LINKAGES = ("ward", "complete", "average", "single")
-MICRO_CLUSTERS = 512
+MICRO_CLUSTERS = 256
 
 
 def merge_tree(size: np.ndarray, dist: np.ndarray, linkage: str, k: int) -> np.ndarray:
@@ -242,7 +242,7 @@ def _single_count(unique, k, inner):
 def _two_stage(unique, k, linkage, inner, metric, seed, micro):
     data = unique.select("key", "x", feature_vector(unique, ["x"]).alias("features"), F.col("w").cast("double").alias("wt")).persist()
     try:
-        model = MLKMeans(k=micro, maxIter=20, seed=seed, weightCol="wt").fit(data)
+        model = MLKMeans(k=micro, maxIter=10, seed=seed, weightCol="wt").fit(data)
         tagged = checkpointed(model.transform(data).select("key", "prediction", "wt"))
     finally:
         data.unpersist()

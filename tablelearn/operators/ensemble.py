@@ -10,7 +10,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression as MLLogistic
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import class_index, class_map, class_value, names, require, sorted_classes
@@ -27,7 +27,8 @@ def fit_all(jobs, parallelism: int = PARALLEL_FITS) -> list:
     if len(jobs) == 1:
         return [jobs[0]()]
     with ThreadPool(min(parallelism, len(jobs))) as pool:
-        return pool.map(lambda job: job(), [inheritable_thread_target(job) for job in jobs])
+        spark = SparkSession.getActiveSession()
+        return pool.map(lambda job: job(), [inheritable_thread_target(spark)(job) for job in jobs])
 
 
 def _members(estimators, cols, target, id_col, params):
@@ -66,13 +67,13 @@ class VotingClassifier(Operator):
         if voting not in ("hard", "soft"):
             raise ValueError("voting must be hard or soft")
         self.cols, self.target, self.estimators, self.voting = names(cols), target, list(estimators), voting
-        self.id_col, self.params, self.parallelism = id_col, params, parallelism
+        self.id_col, self.member_params, self.parallelism = id_col, params, parallelism
 
     def _fit(self, df):
         require(df, [*self.cols, self.target])
         needed = df.select(*dict.fromkeys([*self.cols, self.target, *([self.id_col] if self.id_col else [])])).persist()
         try:
-            ops = _members(self.estimators, self.cols, self.target, self.id_col, self.params)
+            ops = _members(self.estimators, self.cols, self.target, self.id_col, self.member_params)
             fitted = fit_all([lambda op=op: op.fit(needed) for op in ops], self.parallelism)
             model = VotingModel(
                 cols=self.cols, target=self.target, estimators=self.estimators, voting=self.voting,
@@ -126,7 +127,7 @@ class StackingClassifier(Operator):
         if final not in FINALS:
             raise ValueError(f"final must be one of {FINALS}")
         self.cols, self.target, self.id_col, self.estimators = names(cols), target, id_col, list(estimators)
-        self.final, self.cv, self.seed, self.params, self.parallelism = final, int(cv), seed, params, parallelism
+        self.final, self.cv, self.seed, self.member_params, self.parallelism = final, int(cv), seed, params, parallelism
 
     def _fit(self, df):
         require(df, [*self.cols, self.target, self.id_col])
@@ -137,7 +138,7 @@ class StackingClassifier(Operator):
             def one(fold):
                 train = folded.where(F.col("_fold") != fold)
                 out = folded.where(F.col("_fold") == fold)
-                for i, op in enumerate(_members(self.estimators, self.cols, self.target, self.id_col, self.params)):
+                for i, op in enumerate(_members(self.estimators, self.cols, self.target, self.id_col, self.member_params)):
                     out = _scored(out, op.fit(train), f"_m{i}")
                 return _meta(out, len(self.estimators), len(classes)).select(*_meta_names(len(self.estimators), len(classes)), self.target)
 
@@ -146,8 +147,8 @@ class StackingClassifier(Operator):
             for p in parts[1:]:
                 held = held.unionByName(p)
             held = checkpointed(held)
-            final = make(self.final, _meta_names(len(self.estimators), len(classes)), self.target, **(self.params or {}).get(self.final, {})).fit(held)
-            ops = _members(self.estimators, self.cols, self.target, self.id_col, self.params)
+            final = make(self.final, _meta_names(len(self.estimators), len(classes)), self.target, **(self.member_params or {}).get(self.final, {})).fit(held)
+            ops = _members(self.estimators, self.cols, self.target, self.id_col, self.member_params)
             fitted = fit_all([lambda op=op: op.fit(folded) for op in ops], self.parallelism)
             model = StackingModel(
                 cols=self.cols, target=self.target, estimators=self.estimators, final=self.final, cv=self.cv, classes=classes,
@@ -222,7 +223,7 @@ class CalibratedClassifier(Operator):
         if method not in ("sigmoid", "isotonic"):
             raise ValueError("method must be sigmoid or isotonic")
         self.cols, self.target, self.id_col, self.base, self.method = names(cols), target, id_col, base, method
-        self.cv, self.seed, self.params, self.parallelism = int(cv), seed, params or {}, parallelism
+        self.cv, self.seed, self.member_params, self.parallelism = int(cv), seed, params or {}, parallelism
 
     def _fit(self, df):
         require(df, [*self.cols, self.target, self.id_col])
@@ -231,7 +232,7 @@ class CalibratedClassifier(Operator):
         extra = {"probability": False} if self.base == "SVC" else {}
 
         def one(fold):
-            member = make(self.base, self.cols, self.target, **extra, **self.params).fit(folded.where(F.col("_fold") != fold))
+            member = make(self.base, self.cols, self.target, **extra, **self.member_params).fit(folded.where(F.col("_fold") != fold))
             held = _score_columns(member.transform(folded.where(F.col("_fold") == fold)), member, len(classes))
             picked = [1] if len(classes) == 2 else list(range(len(classes)))
             index = class_index(F.col(f"`{self.target}`"), classes)

@@ -180,9 +180,10 @@ class _Boosted(MLOperator):
     def estimator(self, classes, n):
         if not self.classify:
             return mlr.GBTRegressor(**self.settings, **self.columns())
-        if len(classes) <= 2:
-            return mlc.GBTClassifier(**self.settings, **self.columns())
-        return OneVsRest(mlc.GBTClassifier(**self.settings, **self.columns()), len(classes))
+        cols = self.columns()
+        probability, raw = cols.pop("probabilityCol"), cols.pop("rawPredictionCol")
+        binary = mlc.GBTClassifier(**self.settings, **cols).setProbabilityCol(probability).setRawPredictionCol(raw)
+        return binary if len(classes) <= 2 else OneVsRest(binary, len(classes))
 
     def describe(self, model):
         return {"n_estimators": self.settings["maxIter"]}

@@ -256,7 +256,7 @@ def _(spark, sf):
 @query("cv_loo", """
 WITH s AS (SELECT count(*) AS n, avg(c_nationkey) AS m, var_pop(c_nationkey) * count(*) AS v, regr_slope(c_acctbal, c_nationkey) AS b,
                   regr_intercept(c_acctbal, c_nationkey) AS a FROM customer)
-SELECT c_custkey AS id, round(-((c_acctbal - a - b * c_nationkey) / (1 - 1 / n - (c_nationkey - m) ** 2 / v)) ** 2, 1) + 0.0 AS test_score FROM customer, s""")
+SELECT c_custkey AS id, round(-1 * ((c_acctbal - a - b * c_nationkey) / (1 - 1 / n - (c_nationkey - m) ** 2 / v)) ** 2, 1) + 0.0 AS test_score FROM customer, s""")
 def _(spark, sf):
     out = leave_one_out(table(spark, sf, "customer"), "c_custkey", "LinearRegression", "c_nationkey", "c_acctbal")
     return out.select("id", r("test_score", 1).alias("test_score"))
