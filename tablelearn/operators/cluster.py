@@ -19,8 +19,15 @@ from ..plans.skew import hot_safe_join
 from ..plans.sums import lists_to_matrix, sum_vectors
 
 
+UNROLLED_COLUMNS = 16
+
+
 def squared_gap(x: Column, center: list[float]) -> Column:
-    """Squared Euclidean distance of an array column to a fixed point."""
+    """Squared Euclidean distance of an array column to a fixed point. Few columns: codegen arithmetic; many: one
+    array expression, so the generated code stays small."""
+    if len(center) > UNROLLED_COLUMNS:
+        point = F.array(*[F.lit(float(c)) for c in center])
+        return F.aggregate(F.zip_with(x, point, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v)
     parts = [(x[i] - F.lit(float(c))) * (x[i] - F.lit(float(c))) for i, c in enumerate(center)]
     return sum(parts[1:], parts[0])
 

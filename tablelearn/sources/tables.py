@@ -7,3 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a plain scan over all cores when the files give fewer splits than there are cores, ahead of
+    CPU-heavy row work. A large table has enough splits and is left alone, without a shuffle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablelearn.functions.columns import rounded as r
-from tablelearn.sources.tables import table
+from tablelearn.sources.tables import spread, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,4 +25,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-__all__ = ["DataFrame", "F", "ORACLES", "QUERIES", "query", "r", "table"]
+__all__ = ["DataFrame", "F", "ORACLES", "QUERIES", "query", "r", "spread", "table"]

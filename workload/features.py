@@ -6,7 +6,7 @@ from tablelearn.operators.decompose import NMF, PCA, PCAModel, TruncatedSVD, Tru
 from tablelearn.operators.select import RFE, SelectKBest, SelectPercentile, VarianceThreshold, score_features
 from tablelearn.operators.tfidf import TfidfVectorizer
 
-from .base import F, query, r, table
+from .base import F, query, r, spread, table
 
 STOP = ["the", "of", "and", "to", "in", "is", "for", "on", "with", "as", "de", "la", "der", "die", "und", "el"]
 TERMS_SQL = """
@@ -29,18 +29,19 @@ def _terms_sql(raw, k, stop=STOP):
 
 
 def _long(out):
-    return out.select("doc_id", F.explode("tfidf_features").alias("term", "w")).select("doc_id", "term", r("w").alias("weight"))
+    long = out.select("doc_id", F.explode_outer("tfidf_features").alias("term", "w")).where("term is not null")
+    return long.select("doc_id", "term", r("w").alias("weight"))
 
 
 @query("tfidf_fit_transform", _terms_sql(UNIGRAMS, 100) + WEIGHTS_SQL)
 def _(spark, sf):
-    out, _model = TfidfVectorizer("text", 100, stop_words=STOP).fit_transform(table(spark, sf, "documents"))
+    out, _model = TfidfVectorizer("text", 100, stop_words=STOP).fit_transform(spread(table(spark, sf, "documents")))
     return _long(out)
 
 
 @query("tfidf_vocabulary", _terms_sql(BIGRAMS, 200, []) + "SELECT term, position, total, round(idf, 6) AS idf FROM idf")
 def _(spark, sf):
-    model = TfidfVectorizer("text", 200, ngram=(1, 2), stop_words="none").fit(table(spark, sf, "documents"))
+    model = TfidfVectorizer("text", 200, ngram=(1, 2), stop_words="none").fit(spread(table(spark, sf, "documents")))
     return model.vocabulary(spark).select("term", "position", "total", r("idf").alias("idf"))
 
 
@@ -51,8 +52,8 @@ cv AS (SELECT conv_id, turn, term, n * idf AS w FROM ct JOIN idf USING (term)),
 cn AS (SELECT conv_id, turn, sqrt(sum(w * w)) AS z FROM cv GROUP BY ALL)
 SELECT conv_id, turn, position, round(w / z, 6) AS weight FROM cv JOIN cn USING (conv_id, turn) JOIN idf USING (term)""")
 def _(spark, sf):
-    model = TfidfVectorizer("text", 50, stop_words=STOP).fit(table(spark, sf, "documents"))
-    out = model.transform(table(spark, sf, "conversations"))
+    model = TfidfVectorizer("text", 50, stop_words=STOP).fit(spread(table(spark, sf, "documents")))
+    out = model.transform(spread(table(spark, sf, "conversations")))
     return out.select("conv_id", "turn", F.posexplode("tfidf_vector").alias("position", "w")).where("w != 0").select(
         "conv_id", "turn", "position", r("w").alias("weight"))
 
@@ -146,7 +147,7 @@ LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def _scaled_lines(spark, sf):
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         (F.col("l_quantity") / 50).alias("q"), (F.col("l_extendedprice") / 100000).alias("p"), (F.col("l_discount") * 10).alias("d"), (F.col("l_tax") * 10).alias("t"))
 
 

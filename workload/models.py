@@ -14,17 +14,17 @@ from tablelearn.operators.trees import (
     RandomForestClassifier, RandomForestRegressor,
 )
 
-from .base import F, query, r, table
+from .base import F, query, r, spread, table
 
 
 def _lines(spark, sf):
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem")).select(
         F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.col("l_tax").alias("t"), F.col("l_linenumber").alias("ln"),
         F.col("l_extendedprice").alias("y"), F.col("l_returnflag").alias("f"))
 
 
 def _orders(spark, sf):
-    return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") / 100000).alias("p"), (F.col("o_custkey") / 1000).alias("c"))
+    return spread(table(spark, sf, "orders")).select("o_orderkey", "o_orderstatus", (F.col("o_totalprice") / 100000).alias("p"), (F.col("o_custkey") / 1000).alias("c"))
 
 
 def _one(spark, values: dict, digits: dict | None = None):
