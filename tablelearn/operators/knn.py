@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import class_index, class_map, class_value, names, require, sorted_classes
+from ..plans.lineage import checkpointed
 from ..plans.neighbors import METRICS, knn, points
+from ..plans.skew import hot_safe_join
 
 
 class _KNN(Operator):
@@ -58,9 +60,9 @@ class KNNModel(Fitted):
     def transform_by(self, queries: DataFrame, id_col: str | None = None, exclude_self=False) -> DataFrame:
         """prediction, neighbor_distances, neighbor_ids (+ probabilities, class_probabilities for classes)."""
         id_col = id_col or self.id_col
-        found = self.neighbors(queries, id_col, exclude_self)
+        found = checkpointed(self.neighbors(queries, id_col, exclude_self))
         labels = self.train.select(F.col(f"`{self.id_col}`").cast("long").alias("neighbor"), F.col(f"`{self.target}`").alias("y"))
-        found = found.join(labels, "neighbor")
+        found = hot_safe_join(found, labels, ["neighbor"])  # one row may be the neighbour of very many queries
         if self.weights == "uniform":
             weight = F.lit(1.0)
         else:  # a neighbour at distance 0 takes all the weight

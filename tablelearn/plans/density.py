@@ -152,7 +152,7 @@ def _cell_components(core, core_cells, g, x, axes, side, parts, offsets, eps, me
     slices = lambda c: F.ceil(F.col(c) / SLICE_ROWS).cast("int")
     open_ = open_.withColumn("pt", slices("p_box_n")).withColumn("nt", slices("box_n"))
     open_ = open_.withColumn("ps", F.explode(F.sequence(F.lit(0), F.col("pt") - 1))).withColumn("ns", F.explode(F.sequence(F.lit(0), F.col("nt") - 1)))
-    sliced = core.join(boxes.select(*g, *sub, "box_n"), [*g, *sub]).withColumn("sl", F.pmod(F.xxhash64("key"), slices("box_n")).cast("int"))
+    sliced = hot_safe_join(core, boxes.select(*g, *sub, "box_n"), [*g, *sub]).withColumn("sl", F.pmod(F.xxhash64("key"), slices("box_n")).cast("int"))
     first = sliced.select(*[F.col(c).alias(f"p_{c}") for c in [*g, *sub]], F.col("sl").alias("ps"), *[F.col(c).alias(f"p_{c}") for c in x])
     second = sliced.select(*g, *sub, F.col("sl").alias("ns"), *x)
     pairs = open_.select("ca", "cb", "ps", "ns", *g, *sub, *[f"p_{c}" for c in [*g, *sub]])
