@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import functions as F
 
 from ..core import Fitted, Operator, with_columns
 from ..functions.columns import as_double, as_matrix_columns, feature_array, linear, names, require
@@ -202,8 +203,6 @@ class NMFModel(Fitted):
 
         @F.pandas_udf("array<double>")
         def weights(x):
-            import pandas as pd
-
             return pd.Series(list(nonnegative_weights(np.stack(x.to_numpy()), h))) if len(x) else pd.Series([], dtype=object)
 
         out = df.withColumn("_w", weights(feature_array(df, self.cols)))

@@ -25,6 +25,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` once and read it back. The new plan is a plain scan: it survives lost executors, prunes columns,
     and carries none of the inferred constraints that make the plans of long loops slow to optimise."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/tablelearn-{uuid.uuid4().hex}"
+    path = f"{_own_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{checkpoint_folder(spark)}/tablelearn-{spark.sparkContext.applicationId}"
+
+
+def drop_checkpoints(spark: SparkSession) -> None:
+    """Delete the tables this application has written, once no result that reads them is needed any more."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

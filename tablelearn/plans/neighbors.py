@@ -13,6 +13,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import feature_array, require
 from .lineage import checkpointed
@@ -23,6 +24,13 @@ BLOCK_ROWS = 1_024
 MAX_PIVOTS = 2_048
 
 
+def pieces(batches, rows: int = 1_024):
+    """Arrow batches cut short, so that a rows x pivots matrix stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """All distances between two small blocks, added up one dimension at a time."""
     out = np.zeros((len(a), len(b)))
@@ -85,15 +93,11 @@ class PivotCells:
 
     def _assigned(self, rows):
         pivots, metric = self.pivots, self.metric
-        from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
-
         schema = StructType(list(rows.schema.fields) + [StructField("cell", IntegerType()), StructField("r", DoubleType())])
         at = rows.columns.index("x")
 
         def assign(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in pieces(batches):
                 d = distances(lists_to_matrix(batch.column(at)), pivots, metric)
                 cell = d.argmin(axis=1)
                 cols = list(batch.columns) + [pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])]
@@ -104,16 +108,12 @@ class PivotCells:
     def route(self, queries: DataFrame, eps: float | None = None, k: int | None = None) -> DataFrame:
         """One copy of each query row per cell that can hold a row within ``eps``, or one of its ``k`` nearest."""
         pivots, metric, count, lo, hi = self.pivots, self.metric, self.count, self.lo, self.hi
-        from pyspark.sql.types import IntegerType, StructField, StructType
-
         schema = StructType(list(queries.schema.fields) + [StructField("cell", IntegerType())])
         at = queries.columns.index("x")
         slack = 1e-9
 
         def send(batches):
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
+            for batch in pieces(batches):
                 d = distances(lists_to_matrix(batch.column(at)), pivots, metric)
                 if eps is not None:
                     bound = np.full(len(d), eps)

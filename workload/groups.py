@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from tablelearn.operators.anomaly import IsolationForest
 from tablelearn.operators.chain import Chain
 from tablelearn.operators.cluster import KMeans, KMeansModel, MeanShift, agglomerative, dbscan, dbscan_summary, shift_seeds, spectral
@@ -135,8 +137,6 @@ SEEDS = [[1.0, 1.0], [4.0, 4.0], [2.0, 3.0]]
 @query("mean_shift_step", f"WITH {PART_X}, s AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(SEEDS)) + """) t(seed, sa, sb))
 SELECT seed, count(*) AS n, round(avg(a), 6) AS a, round(avg(b), 6) AS b FROM x JOIN s ON (a - sa) ** 2 + (b - sb) ** 2 <= 1.0 GROUP BY seed""")
 def _(spark, sf):
-    import numpy as np
-
     mean, count = shift_seeds(points(_parts(spark, sf), "id", ["a", "b"], "euclidean"), np.array(SEEDS), 1.0)
     rows = [(i, int(n), *map(float, m)) for i, (m, n) in enumerate(zip(mean, count))]
     out = spark.createDataFrame(rows, "seed int, n long, a double, b double")
