@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+WELFORD_COLUMNS = 4
 JVM_COLUMNS = 12
 PROBE_ROWS = 512
 
@@ -45,11 +46,14 @@ def moments(data: DataFrame, cols: list[str]) -> Moments:
 def moments_by(data: DataFrame, cols: list[str], group: Column) -> dict:
     """{group: Moments}. The group count must be small (folds, classes).
 
-    Few columns: plain sums inside whole-stage codegen. Many columns: one d x d product per Arrow batch, summed
-    by entry, so the driver sees d(d+1)/2 numbers per group whatever the row or partition count. All sums are
-    taken around the mean of a few probe rows, which keeps large offsets from cancelling.
+    Up to WELFORD_COLUMNS columns: Spark's own covariance aggregates. Up to JVM_COLUMNS: plain sums inside
+    whole-stage codegen. More: one d x d product per Arrow batch, summed by entry, so the driver sees d(d+1)/2
+    numbers per group whatever the row or partition count. Sums are taken around the mean of a few probe rows,
+    which keeps large offsets from cancelling.
     """
     d = len(cols)
+    if d <= WELFORD_COLUMNS:
+        return _by_covariance(data, cols, group)
     probe = data.select(*[F.col(f"`{c}`") for c in cols]).limit(PROBE_ROWS).agg(*[F.avg(f"`{c}`") for c in cols]).first()
     shift = np.array([float(v) if v is not None else 0.0 for v in probe])
     rows = data.select(group.alias("_g"), *[(F.col(f"`{c}`") - F.lit(float(s))).alias(f"x{i}") for i, (c, s) in enumerate(zip(cols, shift))])
@@ -96,6 +100,18 @@ def moments_by(data: DataFrame, cols: list[str], group: Column) -> dict:
     return out
 
 
+def _by_covariance(data, cols, group) -> dict:
+    x = [F.col(f"`{c}`") for c in cols]
+    d = len(cols)
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(x[i]).alias(f"m{i}") for i in range(d)]
+    aggs += [(F.var_pop(x[i]) if i == j else F.covar_pop(x[i], x[j])).alias(f"p{i}_{j}") for i in range(d) for j in range(i, d)]
+    out = {}
+    for row in data.groupBy(group.alias("_g")).agg(*aggs).collect():
+        cross = np.array([[row[f"p{min(i, j)}_{max(i, j)}"] for j in range(d)] for i in range(d)], dtype=float)
+        out[row["_g"]] = Moments(row["n"], np.array([row[f"m{i}"] for i in range(d)], dtype=float), cross * row["n"])
+    return out
+
+
 def _centre(n, first, second, shift) -> Moments:
     offset = first / n
     return Moments(int(n), shift + offset, second - n * np.outer(offset, offset))

@@ -120,7 +120,7 @@ def test_running_total_and_hot_join(spark, monkeypatch):
     assert sorted(map(tuple, fast.select("id", "k", "v").collect()), key=str) == sorted(map(tuple, left.join(right, ["k"], "left").select("id", "k", "v").collect()), key=str)
 
 
-@pytest.mark.parametrize("d", [3, 14])
+@pytest.mark.parametrize("d", [3, 7, 14])
 def test_moments_match_numpy_with_large_offsets(spark, d):
     x = np.random.default_rng(2).normal(1e6, 1.0, (400, d))
     df, cols = frame(spark, x)

@@ -17,8 +17,9 @@ from tablelearn.operators.trees import (
 from .base import F, query, r, spread, table
 
 
-def _lines(spark, sf):
-    return spread(table(spark, sf, "lineitem")).select(
+def _lines(spark, sf, heavy=False):
+    lines = table(spark, sf, "lineitem")
+    return (spread(lines) if heavy else lines).select(
         F.col("l_quantity").alias("q"), F.col("l_discount").alias("d"), F.col("l_tax").alias("t"), F.col("l_linenumber").alias("ln"),
         F.col("l_extendedprice").alias("y"), F.col("l_returnflag").alias("f"))
 
@@ -305,14 +306,14 @@ def _(spark, sf):
 
 @query("decision_tree_regressor_predict", REG_STUMP + "SELECT round(prediction, 6) AS prediction, n FROM p")
 def _(spark, sf):
-    lines = _lines(spark, sf)
+    lines = _lines(spark, sf, heavy=True)
     out = DecisionTreeRegressor(["ln", "t"], "q", max_depth=1, with_score=False).fit(lines).transform(lines)
     return out.groupBy(r("prediction").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("gbt_regressor_stump", REG_STUMP + "SELECT round(prediction, 6) AS prediction, n FROM p")
 def _(spark, sf):
-    lines = _lines(spark, sf)
+    lines = _lines(spark, sf, heavy=True)
     out = GradientBoostingRegressor(["ln", "t"], "q", n_estimators=1, max_depth=1, with_score=False).fit(lines).transform(lines)
     return out.groupBy(r("prediction").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -325,7 +326,7 @@ def _(spark, sf):
 
 @query("decision_tree_classifier_predict", CLS_STUMP + "SELECT prediction, sum(n)::BIGINT AS n FROM p GROUP BY 1")
 def _(spark, sf):
-    lines = _lines(spark, sf)
+    lines = _lines(spark, sf, heavy=True)
     out = DecisionTreeClassifier(["ln", "t"], "f", max_depth=1, with_score=False).fit(lines).transform(lines)
     return out.groupBy("prediction").agg(F.count(F.lit(1)).alias("n"))
 
@@ -350,13 +351,13 @@ TREE_MODELS = {
 for _name, _make in TREE_MODELS.items():
     @query(f"{_name}_train")
     def _(spark, sf, build=_make):
-        return _summary(spark, build().fit(_lines(spark, sf)))
+        return _summary(spark, build().fit(_lines(spark, sf, heavy=True)))
 
     @query(f"{_name}_predict")
     def _(spark, sf, build=_make):
         op = build()
         op.with_score = False
-        lines = _lines(spark, sf)
+        lines = _lines(spark, sf, heavy=True)
         return _histogram(op.fit(lines).transform(lines), 0)
 
 
