@@ -43,7 +43,7 @@ def _offset(source, k: int, seed: int):
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS,
         max_repeat: int = MAX_REPEAT, offsets: int = OFFSETS, seed: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """doc_id, size, source_size, target, copies, taken (= copies x size) for every row.
+    """doc_id, source, size, source_size, target, copies, taken (= copies x size) for every row.
 
     Every document of a source expects target / source_size copies (at most ``max_repeat``). Documents stand in the
     order of md5(id); the running sum of expected copies plus the source's offset crosses an integer boundary once per
@@ -89,7 +89,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         for k in range(offsets)]))["offset"]
     chosen = checkpointed(tries.select(F.col("source").alias("_source"), best.alias("_offset")))
     out = ranked.join(chosen, F.col("source").eqNullSafe(F.col("_source"))).withColumn("copies", copies(F.col("_offset")))
-    return out.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mix_sql(weights=WEIGHTS, max_repeat: int = MAX_REPEAT, offsets: int = OFFSETS, seed: int = 0) -> str:
@@ -122,7 +122,26 @@ def mix_sql(weights=WEIGHTS, max_repeat: int = MAX_REPEAT, offsets: int = OFFSET
       SELECT w.source, w.k, w.u, abs(sum((floor(r.r * r.expect + w.u) - floor((r.r - 1) * r.expect + w.u)) * r.size) - any_value(w.target)) AS miss
       FROM draws w JOIN ranked r ON w.source IS NOT DISTINCT FROM r.source GROUP BY w.source, w.k, w.u),
     chosen AS (SELECT source, u FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY miss, k) AS best FROM tried) WHERE best = 1)
-    SELECT r.doc_id, r.size, r.source_size, r.target,
+    SELECT r.doc_id, r.source, r.size, r.source_size, r.target,
            CAST(floor(r.r * r.expect + c.u) - floor((r.r - 1) * r.expect + c.u) AS BIGINT) AS copies,
            CAST(floor(r.r * r.expect + c.u) - floor((r.r - 1) * r.expect + c.u) AS BIGINT) * r.size AS taken
     FROM ranked r JOIN chosen c ON r.source IS NOT DISTINCT FROM c.source"""
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; all columns stay. Rows that share id, source and size stand in
+    any order for each other: of such a group as many rows come as the mix takes of the group."""
+
+    def keys(doc_id, source, size):  # without nulls, so that join and row number share one shuffle
+        return {"_mix_id": F.coalesce(doc_id.cast("string"), F.lit("")), "_mix_source": F.coalesce(F.concat(F.lit("="), source), F.lit("")), "_mix_size": size}
+
+    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
+    marked = docs.withColumns(keys(F.col(id_col), F.col(source_col).cast("string"), size))
+    taken = mix(docs, id_col, text_col, source_col, **options).withColumns(keys(F.col("doc_id"), F.col("source"), F.col("size")))
+    same = ["_mix_id", "_mix_source", "_mix_size"]
+    counts = taken.groupBy(*same).agg(F.sum("copies").alias("_mix_copies"), F.count(F.lit(1)).alias("_mix_rows")).where("_mix_copies > 0")
+    found = marked.join(counts, same).withColumn("_mix_nth", F.row_number().over(W.partitionBy(*same).orderBy("_mix_rows")))
+    share = F.floor(F.col("_mix_nth") * F.col("_mix_copies") / F.col("_mix_rows")) - F.floor((F.col("_mix_nth") - 1) * F.col("_mix_copies") / F.col("_mix_rows"))
+    found = found.withColumn("_mix_share", share.cast("int")).where("_mix_share > 0")
+    found = found.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_share"))))
+    return found.select(*[F.col(f"`{c}`") for c in docs.columns])

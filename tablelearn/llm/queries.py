@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from .bagminhash import near_duplicates
+from .fingerprint import fingerprints
+from .hmm import score_texts
 from .metricjoin import similar_vectors
 from .mixing import mix, mix_sql
 from .packing import pack_documents
 from .registry import query, read
+from .sitetree import main_text
+from .substring import remove_repeats
+from .toxicity import score_toxicity
 from .urls import judge_sql, judge_urls
 
 
@@ -27,3 +33,33 @@ def op9_vectors(spark, sf_dir):
 @query("op10_mixing", mix_sql())
 def op10_mixing(spark, sf_dir):
     return mix(read(spark, sf_dir, "documents"))
+
+
+@query("op1_substring")
+def op1_substring(spark, sf_dir):
+    return remove_repeats(read(spark, sf_dir, "documents"))
+
+
+@query("op3_bagminhash")
+def op3_bagminhash(spark, sf_dir):
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "kept")
+
+
+@query("op4_fingerprints")
+def op4_fingerprints(spark, sf_dir):
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query("op6_hmm")
+def op6_hmm(spark, sf_dir):
+    return score_texts(read(spark, sf_dir, "documents"))
+
+
+@query("op7_sitetree")
+def op7_sitetree(spark, sf_dir):
+    return main_text(read(spark, sf_dir, "pages"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
