@@ -23,11 +23,13 @@ LEXICON = [
 #: Labelled rows that the mining of voters reads, by the order of a hash of their ids.
 TOXIC_ROWS = 3_000
 CLEAN_ROWS = 6_000
-#: Mined voters: at most so many, each in so many toxic rows, after so many different words, so much likelier in toxic rows.
+#: Mined voters: at most so many, each in so many toxic rows, right with this probability, and after different words
+#: in the given share of them (up to a number that is enough), as words of one passage and its copies are not.
 MAX_MINED = 256
-SUPPORT = 6
-CONTEXTS = 6
-LIFT = 50.0
+SUPPORT = 5
+PRECISION = 0.9
+CONTEXT_SHARE = 0.6
+CONTEXTS = 12
 PREFIXES = (4, 5, 6)
 ROUNDS = 6
 THRESHOLD = 0.3
@@ -53,6 +55,7 @@ class Voters:
     toxic: np.ndarray
     clean: np.ndarray
     prior: float
+    rows: int
 
 
 def sample_labels(labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS) -> DataFrame:
@@ -92,16 +95,36 @@ def find_voters(docs: DataFrame, labels: DataFrame, lexicon=LEXICON, max_mined:
     counted = rows.mapInPandas(count, "term string, toxic long, clean long, before array<string>").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
         F.size(F.array_distinct(F.flatten(F.collect_list("before")))).alias("contexts"))
-    counted = checkpointed(counted.where(f"term = '' OR toxic >= {SUPPORT}"))
+    own = ["=" + w for w in lexicon]
+    counted = checkpointed(counted.where((F.col("term") == "") | (F.col("toxic") >= SUPPORT) | F.col("term").isin(own)))
     totals = counted.where("term = ''").first()
     n_toxic, n_clean = (totals["toxic"], totals["clean"]) if totals else (0, 0)
-    lift = ((F.col("toxic") + 0.1) / (n_toxic + 0.1)) / ((F.col("clean") + 0.1) / (n_clean + 0.1))
-    mined = counted.where((F.col("term") != "") & (F.col("contexts") >= CONTEXTS) & (lift >= LIFT))
-    mined = mined.orderBy(F.col("toxic").desc(), "clean", "term").limit(max_mined).collect()
-    guess = {"=" + w: (0.05, 0.0005) for w in lexicon}
-    guess |= {r["term"]: ((r["toxic"] + 0.5) / (n_toxic + 1), (r["clean"] + 0.05) / (n_clean + 1)) for r in mined}
     share = known_share(labels)
-    return Voters(list(guess), np.array([g[0] for g in guess.values()]), np.array([g[1] for g in guess.values()]), share)
+    right, wrong = F.col("toxic") / max(n_toxic, 1) * share, (F.col("clean") + 0.5) / (n_clean + 0.5) * (1 - share)
+    varied = F.col("contexts") >= F.least(F.lit(float(CONTEXTS)), F.col("toxic") * CONTEXT_SHARE)
+    mined = counted.where((F.col("term") != "") & (F.col("toxic") >= SUPPORT) & varied & (right >= PRECISION * (right + wrong)))
+    mined = mined.orderBy(F.col("toxic").desc(), "clean", F.length("term"), "term").limit(10 * max_mined).collect()
+    mined = _shortest(mined)[:max_mined]
+    seen = {r["term"]: r for r in counted.where(F.col("term").isin(own)).collect()} | {r["term"]: r for r in mined}
+    guess = {}
+    for term in [*own, *(r["term"] for r in mined if r["term"] not in set(own))]:
+        toxic, clean = (seen[term]["toxic"], seen[term]["clean"]) if term in seen else (0, 0)
+        # a lexicon word starts as if one toxic row in twenty and one clean row in two thousand had it
+        first = (0.5, 0.005, 10) if term in set(own) else (0.0, 0.05, 1)
+        guess[term] = ((toxic + first[0]) / (n_toxic + first[2]), (clean + first[1]) / (n_clean + first[2]))
+    return Voters(list(guess), np.array([g[0] for g in guess.values()]), np.array([g[1] for g in guess.values()]), share, n_toxic + n_clean + 20)
+
+
+def _shortest(rows):
+    """Without the terms that a lengthening replaces (cleaner, in nearly as many toxic rows), and without those that only
+    lengthen a word beginning which is as clean. ``rows``: by falling number of toxic rows."""
+    kept = {}
+    for r in rows:
+        better = any(e["term"][1:].startswith(r["term"][1:]) and e["clean"] < r["clean"] and e["toxic"] >= 0.9 * r["toxic"] for e in rows)
+        starts = ["^" + r["term"][1:size + 1] for size in PREFIXES]
+        if not better and not any(kept[s] <= r["clean"] for s in starts if s in kept):
+            kept[r["term"]] = r["clean"]
+    return [r for r in rows if r["term"] in kept]
 
 
 def known_share(labels: DataFrame) -> float:
@@ -141,24 +164,31 @@ class Votes:
 
 @dataclass
 class LabelModel:
-    """Two classes; voter j fires with ``toxic[j]`` or ``clean[j]``. Its evidence counts with ``weight[j]``: one over one
-    plus the sum of its positive correlations with other voters inside the classes, so that voters which repeat each
-    other do not count several times."""
+    """Two classes; voter j votes toxic in the shares ``toxic[j]`` and ``clean[j]`` of their documents and abstains in the
+    others. Abstaining depends on a text's length more than on its class and is no evidence, but one voter more votes
+    clean where all abstain (``none``: its two shares). A vote counts one over one plus the sum of its correlations,
+    inside the toxic class, with the document's other votes, so that voters which repeat each other count once."""
 
     prior: float
     toxic: np.ndarray
     clean: np.ndarray
-    weight: np.ndarray
+    none: tuple[float, float]
+    correlation: np.ndarray
 
-    def evidence(self) -> tuple[float, np.ndarray]:
-        """Log odds of a document without votes, and what each vote adds."""
-        a, b = np.clip(self.toxic, 1e-4, 0.98), np.clip(self.clean, 1e-6, 0.98)
-        silent = self.weight * np.log((1 - a) / (1 - b))
-        return float(np.log(self.prior / (1 - self.prior)) + silent.sum()), self.weight * np.log(a / b) - silent
+    def silent(self) -> float:
+        """Log odds of a document without votes."""
+        return float(np.log(self.prior / (1 - self.prior)) + np.log(self.none[0] / self.none[1]))
 
+    def log_odds(self, fired) -> float:
+        if not len(fired):
+            return self.silent()
+        at = np.asarray(fired, np.int64)
+        says = np.log(np.clip(self.toxic[at], 1e-6, 1) / np.clip(self.clean[at], 1e-6, 1))
+        return float(np.log(self.prior / (1 - self.prior)) + (says / (1 + self.correlation[np.ix_(at, at)].sum(axis=1))).sum())
 
-def posterior(start: float, adds: np.ndarray, fired) -> np.ndarray:
-    odds = np.array([start + adds[np.asarray(f, np.int64)].sum() for f in fired])
+
+def posterior(model: LabelModel, fired) -> np.ndarray:
+    odds = np.array([model.log_odds(f) for f in fired])
     return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
@@ -166,44 +196,47 @@ def fit_label_model(patterns: DataFrame, voters: Voters, rounds: int = ROUNDS) -
     """Expectation maximisation over ``patterns`` (fired, n): how many documents have which set of votes. Every document
     counts. Tasks return sums by pairs of voters, so the driver sees numbers of voters, not of documents."""
     size = len(voters.terms)
-    model = LabelModel(voters.prior, voters.toxic, voters.clean, np.ones(size))
+    model = LabelModel(voters.prior, voters.toxic, voters.clean, (0.1, 0.99), np.zeros((size, size)))
     for _ in range(rounds):
-        start, adds = model.evidence()
 
-        def sums(parts, start=start, adds=adds):
-            both, total = {}, np.zeros(2)
+        def sums(parts, model=model):
+            both, total, none = {}, np.zeros(2), np.zeros(2)
             for part in parts:
-                for fired, n, p in zip(part["fired"], part["n"], posterior(start, adds, part["fired"]), strict=True):
+                for fired, n, p in zip(part["fired"], part["n"], posterior(model, part["fired"]), strict=True):
                     total += (n * p, n * (1 - p))
+                    none += (0, 0) if len(fired) else (n * p, n * (1 - p))
                     for j in fired:
                         for k in fired:
                             if j <= k:
                                 at = both.setdefault((j, k), [0.0, 0.0])
                                 at[0] += n * p
                                 at[1] += n * (1 - p)
-            rows = [(-1, -1, *total), *((int(j), int(k), *v) for (j, k), v in both.items())]
+            rows = [(-1, -1, *total), (-2, -2, *none), *((int(j), int(k), *v) for (j, k), v in both.items())]
             yield pd.DataFrame(rows, columns=["j", "k", "toxic", "clean"])
 
         found = patterns.mapInPandas(sums, "j int, k int, toxic double, clean double").groupBy("j", "k").agg(
             F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).collect()
-        joint, total = np.zeros((2, size, size)), np.zeros(2)
+        joint, total, none = np.zeros((2, size, size)), np.zeros(2), np.zeros(2)
         for r in sorted(found):
-            if r["j"] < 0:
+            if r["j"] == -1:
                 total = np.array([r["toxic"], r["clean"]])
+            elif r["j"] == -2:
+                none = np.array([r["toxic"], r["clean"]])
             else:
                 joint[:, r["j"], r["k"]] = joint[:, r["k"], r["j"]] = r["toxic"], r["clean"]
         if total.sum() == 0:
             return model
         rate = [np.diag(joint[c]) / max(total[c], 1e-9) for c in (0, 1)]
-        # a few made-up documents hold voters that never fire at their first guess
-        toxic = (np.diag(joint[0]) + 20 * voters.toxic) / (total[0] + 20)
-        clean = (np.diag(joint[1]) + 20 * voters.clean) / (total[1] + 20)
+        # the first guesses, from labelled rows where there are any, hold against the votes as so many documents
+        toxic = (np.diag(joint[0]) + voters.rows * voters.toxic) / (total[0] + voters.rows)
+        clean = (np.diag(joint[1]) + voters.rows * voters.clean) / (total[1] + voters.rows)
+        silent = (none + (1, 99)) / (total + (10, 100))
         cover = joint[0] / max(total[0], 1e-9) - np.outer(rate[0], rate[0])
         spread = np.sqrt(np.maximum(rate[0] * (1 - rate[0]), 1e-12))
         correlation = np.clip(cover / np.outer(spread, spread), 0, 1)
         np.fill_diagonal(correlation, 0)
         correlation[:, np.diag(joint[0]) < 1] = correlation[np.diag(joint[0]) < 1] = 0
-        model = LabelModel(float(np.clip(total[0] / total.sum(), 1e-4, 0.5)), toxic, clean, 1 / (1 + correlation.sum(axis=1)))
+        model = LabelModel(float(np.clip(total[0] / total.sum(), 1e-4, 0.5)), toxic, clean, (float(silent[0]), float(silent[1])), correlation)
     return model
 
 
@@ -250,11 +283,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     votes = checkpointed(table.mapInPandas(vote, "doc_id long, fired array<int>, hits array<int>"))
     patterns = checkpointed(votes.groupBy("fired").agg(F.count(F.lit(1)).alias("n")))
-    start, adds = fit_label_model(patterns, voters).evidence()
+    labeller = fit_label_model(patterns, voters)
 
     def examples(parts):
         for part in parts:
-            p = posterior(start, adds, part["fired"])
+            p = posterior(labeller, part["fired"])
             x = [features(dict(zip(f, h, strict=True)), size).tolist() for f, h in zip(part["fired"], part["hits"], strict=True)]
             for label, share in ((1.0, p), (0.0, 1 - p)):
                 yield pd.DataFrame({"label": label, "weight": part["n"] * share, "x": x})
@@ -262,7 +295,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     amounts = votes.groupBy("fired", "hits").agg(F.count(F.lit(1)).alias("n"))
     rows = checkpointed(amounts.mapInPandas(examples, "label double, weight double, x array<double>").where("weight > 0"))
     if rows.select("label").distinct().count() < 2:
-        return Classifier(terms, np.zeros(size + 2), start), votes
+        return Classifier(terms, np.zeros(size + 2), labeller.silent()), votes
     fitted = LogisticRegression(weightCol="weight", maxIter=50, regParam=1e-5, standardization=False).fit(
         rows.select("label", "weight", array_to_vector("x").alias("features")))
     return Classifier(terms, fitted.coefficients.toArray(), float(fitted.intercept)), votes
