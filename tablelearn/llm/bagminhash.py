@@ -15,6 +15,8 @@ SIMILARITY = 0.8
 #: At similarity 0.8 two documents miss all bands with probability (1 - 0.8^6)^42, about 3 in a million.
 BANDS = 42
 ROWS = 6
+#: Texts of a block in the second check.
+BLOCK_NODES = 2048
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
 
@@ -101,8 +103,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     space) is at least ``similarity``; classes are the connected components, named by their smallest id, whose document
     is kept. Texts equal but for case are one node from the start, so copies never meet each other. Inside a bucket of
     a band every text is first checked against one text only; after the components of these links are known, only
-    texts of one bucket that are in different components are checked again, so no link between different texts of a
-    bucket is lost and groups of near copies do not make pairs of all their members.
+    texts of one bucket that are in different components are checked again, in blocks, so no link between different
+    texts of a bucket is lost and no pairs of all members of a group are made.
 
     Texts without words are copies of each other if equal; null texts are empty; a null id is replaced as ``row_key``
     states and stays null in the result; rows repeated whole get the same answer (and all say kept); an empty table
@@ -127,8 +129,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = checkpointed(table.mapInPandas(sign, "doc_id long, row_key long, d1 long, d2 long, size long, bands array<long>"))
     nodes = checkpointed(signed.groupBy("d1", "d2").agg(F.min("row_key").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")))
     banded = nodes.select("node", "size", F.explode("bands").alias("key"))
-    buckets = banded.groupBy("key").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("many")).where("many > 1").drop("many")
-    members = checkpointed(banded.join(buckets, "key"))
+    many = banded.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
+    members = checkpointed(banded.join(many, "key"))
+    # every text is tried against the text of its buckets that has the most company, the likeliest centre of its group
+    company = members.groupBy("node").agg(F.sum("many").alias("company"))
+    centre = F.max_by("node", F.struct("company", -F.col("node"))).alias("low")
+    members = checkpointed(members.join(members.join(company, "node").groupBy("key").agg(centre), "key").drop("many"))
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi").select("d1", "d2", F.col("node").alias("row_key"))
 
@@ -148,11 +154,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = components(star, finish_edges=0).withColumnRenamed("node", "_node")
     placed = members.join(group, members["node"] == group["_node"], "left").select("key", "node", "size", F.coalesce("comp", "node").alias("comp"))
     mixed = placed.groupBy("key").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("key")
-    placed = checkpointed(placed.join(mixed, "key", "left_semi"))
-    other = placed.select("key", F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("comp").alias("comp_b"))
-    fits = F.least("size", "size_b") >= F.greatest("size", "size_b") * F.lit(similarity)
-    pairs = placed.join(other, "key").where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & fits)
-    rest = _verified(pairs.select(F.col("node").alias("a"), "b").distinct(), spelled, similarity)
+    rest = _linked_rest(checkpointed(placed.join(mixed, "key", "left_semi")), spelled, similarity)
     found = components(checkpointed(star.unionByName(rest)), finish_edges=0)
 
     named = nodes.select("d1", "d2", "node").join(found, "node", "left").select(
@@ -161,6 +163,69 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "row_key", "d1", "d2", "class_id", (F.col("row_key") == F.col("class_id")).alias("kept"))
 
 
+def _linked_rest(placed: DataFrame, spelled: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between texts of one bucket that are in different components; ``placed``: key, node, size, comp.
+
+    Texts that buckets join, by whatever way, form a unit; small units share one. A unit's texts are dealt by hash into
+    blocks of about BLOCK_NODES, and every pair of blocks is a task. A text travels once per block of its unit, not once
+    per pair, and a task returns a spanning forest of the links it finds.
+    """
+    texts = checkpointed(placed.groupBy("node").agg(F.first("size").alias("size"), F.first("comp").alias("comp"), F.collect_list("key").alias("keys")))
+    lows = placed.groupBy("key").agg(F.min("node").alias("a"))
+    unit = components(placed.join(lows, "key").select("a", F.col("node").alias("b")).where("a <> b"), finish_edges=0)
+    unit = checkpointed(unit.withColumnRenamed("comp", "unit"))
+    counts = unit.groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
+    small = counts.where(F.col("n") <= BLOCK_NODES).agg(F.sum("n")).first()[0] or 0
+    packs = max(1, -(-small // BLOCK_NODES))
+    counts = counts.select("unit", F.ceil(F.col("n") / BLOCK_NODES).cast("int").alias("blocks"))
+    rows = texts.join(unit, "node").join(counts, "unit").join(spelled, "node")
+    shared = F.when(F.col("blocks") > 1, F.col("unit")).otherwise(-1 - F.pmod(F.xxhash64("unit"), F.lit(packs)))
+    rows = rows.select(shared.alias("unit"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"), "blocks", "node", "size", "comp", "keys", "items")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("unit", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "size", "comp", "keys", "items")
+
+    def meet(key, part):
+        return links_between(part, key[1] == key[2], similarity)
+
+    return checkpointed(rows.groupBy("unit", "i", "j").applyInPandas(meet, "a long, b long"))
+
+
+def links_between(part: pd.DataFrame, same: bool, similarity: float) -> pd.DataFrame:
+    """Links of texts that share a key, are in different components and, unless ``same``, in different blocks."""
+    node, size, block = part["node"].to_numpy(), part["size"].to_numpy(), part["block"].to_numpy()
+    _, root = np.unique(part["comp"].to_numpy(), return_inverse=True)
+    lengths = np.array([len(x) for x in part["items"]])
+    _, item = np.unique(np.concatenate(part["items"].to_list()), return_inverse=True)
+    ends = np.cumsum(lengths)
+    buckets: dict[int, list[int]] = {}
+    for k, keys in enumerate(part["keys"]):
+        for key in keys:
+            buckets.setdefault(key, []).append(k)
+    buckets = {key: np.array(at) for key, at in buckets.items() if len(at) > 1}
+    mine, out = np.zeros(int(item.max()) + 1 if len(item) else 1, bool), []
+    for k, keys in enumerate(part["keys"]):
+        near = [buckets[key] for key in keys if key in buckets]
+        if not near:
+            continue
+        near = np.unique(np.concatenate(near))
+        near = near[(near > k) & (root[near] != root[k]) & (np.minimum(size[near], size[k]) >= similarity * np.maximum(size[near], size[k]))]
+        if not same:
+            near = near[block[near] != block[k]]
+        if not len(near):
+            continue
+        own = item[ends[k] - lengths[k]:ends[k]]
+        mine[own] = True
+        stops = np.cumsum(lengths[near])
+        flat = np.repeat(ends[near] - stops, lengths[near]) + np.arange(stops[-1])
+        shared = np.add.reduceat(mine[item[flat]].astype(np.int64), stops - lengths[near])
+        mine[own] = False
+        for other in near[shared >= similarity * (lengths[near] + lengths[k] - shared)]:
+            if root[other] != root[k]:
+                out.append((node[k], node[other]))
+                root[root == root[other]] = root[k]
+    return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+
 def _verified(pairs: DataFrame, spelled: DataFrame, similarity: float) -> DataFrame:
     """The pairs (a, b) whose multiset Jaccard similarity reaches the threshold."""
     left = spelled.select(F.col("node").alias("a"), F.col("items").alias("items_a"))

@@ -95,6 +95,23 @@ def test_chains_link_through_texts_that_are_no_buckets_first(spark):
     assert [got[i] for i in order] == want
 
 
+def test_second_check_in_small_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "BLOCK_NODES", 4)
+    rng = random.Random(9)
+    words = [f"x{k}" for k in range(500)]
+    base = rng.choices(words, k=120)
+    texts = []
+    for k in range(60):  # a group whose members are alike with very different strength
+        own = list(base)
+        for _ in range(rng.randint(0, 8)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in bagminhash.near_duplicates(frame).collect()}
+    want = components_of(texts, list(range(60)))
+    assert [got[i] for i in range(60)] == want and len(set(want)) > 3
+
+
 def test_near_duplicates_without_ids(spark):
     rows = [(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (None, "other words in here now"), (9, None), (9, None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
