@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -16,44 +19,78 @@ GROUP_DOCS = 4096
 TOKENIZER = "byte_bpe_50k.json"
 
 #: Characters on which white-space definitions differ between libraries, or that are white space but not ASCII.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-_CHUNK = re.compile(r"\s*\S+|\s+")
+_ODD = re.compile("[\\x1c-\\x1f\\x85\\xa0\\u1680\\u180e\\u2000-\\u200b\\u2028\\u2029\\u202f\\u205f\\u3000\\ufeff]")
+#: White space and a word of Latin letters before ASCII punctuation; else white space and all up to the next.
+_CHUNK = re.compile(r"\s*[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+(?=[!-/:-@\[-`{-~])|\s*\S+|\s+")
+_PLAIN = re.compile(r" [A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
 
 class Encoder:
     """Token ids as little-endian 32-bit bytes.
 
-    A byte-level pre-tokenizer never joins a non-space character with white space that follows it, so a text may be
-    cut there and the ids of the pieces remembered. Texts with unusual white space or with the text of a special
-    token go to the tokenizer whole.
+    A byte-level pre-tokenizer never joins a non-space character with white space that follows it, nor a letter with
+    punctuation that follows it, so a text may be cut there and the ids of the pieces remembered. Texts with unusual
+    white space or with the text of a special token go to the tokenizer whole.
     """
 
-    def __init__(self, path: str, memo: int = 200_000):
+    def __init__(self, path: str, memo: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(special)) if special else None
+        self.line_feed = self.tokenizer.token_to_id("\u010a")
         self.limit = memo
         self.memo: dict[str, bytes] = {}
-
-    def _ids(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def __call__(self, text: str) -> bytes:
-        if _ODD.search(text) or (self.special and self.special.search(text)):
-            return self._ids(text)
-        memo, out = self.memo, []
-        for chunk in _CHUNK.findall(text):
-            ids = memo.get(chunk)
-            if ids is None:
-                ids = self._ids(chunk)
-                if len(chunk) <= 64:
-                    if len(memo) >= self.limit:
-                        memo.clear()
-                    memo[chunk] = ids
-            out.append(ids)
-        return b"".join(out)
+        self.older: dict[str, bytes] = {}  # what the memo held when it was last full
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _chunk_ids(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks. Plain words go many to a text, with line feeds between them, which are tokens of their own."""
+        plain = [c for c in chunks if _PLAIN.fullmatch(c)]
+        other = [c for c in chunks if not _PLAIN.fullmatch(c)]
+        out = dict(zip(other, self._ids(other), strict=True))
+        groups = [plain[k:k + 64] for k in range(0, len(plain), 64)]
+        for group, ids in zip(groups, self._ids(["\n".join(g) for g in groups]), strict=True):
+            out.update(zip(group, _cut(ids, self.line_feed), strict=True))
+        return out
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        whole = [bool(_ODD.search(t) or (self.special and self.special.search(t))) for t in texts]
+        chunks = [[] if w else _CHUNK.findall(t) for t, w in zip(texts, whole, strict=True)]
+        if len(self.memo) > self.limit:
+            self.memo, self.older = {}, self.memo
+        memo, older = self.memo, self.older
+        missing = []
+        for chunk in set().union(*chunks):
+            if chunk not in memo:
+                if chunk in older:
+                    memo[chunk] = older[chunk]
+                else:
+                    missing.append(chunk)
+        memo.update(self._chunk_ids(missing))
+        out = [self._ids([t])[0] if w else b"".join(map(memo.__getitem__, c)) for t, c, w in zip(texts, chunks, whole, strict=True)]
+        for chunk in missing:
+            if len(chunk) > 64:
+                del memo[chunk]
+        return out
+
+
+def _cut(ids: bytes, at: int) -> list[bytes]:
+    """The ids between the ids ``at``."""
+    found = np.frombuffer(ids, "<u4")
+    stops = np.flatnonzero(found == at).tolist()
+    return [ids[4 * a:4 * b] for a, b in zip([0, *(s + 1 for s in stops)], [*stops, len(found)], strict=True)]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The worker's encoder; it stays for the worker's next task, with what it remembers."""
+    return Encoder(path)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -79,19 +116,22 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeniz
 
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        encode, shape = Encoder(tokenizer_path(tokenizer)), to_arrow_schema(schema)
+        encode, shape = encoder(tokenizer_path(tokenizer)), to_arrow_schema(schema)
         for batch in batches:
             columns = [[] for _ in fields]
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                data = encode(text or "") + end
-                total = len(data) // 4
-                for start in range(0, total, window):
-                    piece = data[4 * start:4 * (start + window)]
-                    row = [key, start, len(piece) // 4, zlib.crc32(piece), total]
-                    if with_ids:
-                        row.append(np.frombuffer(piece, dtype="<i4"))
-                    for column, value in zip(columns, row, strict=True):
-                        column.append(value)
+            for begin in range(0, batch.num_rows, 128):
+                some = batch.slice(begin, 128)
+                texts = [t or "" for t in some.column(1).to_pylist()]
+                for key, data in zip(some.column(0).to_pylist(), encode(texts), strict=True):
+                    data += end
+                    total = len(data) // 4
+                    for start in range(0, total, window):
+                        piece = data[4 * start:4 * (start + window)]
+                        row = [key, start, len(piece) // 4, zlib.crc32(piece), total]
+                        if with_ids:
+                            row.append(np.frombuffer(piece, dtype="<i4"))
+                        for column, value in zip(columns, row, strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
