@@ -6,7 +6,8 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans as MLKMeans, PowerIterationClustering
+from pyspark.ml.clustering import KMeans as MLKMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..core import Fitted, Operator
@@ -16,6 +17,7 @@ from ..plans.lineage import checkpointed
 from ..plans.neighbors import PivotCells, _ints, _matrix, distances, internal_metric, knn, points, to_internal
 from ..plans.ranking import running_total
 from ..plans.skew import hot_safe_join
+from ..plans.subspace import graph_embedding
 from ..plans.sums import lists_to_matrix, sum_vectors
 
 
@@ -180,14 +182,18 @@ def merge_tree(size: np.ndarray, dist: np.ndarray, linkage: str, k: int) -> np.n
 
 
 def agglomerative(
-    df: DataFrame, id_col: str, cols, k=2, linkage="ward", metric="euclidean", distance_threshold=None, seed=42, micro=MICRO_CLUSTERS
+    df: DataFrame, id_col: str, cols, k=2, linkage="ward", metric="euclidean", distance_threshold=None, seed=42, micro=MICRO_CLUSTERS, method="exact"
 ) -> DataFrame:
     """All rows plus ``cluster``, numbered by smallest member id.
 
-    Up to ``micro`` distinct rows the merging is exact. Beyond that ward, complete and average linkage merge
-    ``micro`` K-Means groups (their counts and centres), and single linkage stays exact: its clusters at a distance
-    cut are the connected components of the eps-graph, and for a cluster count the cut is found by bisection.
+    ``method="exact"`` merges the rows themselves; ward, complete and average linkage keep the distances of all
+    distinct rows in one task and take at most ``micro`` of them. ``method="two_stage"`` merges ``micro`` K-Means groups
+    (their counts and centres) at every size. The row count never chooses between them. Single linkage is exact at any
+    size: its clusters at a distance cut are the connected components of the eps-graph, and for a cluster count the cut
+    is found by bisection.
     """
+    if method not in ("exact", "two_stage") or (method == "two_stage" and linkage == "single"):
+        raise ValueError("method must be exact, or two_stage for ward, complete and average linkage")
     cols = names(cols)
     if linkage not in LINKAGES:
         raise ValueError(f"linkage must be one of {LINKAGES}")
@@ -200,15 +206,17 @@ def agglomerative(
     inner = internal_metric(metric)
     if distance_threshold is not None:
         found = _single_at(unique, to_internal(float(distance_threshold), metric), inner)
-    elif n <= micro:
+    elif linkage == "single":
+        found = _single_count(unique, k, inner)
+    elif method == "two_stage":
+        found = _two_stage(unique, k, linkage, inner, metric, seed, min(micro, n))
+    elif n > micro:
+        raise ValueError(f"exact {linkage} linkage takes up to micro={micro} distinct rows; use method='two_stage'")
+    else:
         items = unique.orderBy("key").collect()  # at most ``micro`` rows
         x, w = np.array([r.x for r in items]), np.array([r.w for r in items])
         label = merge_tree(w, _start_distances(x, w, linkage, inner, metric), linkage, min(k, n))
         found = df.sparkSession.createDataFrame([(r.key, int(l)) for r, l in zip(items, label)], "key long, label long")
-    elif linkage == "single":
-        found = _single_count(unique, k, inner)
-    else:
-        found = _two_stage(unique, k, linkage, inner, metric, seed, micro)
     first = found.groupBy("label").agg(F.min("key").alias("first"))
     order = numbered(first, "first")
     named = hot_safe_join(found, first.join(order, "first").select("label", "cluster"), ["label"]).select("key", "cluster")
@@ -264,19 +272,21 @@ def _two_stage(unique, k, linkage, inner, metric, seed, micro):
 AFFINITIES = ("rbf", "nearest_neighbors", "precomputed")
 
 
-def spectral(df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=20) -> DataFrame:
-    """Graph clustering by power iteration on a sparse similarity graph; all rows plus ``cluster``.
+def spectral(
+    df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=60, n_init=10
+) -> DataFrame:
+    """Graph clustering: k leading eigenvectors of a sparse similarity graph, then K-Means on them; all rows plus
+    ``cluster``, numbered by smallest member id. Rows without any link get -1.
 
     ``nearest_neighbors`` links each row to its nearest rows; ``rbf`` weighs those links with exp(-gamma d^2);
     ``precomputed`` takes an edge table (src, dst, weight).
     """
     if affinity not in AFFINITIES:
         raise ValueError(f"affinity must be one of {AFFINITIES}")
-    ids = df.select(F.col(f"`{id_col}`").cast("long").alias("_id"))
     if affinity == "precomputed":
         if edges is None:
             raise ValueError("affinity='precomputed' needs edges")
-        links = edges.select(F.col("src").cast("long"), F.col("dst").cast("long"), F.col("weight").cast("double"))
+        links = edges.select(F.least("src", "dst").cast("long").alias("src"), F.greatest("src", "dst").cast("long").alias("dst"), F.col("weight").cast("double"))
     else:
         rows = points(df, id_col, names(cols), "euclidean")
         near = knn(rows, rows, int(n_neighbors), "euclidean").where("query != neighbor")
@@ -284,15 +294,24 @@ def spectral(df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neigh
         if affinity == "rbf":
             weight = F.greatest(F.exp(-F.lit(float(gamma)) * F.col("distance") * F.col("distance")), F.lit(1e-12)) / 2
         links = near.select(F.least("query", "neighbor").alias("src"), F.greatest("query", "neighbor").alias("dst"), weight.alias("weight"))
-    links = checkpointed(links.groupBy("src", "dst").agg(F.sum("weight").alias("weight")))
-    model = PowerIterationClustering(k=k, maxIter=max_iter, initMode="degree", weightCol="weight")
-    found = checkpointed(model.assignClusters(links))
-    first = found.groupBy("cluster").agg(F.min("id").alias("first"))  # k rows
-    rank = {r.cluster: i for i, r in enumerate(sorted(first.collect(), key=lambda r: r.first))}
-    number = F.create_map(*[F.lit(v) for pair in rank.items() for v in pair])[F.col("cluster")]
+    links = checkpointed(links.groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where("src <> dst AND weight > 0"))
+    out = df.withColumn("_id", F.col(f"`{id_col}`").cast("long"))
+    if links.isEmpty():
+        return out.withColumn("cluster", F.lit(-1)).drop("_id")
+    placed = graph_embedding(links, k, seed, max_iter).select("id", array_to_vector("v").alias("features")).persist()
+    try:
+        best = None
+        for i in range(n_init):
+            m = MLKMeans(k=k, maxIter=300, seed=seed + i).fit(placed)
+            best = m if best is None or m.summary.trainingCost < best.summary.trainingCost else best
+        found = checkpointed(best.transform(placed).select("id", "prediction"))
+    finally:
+        placed.unpersist()
+    first = found.groupBy("prediction").agg(F.min("id").alias("first"))  # k rows
+    rank = {r.prediction: i for i, r in enumerate(sorted(first.collect(), key=lambda r: r.first))}
+    number = F.create_map(*[F.lit(v) for pair in rank.items() for v in pair])[F.col("prediction")]
     named = found.select(F.col("id").alias("_id"), number.alias("cluster"))
-    out = ids.join(named, "_id", "left")
-    return df.join(out, F.col(f"`{id_col}`").cast("long") == F.col("_id"), "left").drop("_id")
+    return out.join(named, "_id", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1))).drop("_id")
 
 
 INLINE_SEEDS = 2_000
@@ -308,7 +327,8 @@ def estimate_bandwidth(rows: DataFrame, quantile=0.3) -> float:
 
 
 def shift_seeds(rows: DataFrame, seeds: np.ndarray, bandwidth: float):
-    """(mean of the rows within the bandwidth, their count) per seed, for a bounded set of seeds: one narrow pass."""
+    """(seed number, mean of the rows within the bandwidth, their count) of the seeds that have such rows; for a bounded
+    set of seeds, in one narrow pass."""
     s, d = seeds.shape
 
     def part(batch):
@@ -318,8 +338,8 @@ def shift_seeds(rows: DataFrame, seeds: np.ndarray, bandwidth: float):
 
     sums = sum_vectors(rows.select("x"), part, s * d + s)
     count = sums[s * d :]
-    mean = np.divide(sums[: s * d].reshape(s, d), count[:, None], out=seeds.copy(), where=count[:, None] > 0)
-    return mean, count
+    hit = np.flatnonzero(count > 0)
+    return hit, sums[: s * d].reshape(s, d)[hit] / count[hit, None], count[hit]
 
 
 def _shift_many(cells: PivotCells, seeds: DataFrame, bandwidth: float) -> DataFrame:
@@ -376,10 +396,12 @@ class MeanShift(Operator):
         at, count = seeds, np.ones(len(seeds))
         live = np.ones(len(seeds), dtype=bool)
         for _ in range(self.max_iter):
-            moved, hits = shift_seeds(rows, at[live], width)
-            gap = np.sqrt(((moved - at[live]) ** 2).sum(axis=1))
-            at[live], count[live] = moved, hits
-            live[np.flatnonzero(live)[(gap <= 1e-3 * width) | (hits == 0)]] = False
+            open_ = np.flatnonzero(live)
+            hit, moved, hits = shift_seeds(rows, at[open_], width)
+            count[open_], live[open_] = 0, False
+            open_ = open_[hit]
+            gap = np.sqrt(((moved - at[open_]) ** 2).sum(axis=1))
+            at[open_], count[open_], live[open_] = moved, hits, gap > 1e-3 * width
             if not live.any():
                 break
         return [(c, tuple(m)) for m, c in zip(at, count) if c > 0]

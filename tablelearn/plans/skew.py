@@ -17,6 +17,14 @@ def hot_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "
     total = left.count() if rows is None else rows
     if total <= SMALL_ROWS:
         return left.join(right, on, how)
+    # a null key finds no partner, so its rows need not meet in one partition
+    empty = F.greatest(*[F.col(f"`{c}`").isNull() for c in on], F.lit(False))
+    alone, left = left.where(empty), left.where(~empty)
+    joined = _hot_safe(left, right, on, how, total)
+    return joined.unionByName(alone, allowMissingColumns=True) if how == "left" else joined
+
+
+def _hot_safe(left, right, on, how, total):
     counts = left.groupBy(*on).count().where(F.col("count") > total / HOT_SHARE).select(*on)
     hot = counts.collect()
     if not hot:

@@ -200,3 +200,12 @@ def test_distinct_points_counts_copies(spark):
     df, cols = frame(spark, x)
     rows = distinct_points(points(df, "id", cols, "euclidean")).collect()
     assert sum(r.w for r in rows) == 60 and len(rows) == len({tuple(v) for v in x})
+
+
+def test_hot_join_leaves_null_keys_alone(spark, monkeypatch):
+    monkeypatch.setattr(skew, "SMALL_ROWS", 10)
+    left = spark.range(1000).select(F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"), "id")
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(5)], "k long, v string")
+    for how in ("inner", "left"):
+        got = sorted(map(str, skew.hot_safe_join(left, right, ["k"], how).select("id", "k", "v").collect()))
+        assert got == sorted(map(str, left.join(right, ["k"], how).select("id", "k", "v").collect()))

@@ -116,7 +116,7 @@ def _(spark, sf):
 
 @query("agglomerative")
 def _(spark, sf):
-    return agglomerative(_cust(spark, sf), "id", ["a", "b"], 4, "ward").select("id", "cluster")
+    return agglomerative(_cust(spark, sf), "id", ["a", "b"], 4, "ward", method="two_stage").select("id", "cluster")
 
 
 @query("spectral")
@@ -125,6 +125,21 @@ def _(spark, sf):
     return spectral(vectors, "vec_id", ["embedding"], 3, "nearest_neighbors", 10).select("vec_id", "cluster")
 
 
+@query("spectral_regions", """
+WITH nodes AS (SELECT c_custkey AS id, n_regionkey AS g FROM customer JOIN nation ON c_nationkey = n_nationkey
+               UNION ALL SELECT 1000000000 + n_nationkey, n_regionkey FROM nation UNION ALL SELECT 2000000000 + r_regionkey, r_regionkey FROM region),
+     least AS (SELECT g, min(id) AS m FROM nodes GROUP BY g)
+SELECT id, (dense_rank() OVER (ORDER BY m) - 1)::INT AS cluster FROM nodes JOIN least USING (g)""")
+def _(spark, sf):
+    """Customers hang on their nations, nations on their regions: as many separate parts as there are regions."""
+    nation, region = F.col("n_nationkey") + 1_000_000_000, F.col("n_regionkey") + 2_000_000_000
+    nations = table(spark, sf, "nation")
+    edges = table(spark, sf, "customer").select(F.col("c_custkey").alias("src"), (F.col("c_nationkey") + 1_000_000_000).alias("dst"), F.lit(1.0).alias("weight"))
+    edges = edges.unionByName(nations.select(nation.cast("long").alias("src"), region.cast("long").alias("dst"), F.lit(100.0).alias("weight")))
+    nodes = edges.select(F.col("src").alias("id")).union(edges.select("dst")).distinct()
+    return spectral(nodes, "id", k=table(spark, sf, "region").count(), affinity="precomputed", edges=edges).select("id", "cluster")
+
+
 @query("mean_shift")
 def _(spark, sf):
     rows = _parts(spark, sf)
@@ -137,8 +152,8 @@ SEEDS = [[1.0, 1.0], [4.0, 4.0], [2.0, 3.0]]
 @query("mean_shift_step", f"WITH {PART_X}, s AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(SEEDS)) + """) t(seed, sa, sb))
 SELECT seed, count(*) AS n, round(avg(a), 6) AS a, round(avg(b), 6) AS b FROM x JOIN s ON (a - sa) ** 2 + (b - sb) ** 2 <= 1.0 GROUP BY seed""")
 def _(spark, sf):
-    mean, count = shift_seeds(points(_parts(spark, sf), "id", ["a", "b"], "euclidean"), np.array(SEEDS), 1.0)
-    rows = [(i, int(n), *map(float, m)) for i, (m, n) in enumerate(zip(mean, count))]
+    seed, mean, count = shift_seeds(points(_parts(spark, sf), "id", ["a", "b"], "euclidean"), np.array(SEEDS), 1.0)
+    rows = [(i, int(n), *map(float, m)) for i, m, n in zip(seed.tolist(), mean, count)]
     out = spark.createDataFrame(rows, "seed int, n long, a double, b double")
     return out.select("seed", "n", r("a").alias("a"), r("b").alias("b"))
 
