@@ -47,6 +47,23 @@ class Fitted(Model):
         parts = json.loads(text)
         return Fitted.registry[parts["kind"]](**parts["state"])
 
+    def parts(self) -> dict[str, "Fitted"]:
+        """Fitted models that this one holds, by name."""
+        return {}
+
+    def tables(self) -> dict[str, DataFrame]:
+        """Distributed state, by name."""
+        return {}
+
+    def attach(self, parts: dict[str, "Fitted"], tables: dict[str, DataFrame]) -> None:
+        """Take back what ``parts`` and ``tables`` gave."""
+
+    def save_native(self, path: str) -> None:
+        """Write state that has a writer of its own."""
+
+    def load_native(self, spark: SparkSession, path: str) -> None:
+        """Read what ``save_native`` wrote."""
+
     def summary(self, spark: SparkSession) -> DataFrame:
         """One row: the scalar and list state fields plus the whole state as JSON."""
         flat = {k: v for k, v in self.state.items() if v is not None and isinstance(v, (int, float, str, bool))}
@@ -59,6 +76,28 @@ class Fitted(Model):
         return spark.createDataFrame(rows, f"{key} string, " + ", ".join(f"{f} double" for f in fields))
 
 
+def save_fitted(spark: SparkSession, model: Fitted, path: str) -> None:
+    """Write any fitted state to a folder: JSON for the plain part, Parquet for tables, held models in sub-folders."""
+    parts, tables = model.parts(), model.tables()
+    row = (type(model).__name__, json.dumps(model.state, sort_keys=True), list(parts), list(tables))
+    schema = "kind string, state string, parts array<string>, tables array<string>"
+    spark.createDataFrame([row], schema).write.mode("overwrite").parquet(f"{path}/fitted")
+    for name, part in parts.items():
+        save_fitted(spark, part, f"{path}/part_{name}")
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{path}/table_{name}")
+    model.save_native(f"{path}/native")
+
+
+def load_fitted(spark: SparkSession, path: str) -> Fitted:
+    """Read what :func:`save_fitted` wrote."""
+    row = spark.read.parquet(f"{path}/fitted").first()
+    model = Fitted.registry[row.kind](**json.loads(row.state))
+    model.attach({n: load_fitted(spark, f"{path}/part_{n}") for n in row.parts}, {n: spark.read.parquet(f"{path}/table_{n}") for n in row.tables})
+    model.load_native(spark, f"{path}/native")
+    return model
+
+
 def state_table(spark: SparkSession, model: Fitted) -> DataFrame:
     """The fitted state as a one-row table, ready for ``df.write.parquet``."""
     return spark.createDataFrame([(type(model).__name__, model.to_json())], "kind string, model_json string")

@@ -109,6 +109,12 @@ def _outputs(fitted) -> list[str]:
 class ChainModel(Fitted):
     estimator: Fitted = None
 
+    def parts(self):
+        return {"estimator": self.estimator} if self.estimator is not None else {}
+
+    def attach(self, parts, tables):
+        self.estimator = parts.get("estimator")
+
     def to_json(self):
         if self.estimator is not None:
             self.state["last"] = self.estimator.to_json()

@@ -46,12 +46,18 @@ def _scored(df: DataFrame, model, tag: str) -> DataFrame:
 
 
 class EnsembleModel(Fitted):
-    """Holds fitted members; members are saved one by one."""
+    """Holds fitted members."""
 
     members: list = None
 
     def to_json(self):
-        raise ValueError("an ensemble is saved member by member")
+        raise ValueError("an ensemble is saved with save_fitted(spark, model, path)")
+
+    def parts(self):
+        return {str(i): m for i, m in enumerate(self.members)}
+
+    def attach(self, parts, tables):
+        self.members = [parts[str(i)] for i in range(len(parts))]
 
     def summary(self, spark):
         flat = {k: v if isinstance(v, (int, float, str, bool)) else str(v) for k, v in self.state.items() if v is not None}
@@ -174,6 +180,13 @@ def _meta(df, members, classes):
 class StackingModel(EnsembleModel):
     last = None
 
+    def parts(self):
+        return super().parts() | {"last": self.last}
+
+    def attach(self, parts, tables):
+        self.last = parts.pop("last")
+        super().attach(parts, tables)
+
     def _transform(self, df):
         out = df
         for i, m in enumerate(self.members):
@@ -183,7 +196,6 @@ class StackingModel(EnsembleModel):
 
 
 BASES = ("SVC", "RandomForestClassifier", "GradientBoostingClassifier", "LogisticRegression", "GaussianNB")
-ISOTONIC_ROWS = 1_000_000
 
 
 def _score_columns(out: DataFrame, model, classes: int) -> DataFrame:
@@ -204,10 +216,9 @@ def _sigmoid(rows, n_pos, n_neg):
     return {"kind": "sigmoid", "slope": float(m.coefficients[0]), "intercept": float(m.intercept)}
 
 
-def _isotonic(rows, n):
-    """Monotone step fit on counts per distinct score; from ISOTONIC_ROWS rows on, scores are grouped at 5 digits."""
-    score = F.col("s") if n <= ISOTONIC_ROWS else F.round("s", 5)
-    grouped = rows.groupBy(score.alias("s")).agg(F.avg("hit").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
+def _isotonic(rows):
+    """Monotone step fit on counts per distinct score."""
+    grouped = rows.groupBy("s").agg(F.avg("hit").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
     m = IsotonicRegression(featuresCol="s", labelCol="label", weightCol="w").fit(grouped)
     return {"kind": "isotonic", "x": [float(v) for v in m.boundaries], "y": [float(v) for v in m.predictions]}
 
@@ -241,7 +252,7 @@ class CalibratedClassifier(Operator):
             for c in picked:
                 rows = held.select(F.col(f"_s{c}").alias("s"), F.when(F.col("y") == c, 1.0).otherwise(0.0).alias("hit"))
                 n, pos = rows.agg(F.count(F.lit(1)), F.sum("hit")).first()
-                curves.append(_sigmoid(rows, pos, n - pos) if self.method == "sigmoid" else _isotonic(rows, n))
+                curves.append(_sigmoid(rows, pos, n - pos) if self.method == "sigmoid" else _isotonic(rows))
             held.unpersist()
             return member, curves
 
@@ -251,7 +262,7 @@ class CalibratedClassifier(Operator):
                 cols=self.cols, target=self.target, base_estimator=self.base, calibration_method=self.method, cv=self.cv,
                 classes=classes, training_samples=folded.count(),
             )
-            model.members, model.curves = [p[0] for p in pairs], [p[1] for p in pairs]
+            model.members, model.state["curves"] = [p[0] for p in pairs], [p[1] for p in pairs]
             model.state["accuracy"] = accuracy(model, folded, self.target)
         finally:
             folded.unpersist()
@@ -271,7 +282,6 @@ def _curve(score, curve):
 
 
 class CalibratedModel(EnsembleModel):
-    curves: list = None
 
     def _transform(self, df):
         k = len(self.classes)

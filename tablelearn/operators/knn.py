@@ -47,6 +47,15 @@ class KNNModel(Fitted):
 
     train: DataFrame = None
 
+    def to_json(self):
+        raise ValueError("the state holds the training table; use save_fitted(spark, model, path)")
+
+    def tables(self):
+        return {"train": self.train}
+
+    def attach(self, parts, tables):
+        self.train = tables["train"]
+
     def neighbors(self, queries: DataFrame, id_col: str | None = None, exclude_self=False) -> DataFrame:
         """Long form: (query, neighbor, distance, rank). ``exclude_self`` leaves a query's own id out."""
         id_col = id_col or self.id_col

@@ -54,6 +54,12 @@ class MLModel(Fitted):
         out.model = OneVsRestModel(parts) if row.per_class else parts[0]
         return out
 
+    def save_native(self, path):
+        self.save(path)
+
+    def load_native(self, spark, path):
+        self.model = MLModel.load(spark, path).model
+
     def importances(self, spark) -> DataFrame:
         values = [float(v) for v in self.model.featureImportances.toArray()]
         return spark.createDataFrame(list(zip(self.cols, values)), "feature string, importance double")
@@ -110,7 +116,9 @@ class MLOperator(Operator):
 
 
 def _depth(max_depth) -> int:
-    return MAX_DEPTH if not max_depth else min(int(max_depth), MAX_DEPTH)
+    if max_depth and int(max_depth) > MAX_DEPTH:
+        raise ValueError(f"max_depth is at most {MAX_DEPTH}")
+    return int(max_depth) if max_depth else MAX_DEPTH
 
 
 class _Tree(MLOperator):
