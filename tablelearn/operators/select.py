@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..core import Fitted, Operator, with_columns
 from ..functions.columns import as_double, as_matrix_columns, class_index, names, require, sorted_classes
+from ..plans.lineage import checkpointed
 from ..plans.moments import moments
 from .linear import solve
 
@@ -21,31 +22,41 @@ MI_BINS = 10
 
 
 def _by_class(df, cols, target, **aggs):
+    """Row count ``n`` and the given aggregates of all columns per target value; it stays a table, as a target may have
+    as many values as rows."""
     data = as_matrix_columns(df, cols, keep=[target])
     exprs = [fn(F.col(f"`{c}`")).alias(f"{k}{i}") for k, fn in aggs.items() for i, c in enumerate(cols)]
-    rows = data.groupBy(F.col(f"`{target}`").alias("c")).agg(F.count(F.lit(1)).alias("n"), *exprs).collect()
-    sizes = np.array([r.n for r in rows], dtype=float)
-    return sizes, {k: np.array([[r[f"{k}{i}"] for i in range(len(cols))] for r in rows], dtype=float) for k in aggs}
+    return data.groupBy(F.col(f"`{target}`").alias("c")).agg(F.count(F.lit(1)).alias("n"), *exprs)
+
+
+def _numbers(row, name, size):
+    return np.array([row[f"{name}{i}"] for i in range(size)], dtype=float)
 
 
 def f_classif(df: DataFrame, cols: list[str], target: str) -> list[float]:
     """ANOVA F: between-class over within-class mean square."""
-    sizes, s = _by_class(df, cols, target, mean=F.avg, var=F.var_pop)
-    n, k = sizes.sum(), len(sizes)
-    middle = sizes @ s["mean"] / n
-    between = sizes @ (s["mean"] - middle) ** 2 / (k - 1)
-    within = sizes @ s["var"] / (n - k)
+    classes, size = checkpointed(_by_class(df, cols, target, mean=F.avg, var=F.var_pop)), len(cols)
+    first = classes.agg(
+        F.sum("n").alias("rows"), F.count(F.lit(1)).alias("k"),
+        *[F.sum(F.col("n") * F.col(f"mean{i}")).alias(f"sum{i}") for i in range(size)],
+        *[F.sum(F.col("n") * F.col(f"var{i}")).alias(f"within{i}") for i in range(size)]).first()
+    middle = _numbers(first, "sum", size) / first["rows"]
+    second = classes.agg(*[F.sum(F.col("n") * (F.col(f"mean{i}") - F.lit(float(m))) ** 2).alias(f"between{i}") for i, m in enumerate(middle)]).first()
     with np.errstate(divide="ignore", invalid="ignore"):
+        between = _numbers(second, "between", size) / np.float64(first["k"] - 1)
+        within = _numbers(first, "within", size) / np.float64(first["rows"] - first["k"])
         return (between / within).tolist()
 
 
 def chi2(df: DataFrame, cols: list[str], target: str) -> list[float]:
     """Chi-square of the per-class sums of non-negative features."""
     checked = lambda c: F.sum(F.when(c < 0, F.raise_error(F.lit("negative value")).cast("double")).otherwise(c))
-    sizes, s = _by_class(df, cols, target, sums=checked)
-    expected = np.outer(sizes / sizes.sum(), s["sums"].sum(axis=0))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        return ((s["sums"] - expected) ** 2 / expected).sum(axis=0).tolist()
+    classes, size = checkpointed(_by_class(df, cols, target, sums=checked)), len(cols)
+    first = classes.agg(F.sum("n").alias("rows"), *[F.sum(f"sums{i}").alias(f"all{i}") for i in range(size)]).first()
+    rate = _numbers(first, "all", size) / first["rows"]
+    expected = [F.col("n") * F.lit(float(r)) for r in rate]
+    parts = [F.sum((F.col(f"sums{i}") - e) ** 2 / F.when(e != 0, e)).alias(f"x{i}") for i, e in enumerate(expected)]
+    return [float("nan") if v is None else float(v) for v in classes.agg(*parts).first()]
 
 
 def f_regression(df: DataFrame, cols: list[str], target: str) -> list[float]:
@@ -71,15 +82,18 @@ def mutual_info(df: DataFrame, cols: list[str], target: str, regression: bool, b
     cut = [_bin(F.col(f"`{c}`"), ends[f"lo{i}"], ends[f"hi{i}"], bins) for i, c in enumerate(numeric)]
     label = (cut[-1] if regression else F.col(f"`{target}`")).cast("string")
     cells = F.array(*[F.struct(F.lit(i).alias("j"), b.cast("int").alias("b")) for i, b in enumerate(cut[: len(cols)])])
-    counts = data.select(label.alias("y"), F.explode(cells).alias("e")).groupBy("e.j", "e.b", "y").count().collect()
+    counts = checkpointed(data.select(label.alias("y"), F.explode(cells).alias("e")).groupBy("e.j", "e.b", "y").agg(F.count(F.lit(1)).alias("n")))
+
+    def entropy_sums(grouped):  # sum of n log n per column
+        return {r["j"]: (r["s"], r["n"]) for r in grouped.groupBy("j").agg(F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("s"), F.sum("n").alias("n")).collect()}
+
+    both = entropy_sums(counts)
+    by_bin = entropy_sums(counts.groupBy("j", "b").agg(F.sum("n").alias("n")))
+    by_label = entropy_sums(counts.groupBy("j", "y").agg(F.sum("n").alias("n")))
     out = []
     for j in range(len(cols)):
-        rows = [(r.b, r.y, r["count"]) for r in counts if r.j == j]
-        n = sum(c for *_, c in rows)
-        by_b, by_y = {}, {}
-        for b, y, c in rows:
-            by_b[b], by_y[y] = by_b.get(b, 0) + c, by_y.get(y, 0) + c
-        out.append(max(0.0, math.fsum(c / n * math.log(c * n / (by_b[b] * by_y[y])) for b, y, c in rows)))
+        n = both[j][1]
+        out.append(max(0.0, (both[j][0] - by_bin[j][0] - by_label[j][0] + n * math.log(n)) / n))
     return out
 
 

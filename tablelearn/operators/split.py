@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from ..functions.columns import class_index, require, sorted_classes
-from ..plans.quantiles import order_statistics
+from ..plans.quantiles import integer_order_statistic, order_statistics
 from ..plans.ranking import cut_number, hash_cuts, shuffle_key
 
 FOLD_METHODS = ("kfold", "stratified", "shuffle")
@@ -58,13 +59,16 @@ def with_split(df: DataFrame, id_col: str, test_size=0.2, shuffle=True, stratify
     if not shuffle:
         if stratify:
             raise ValueError("stratify needs shuffle=True")
-        data = df.select(F.col(f"`{id_col}`").cast("double").alias("id"))
-        n = data.count()
+        n = df.count()
         n_test = math.ceil(round(test_size * n, 9))
         if n_test in (0, n):
             raise ValueError("a part of the split would be empty")
-        cut = order_statistics(data, ["id"], {0: [n - n_test]})[0, n - n_test]
-        return df.withColumn("_split", F.when(F.col(f"`{id_col}`").cast("double") < F.lit(cut), "train").otherwise("test"))
+        if isinstance(df.schema[id_col].dataType, IntegralType):  # a double would merge ids above 2^53
+            below = F.col(f"`{id_col}`") < F.lit(integer_order_statistic(df, id_col, n - n_test))
+        else:
+            value = F.col(f"`{id_col}`").cast("double")
+            below = value < F.lit(order_statistics(df.select(value.alias("id")), ["id"], {0: [n - n_test]})[0, n - n_test])
+        return df.withColumn("_split", F.when(below, "train").otherwise("test"))
     if stratify is None:
         part = _sliced(df, id_col, seed, None, lambda n, g: [math.ceil(round(test_size * n, 9))])
     else:

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 WELFORD_COLUMNS = 4
 JVM_COLUMNS = 12
-PROBE_ROWS = 512
 
 
 @dataclass
@@ -48,13 +47,13 @@ def moments_by(data: DataFrame, cols: list[str], group: Column) -> dict:
 
     Up to WELFORD_COLUMNS columns: Spark's own covariance aggregates. Up to JVM_COLUMNS: plain sums inside
     whole-stage codegen. More: one d x d product per Arrow batch, summed by entry, so the driver sees d(d+1)/2
-    numbers per group whatever the row or partition count. Sums are taken around the mean of a few probe rows,
-    which keeps large offsets from cancelling.
+    numbers per group whatever the row or partition count. Sums are taken around the columns' means, from a first
+    narrow aggregate, which keeps large offsets from cancelling.
     """
     d = len(cols)
     if d <= WELFORD_COLUMNS:
         return _by_covariance(data, cols, group)
-    probe = data.select(*[F.col(f"`{c}`") for c in cols]).limit(PROBE_ROWS).agg(*[F.avg(f"`{c}`") for c in cols]).first()
+    probe = data.select(*[F.col(f"`{c}`") for c in cols]).agg(*[F.avg(f"`{c}`") for c in cols]).first()
     shift = np.array([float(v) if v is not None else 0.0 for v in probe])
     rows = data.select(group.alias("_g"), *[(F.col(f"`{c}`") - F.lit(float(s))).alias(f"x{i}") for i, (c, s) in enumerate(zip(cols, shift))])
     out = {}

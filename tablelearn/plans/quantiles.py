@@ -53,6 +53,24 @@ def _ends(data, cols):
     return data.agg(*aggs).first()
 
 
+def integer_order_statistic(df: DataFrame, col: str, rank: int, buckets: int = 1024) -> int:
+    """The value at the 0-based ``rank`` of an integer column, in whole-number arithmetic: rows are counted by equal
+    ranges of values, and the range that holds the rank is cut again."""
+    values = df.select(F.col(f"`{col}`").cast("decimal(38,0)").alias("v")).where("v IS NOT NULL")
+    ends = values.agg(F.min("v").alias("low"), F.max("v").alias("high")).first()
+    low, high = int(ends["low"]), int(ends["high"])
+    while low < high:
+        width = -(-(high - low + 1) // buckets)
+        inside = values.where((F.col("v") >= F.lit(low)) & (F.col("v") <= F.lit(high)))
+        place = F.expr(f"CAST((v - CAST('{low}' AS DECIMAL(38,0))) DIV CAST('{width}' AS DECIMAL(38,0)) AS INT)")
+        for bucket, many in sorted((r["b"], r["count"]) for r in inside.groupBy(place.alias("b")).count().collect()):
+            if rank < many:
+                break
+            rank -= many
+        low, high = low + bucket * width, min(high, low + (bucket + 1) * width - 1)
+    return low
+
+
 def order_statistics(data: DataFrame, cols: list[str], ranks: dict[int, list[int]], direct_rows=DIRECT_ROWS, ends=None):
     """{(column position, rank): value} for 0-based ranks, exact.
 
