@@ -77,13 +77,17 @@ class IsolationForest(Operator):
             raise ValueError("no rows to fit on")
         size, seed, trees = min(SAMPLE_ROWS, n), self.seed, self.trees
         limit = math.ceil(math.log2(max(size, 2)))
-        # one hash-thresholded draw of a bounded size feeds all trees; each tree takes its own first rows of it
+        # one hash-thresholded draw of a bounded size feeds all trees. Each drawn row is dealt by hash to as many trees as
+        # give every tree about four samples' rows (all trees, if there are few rows); a tree takes its first rows of these
         share = min(1.0, 4.0 * size * trees / n)
         draw = rows
         if share < 1.0:
             draw = rows.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1_000_000_007)) < F.lit(int(share * 1_000_000_007)))
         draw = checkpointed(draw)
-        dealt = draw.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
+        copies = min(trees, math.ceil(4.0 * size * trees / max(1, draw.count())))
+        start = F.pmod(F.xxhash64("id", F.lit(f"deal {seed}")), F.lit(trees))
+        dealt = draw.withColumn("tree", F.explode(F.sequence(start, start + F.lit(copies - 1))))
+        dealt = dealt.withColumn("tree", F.pmod("tree", F.lit(trees)).cast("int"))
         dealt = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("tree").orderBy(F.xxhash64("id", "tree", F.lit(seed)), "id")))
         dealt = dealt.where(F.col("rank") <= size).drop("rank")
 

@@ -1,4 +1,5 @@
-"""Feed-forward networks trained data-parallel: each task returns its share of the gradient, the driver takes the step."""
+"""Feed-forward networks trained data-parallel: ``adam`` and ``sgd`` run mini-batches in every task and average the
+parameters each round; ``lbfgs`` sums the tasks' shares of the full gradient."""
 
 from __future__ import annotations
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import as_double, class_index, class_map, class_value, feature_array, names, require, sorted_classes
-from ..plans.descent import minimise
+from ..plans.descent import averaged_rounds, minimise
 from ..plans.sums import lists_to_matrix, sum_vectors
 from .linear import accuracy
 from .metrics import regression_metrics
@@ -119,7 +120,11 @@ class _MLP(Operator):
                 sums = sum_vectors(rows, part, len(flat) + 1) / n
                 return sums[0] + 0.5 * L2 * (flat @ flat) / n, sums[1:] + L2 * flat / n
 
-            flat, loss, rounds = minimise(objective, start, self.solver, self.rate, self.max_iter)
+            if self.solver == "lbfgs":
+                flat, loss, rounds = minimise(objective, start, self.max_iter)
+            else:
+                step = lambda x, y, flat: loss_and_gradient(x, y, flat, sizes, kind, classify)
+                flat, loss, rounds = averaged_rounds(rows, step, start, n, self.solver, self.rate, self.max_iter, L2, seed=self.seed)
         finally:
             rows.unpersist()
         out = MLPModel(

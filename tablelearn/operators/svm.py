@@ -197,7 +197,7 @@ class SVR(_SVM):
                 return sums[0] + 0.5 * (w[:-1] @ w[:-1]) / (C * n), sums[1:] + ridge
 
             start = np.append(np.zeros(d), middle)
-            w, loss, rounds = minimise(objective, start, "lbfgs", 0.0, self.max_iter)
+            w, loss, rounds = minimise(objective, start, self.max_iter)
             model = SVRModel(
                 cols=self.cols, target=self.target, kernel_state=state, weights=w[:-1].tolist(), intercept=float(w[-1]),
                 iterations=rounds, training_samples=n, epsilon=eps,

@@ -5,19 +5,21 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
-from tablelearn.core import Fitted, guarded
+from tablelearn.core import Fitted, guarded, load_fitted, save_fitted
 from tablelearn.operators.anomaly import IsolationForest
 from tablelearn.operators.bayes import GaussianNB
 from tablelearn.operators.chain import Chain
+from tablelearn.operators.cluster import agglomerative, shift_seeds, spectral
 from tablelearn.operators.decompose import NMF, PCA, TruncatedSVD
 from tablelearn.operators.encoders import LabelEncoder, OneHotEncoder
 from tablelearn.operators.ensemble import CalibratedClassifier, StackingClassifier, VotingClassifier
 from tablelearn.operators.imputer import SimpleImputer
-from tablelearn.operators.knn import KNNClassifier
+from tablelearn.operators.knn import KNNClassifier, KNNRegressor
 from tablelearn.operators.linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
 from tablelearn.operators.metrics import classification_metrics
-from tablelearn.operators.mlp import MLPRegressor, loss_and_gradient
+from tablelearn.operators.mlp import MLPClassifier, MLPRegressor, loss_and_gradient
 from tablelearn.operators.scalers import MinMaxScaler, RobustScaler, StandardScaler, normalizer
+from tablelearn.operators.select import score_features
 from tablelearn.operators.split import train_test_split, with_folds
 from tablelearn.operators.svm import SVC, SVR, kernel_features
 from tablelearn.operators.tfidf import TfidfVectorizer
@@ -267,3 +269,87 @@ def test_generators(spark):
 def test_binary_average_falls_back(spark):
     df = spark.createDataFrame([("a", "a"), ("b", "a"), ("c", "c")], "t string, p string")
     assert classification_metrics(df, "t", "p", "binary").first().average_used == "weighted"
+
+
+def _groups(rows):
+    found = {}
+    for r in rows:
+        found.setdefault(r["cluster"], set()).add(r["id"])
+    return found
+
+
+def test_spectral_separates_cliques_and_blobs(spark):
+    cliques = [(a + base, b + base, 1.0) for base in (0, 100) for a in range(5) for b in range(a)]
+    edges = spark.createDataFrame(cliques + [(7, 7, 1.0)], "src long, dst long, weight double")
+    nodes = spark.createDataFrame([(i + base,) for base in (0, 100) for i in range(5)] + [(7,), (50,)], "id long")
+    got = _groups(spectral(nodes, "id", k=2, affinity="precomputed", edges=edges).collect())
+    assert got == {0: set(range(5)), 1: set(range(100, 105)), -1: {7, 50}}
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1, (30, 2)), rng.normal(50, 1, (30, 2))])
+    rows = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(x)], "id long, a double, b double")
+    for affinity in ("nearest_neighbors", "rbf"):
+        assert _groups(spectral(rows, "id", ["a", "b"], 2, affinity).collect()) == {0: set(range(30)), 1: set(range(30, 60))}
+    none = spectral(nodes, "id", k=2, affinity="precomputed", edges=edges.limit(0)).collect()
+    assert {r["cluster"] for r in none} == {-1}
+
+
+def test_ordered_split_keeps_large_ids_apart(spark):
+    start = 2**53
+    df = spark.range(start, start + 1000)
+    for size, want in ((0.251, 251), (0.5, 500), (0.001, 1)):
+        _, test = train_test_split(df, "id", size, shuffle=False)
+        assert sorted(r["id"] for r in test.collect()) == list(range(start + 1000 - want, start + 1000))
+    wide = spark.createDataFrame([(-(2**62),), (0,), (2**62,), (2**62 + 1,)], "id long")
+    _, test = train_test_split(wide, "id", 0.25, shuffle=False)
+    assert [r["id"] for r in test.collect()] == [2**62 + 1]
+
+
+def test_mean_shift_drops_seeds_without_rows(spark):
+    rows = spark.createDataFrame([(0, [0.0, 0.0]), (1, [0.2, 0.0])], "id long, x array<double>")
+    seed, mean, count = shift_seeds(rows, np.array([[9.0, 9.0], [0.0, 0.0]]), 1.0)
+    assert seed.tolist() == [1] and count.tolist() == [2] and np.allclose(mean, [[0.1, 0.0]])
+
+
+def test_scores_with_a_near_unique_target(blobs, spark):
+    """The class table may have as many rows as the data; scores equal the closed forms."""
+    df, x, _, _ = blobs
+    unique = df.withColumn("t", F.when(F.col("id") < 2, F.lit(0)).otherwise(F.col("id")).cast("string"))
+    got = score_features(unique, ["a", "b", "c"], "t", "f_classif")
+    middle = x.mean(axis=0)
+    pair = x[:2].mean(axis=0)
+    between = (2 * (pair - middle) ** 2 + ((x[2:] - middle) ** 2).sum(axis=0)) / 118
+    assert np.allclose(got, between / ((x[:2] - pair) ** 2).sum(axis=0))
+    shifted = unique.select("t", *[(F.col(c) + 10).alias(c) for c in "abc"])
+    observed = np.concatenate([(x[:2] + 10).sum(axis=0)[None], x[2:] + 10])
+    expected = np.outer(np.array([2] + [1] * 118) / 120, observed.sum(axis=0))
+    assert np.allclose(score_features(shifted, ["a", "b", "c"], "t", "chi2"), ((observed - expected) ** 2 / expected).sum(axis=0))
+
+
+def test_limits_are_errors_not_other_results(spark, blobs):
+    with pytest.raises(ValueError):
+        DecisionTreeClassifier(["a"], "label", max_depth=31).fit(blobs[0])
+    rows = spark.range(300).select("id", F.col("id").cast("double").alias("a"))
+    with pytest.raises(ValueError):
+        agglomerative(rows, "id", ["a"], 2, "ward")
+    assert agglomerative(rows, "id", ["a"], 2, "ward", method="two_stage").count() == 300
+
+
+@pytest.mark.parametrize("make", [
+    lambda: KNNClassifier(["a", "b", "c"], "label", "id", 3), lambda: KNNRegressor(["a", "b", "c"], "y", "id", 3, "distance"),
+    lambda: VotingClassifier(["a", "b", "c"], "label", ["LogisticRegression", "RandomForestClassifier"]),
+    lambda: StackingClassifier(["a", "b", "c"], "label", "id", ["GaussianNB"], cv=2),
+    lambda: CalibratedClassifier(["a", "b", "c"], "label", "id", "GaussianNB", "isotonic", cv=2),
+    lambda: DecisionTreeClassifier(["a", "b", "c"], "label", max_depth=3)])
+def test_saved_models_predict_the_same(spark, blobs, tmp_path, make):
+    df = blobs[0]
+    model = make().fit(df)
+    save_fitted(spark, model, str(tmp_path))
+    again = load_fitted(spark, str(tmp_path))
+    want = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+    assert {r["id"]: r["prediction"] for r in again.transform(df).collect()} == want
+
+
+def test_default_network_learns(blobs):
+    df = blobs[0]
+    net = MLPClassifier(["a", "b", "c"], "label", hidden="16", max_iter=60, learning_rate=0.01).fit(df)
+    assert net.accuracy >= LogisticRegression(["a", "b", "c"], "label").fit(df).accuracy - 0.02

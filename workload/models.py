@@ -362,9 +362,9 @@ for _name, _make in TREE_MODELS.items():
 
 
 def _small(spark, sf):
-    """One row per customer: scaled balance and nation, order count and mean price from the orders table."""
+    """One row per customer: scaled balance and nation, order count and mean price (both 0 without orders)."""
     per = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.avg("o_totalprice").alias("p"))
-    rows = table(spark, sf, "customer").join(per, F.col("c_custkey") == F.col("o_custkey"))
+    rows = table(spark, sf, "customer").join(per, F.col("c_custkey") == F.col("o_custkey"), "left").fillna(0, ["n", "p"])
     return rows.select(F.col("c_custkey").alias("id"), (F.col("c_acctbal") / 5000).alias("a"), (F.col("c_nationkey") / 12 - 1).alias("b"),
                        (F.col("n") / 10 - 1).alias("n"), (F.col("p") / 100000 - 2.5).alias("p"), (F.col("c_acctbal") > 4500).cast("int").alias("rich"))
 
