@@ -207,14 +207,20 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for start in range(0, len(part), 256):
                 some = part.iloc[start:start + 256]
                 found = [_read(h) for h in some["html"]]
-                yield some[["page_id", "url", "host"]].assign(**{k: [f[k] for f in found] for k in ("mark", "texts", "free", "branches", "features")})
+                yield some[["page_id", "url", "host"]].assign(**{k: [f[k] for f in found] for k in ("mark", "texts", "free", "branches", "shapes")})
 
     read = checkpointed(table.mapInPandas(
         parse, "page_id {}, url string, host string, mark long, texts array<string>, free array<boolean>, branches array<array<long>>, "
-        "features array<struct<branch: long, kind: int, feature: long>>".format(table.schema["page_id"].dataType.simpleString())))
+        "shapes array<struct<branch: long, shape: long>>".format(table.schema["page_id"].dataType.simpleString())))
     # one row per different page of a host, counted before anything is multiplied out
-    once = read.select("host", "mark", "features").dropDuplicates(["host", "mark"])
-    features = once.select("host", F.inline("features")).groupBy("host", "branch", "kind", "feature").agg(F.count(F.lit(1)).alias("pages"))
+    once = read.select("host", "mark", F.transform("texts", lambda t: F.xxhash64(t)).alias("marks"), "branches", "shapes").dropDuplicates(["host", "mark"])
+
+    def feature(branch, kind, value):
+        return F.struct(branch.alias("branch"), F.lit(kind).alias("kind"), value.alias("feature"))
+
+    texts = F.flatten(F.transform(F.arrays_zip("marks", "branches"), lambda b: F.transform(b["branches"], lambda x: feature(x, 0, b["marks"]))))
+    shapes = F.flatten(F.transform("shapes", lambda s: F.array(feature(s["branch"], 1, s["shape"]), feature(s["branch"], 2, F.lit(0).cast("long")))))
+    features = once.select("host", F.inline(F.concat(F.array_distinct(texts), shapes))).groupBy("host", "branch", "kind", "feature").agg(F.count(F.lit(1)).alias("pages"))
     low = importance(features).where((F.col("importance") < min_importance) & (F.col("pages") >= min_pages))
     low = checkpointed(low.select("host", "branch"))
     few = low.count() <= BROADCAST_BRANCHES
@@ -229,18 +235,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
 def _read(source: str | None) -> dict:
     page = Page(source or "")
     blocks = [b for b in page.blocks if b[1]] or page.blocks
-    features, branches = [], set()
-    for text, _, _, path in blocks:
-        mark = _hash(text)
-        branches.update(path)
-        features.extend((branch, 0, mark) for branch in path)
-    features = list(dict.fromkeys(features))
-    for branch in sorted(branches):
-        features.append((branch, 2, 0))
-        features.append((branch, 1, _hash(" ".join(page.shapes.get(branch, ())))))
+    branches = dict.fromkeys(branch for b in blocks for branch in b[3])
     texts = [b[0] for b in blocks]
     return {"mark": _hash("\n".join(texts)), "texts": texts, "free": [b[1] and b[2] for b in blocks], "branches": [b[3] for b in blocks],
-            "features": [{"branch": b, "kind": k, "feature": f} for b, k, f in features]}
+            "shapes": [{"branch": b, "shape": _hash(" ".join(page.shapes.get(b, ())))} for b in branches]}
 
 
 def _hash(text: str) -> int:
