@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from tablelearn.operators.decompose import NMF, PCA, PCAModel, TruncatedSVD, TruncatedSVDModel
 from tablelearn.operators.select import RFE, SelectKBest, SelectPercentile, VarianceThreshold, score_features
 from tablelearn.operators.tfidf import TfidfVectorizer
@@ -116,6 +118,21 @@ def _(spark, sf):
     return out.select("vec_id", *[r(f"PC{i + 1}").alias(f"PC{i + 1}") for i in range(m.n_components)])
 
 
+@query("pca_embeddings_variance", """
+WITH long AS (SELECT unnest(range(64)) AS j, unnest(embedding::DOUBLE[]) AS e FROM embeddings),
+     per AS (SELECT j, var_samp(e) AS v FROM long GROUP BY j)
+SELECT round(sum(v), 6) AS total_variance, 64::BIGINT AS orthonormal, true AS ordered FROM per""")
+def _(spark, sf):
+    """All components together hold the whole variance; they are orthonormal and stand by falling variance."""
+    cols = [f"e{i}" for i in range(64)]
+    vectors = table(spark, sf, "embeddings").select("vec_id", *[F.col("embedding")[i].alias(c) for i, c in enumerate(cols)])
+    m = PCA(cols, 64).fit(vectors)
+    axes, held = np.array(m.components), np.array(m.explained_variance)
+    unit = int(np.isclose(axes @ axes.T, np.eye(64), atol=1e-9).all(axis=1).sum())
+    row = (float(held.sum()), unit, bool((np.diff(held) <= 1e-12).all()))
+    return spark.createDataFrame([row], "total_variance double, orthonormal long, ordered boolean").withColumn("total_variance", r("total_variance"))
+
+
 SVD_SQL = """
 WITH s AS (SELECT sum(p_size * p_size)::DOUBLE AS va, sum(p_retailprice * p_retailprice) AS vb, sum(p_size * p_retailprice) AS c FROM part),
      e AS (SELECT *, (va + vb) / 2 + sqrt((va - vb) * (va - vb) / 4 + c * c) AS l1, (va + vb) / 2 - sqrt((va - vb) * (va - vb) / 4 + c * c) AS l2 FROM s),

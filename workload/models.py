@@ -89,6 +89,16 @@ for _name, (_kind, _args, _w) in PENALTIES.items():
         return _one(spark, dict(coefficient=m.coefficients[0], intercept=m.intercept, training_samples=m.training_samples), dict(coefficient=4, intercept=3))
 
 
+for _name in ("ridge", "lasso"):
+    _kind, _args, _w = PENALTIES[f"{_name}_train"]
+
+    @query(f"{_name}_fit_predict", ONE_SQL.format(w=_w).rsplit("SELECT", 1)[0] + """
+SELECT p_partkey, round(my - w * mx + w * p_size, 3) AS prediction FROM part, w""")
+    def _(spark, sf, kind=_kind, args=_args):
+        out = kind("q", "y", **args).fit(_lines(spark, sf)).transform(table(spark, sf, "part").withColumn("q", F.col("p_size")))
+        return out.select("p_partkey", r("prediction", 3).alias("prediction"))
+
+
 @query("ridge_lasso_predict", "SELECT p_partkey, round(1.5 + 0.25 * p_size - 0.5 * p_retailprice, 6) + 0.0 AS prediction FROM part")
 def _(spark, sf):
     model = LinearModel(cols=["p_size", "p_retailprice"], coefficients=[0.25, -0.5], intercept=1.5)
