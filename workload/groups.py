@@ -8,7 +8,7 @@ from tablelearn.operators.anomaly import IsolationForest
 from tablelearn.operators.chain import Chain
 from tablelearn.operators.cluster import KMeans, KMeansModel, MeanShift, agglomerative, dbscan, dbscan_summary, shift_seeds, spectral
 from tablelearn.operators.ensemble import CalibratedClassifier, StackingClassifier, VotingClassifier, VotingModel
-from tablelearn.operators.linear import LogisticModel
+from tablelearn.operators.linear import LinearRegression, LogisticModel
 from tablelearn.operators.tune import cross_validate, cv_summary, fold_table, grid_search, leave_one_out
 from tablelearn.plans.neighbors import points
 
@@ -338,6 +338,20 @@ def _(spark, sf):
     return out.select("o_orderkey", r("prediction", 4).alias("prediction"))
 
 
+@query("chain_scaled_predict", """
+WITH s AS (SELECT avg(o_custkey) AS m, stddev_pop(o_custkey) AS d, min(o_custkey) AS lo, max(o_custkey) AS hi FROM orders),
+     z AS (SELECT o_orderkey, o_totalprice AS y, (o_custkey - m) / d AS z, ((o_custkey - lo) / (hi - lo)) ** 2 AS q FROM orders, s),
+     f AS (SELECT regr_slope(y, q) AS b, regr_intercept(y, q) AS a FROM z)
+SELECT o_orderkey, round(a + b * q, 3) AS prediction FROM z, f""")
+def _(spark, sf):
+    """A square is not undone by an affine step before it, so the prediction depends on the scaler."""
+    orders = table(spark, sf, "orders")
+    model = Chain("o_custkey", ["StandardScaler", "MinMaxScaler", "PolynomialFeatures"]).fit(orders)
+    squared = model.transform(orders).withColumn("q", F.col("transformed_3"))
+    out = LinearRegression("q", "o_totalprice").fit(squared).transform(squared)
+    return out.select("o_orderkey", r("prediction", 3).alias("prediction"))
+
+
 @query("chain_transform", CHAIN_SQL + """, z AS (SELECT o_orderkey, (o_custkey - lo) / (hi - lo) AS z FROM orders, s)
 SELECT o_orderkey, 1.0::DOUBLE AS transformed_1, round(z, 6) AS transformed_2, round(z * z, 6) AS transformed_3 FROM z""")
 def _(spark, sf):
