@@ -273,7 +273,7 @@ AFFINITIES = ("rbf", "nearest_neighbors", "precomputed")
 
 
 def spectral(
-    df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=60, n_init=10
+    df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=40, n_init=10
 ) -> DataFrame:
     """Graph clustering: k leading eigenvectors of a sparse similarity graph, then K-Means on them; all rows plus
     ``cluster``, numbered by smallest member id. Rows without any link get -1.

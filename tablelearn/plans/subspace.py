@@ -11,7 +11,7 @@ from .skew import hot_safe_join
 from .sums import lists_to_matrix, sum_vectors
 
 
-def graph_embedding(links: DataFrame, k: int, seed: int = 42, max_iter: int = 60, tol: float = 1e-7) -> DataFrame:
+def graph_embedding(links: DataFrame, k: int, seed: int = 42, max_iter: int = 40, tol: float = 1e-5) -> DataFrame:
     """(id, v): the k leading eigenvectors of D^-1/2 W D^-1/2, each divided by the root of the degree.
 
     ``links``: (src, dst, weight), undirected, one row per pair. All columns are iterated together: one join with the
