@@ -133,6 +133,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeniz
                         for column, value in zip(columns, row, strict=True):
                             column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
+        encode.older.clear()  # what stays for the worker's next task is one generation at most
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 

@@ -24,7 +24,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHash(dict):
     """word -> 64-bit hash, remembered for the words seen lately."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
