@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablelearn.plans.lineage import checkpointed
 
-#: Most frequent words with an emission of their own; all others share the emissions of their spelling class.
+#: At most so many of the most frequent words have an emission of their own; all others share that of their spelling class.
 COMMON = 32_768
 CLASSES = 4_096
 STATES = 8
@@ -96,12 +97,15 @@ def read_vocabulary(counts: DataFrame, common: int = COMMON) -> tuple[Vocabulary
     """The bounded vocabulary, and the counts of the words outside it, which stay a table."""
     totals = counts.agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("words"), F.sum(F.expr("CASE WHEN class < 0 THEN n END")).alias("ends")).first()
     words = counts.where("class >= 0")
-    top = words.orderBy(F.col("n").desc(), "name").limit(common).collect()  # bounded by the parameter
-    if len(top) == common:
-        last = top[-1]
-        rare = words.where((F.col("n") < last["n"]) | ((F.col("n") == last["n"]) & (F.col("name") > last["name"])))
-    else:
-        rare = words.where("false")
+    # the least count that at most ``common`` words reach; words of equal count stay together
+    room, least = common, None
+    for r in sorted(words.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True):
+        if r["words"] > room:
+            break
+        room, least = room - r["words"], r["n"]
+    top = words.where(F.col("n") >= least).collect() if least is not None else []  # bounded by the parameter
+    top.sort(key=lambda r: (-r["n"], r["name"]))
+    rare = words.where(F.col("n") < least) if least is not None else words
     mass = np.ones(CLASSES)
     for r in rare.groupBy("class").agg(F.sum(F.col("n") + 1).alias("mass")).collect():
         mass[r["class"]] += r["mass"]
@@ -116,8 +120,7 @@ class Speller(dict):
         super().__init__()
         self.common = {int(n): k for k, n in enumerate(names)}
         self.offset, self.limit = len(names), limit
-        self.symbol: list[int] = []
-        self.name: list[int] = []
+        self.symbol, self.name = array("i"), array("q")
 
     def __missing__(self, word: bytes) -> int:
         name = _name(word)
@@ -130,8 +133,7 @@ class Speller(dict):
     def forget(self) -> None:
         if len(self) > self.limit:
             self.clear()
-            self.symbol.clear()
-            self.name.clear()
+            del self.symbol[:], self.name[:]
 
 
 def encode(docs: DataFrame, names: np.ndarray) -> DataFrame:
@@ -175,7 +177,7 @@ def batches(sequences, most: int = 512, tokens: int = 200_000):
     while at < len(order):
         longest = max(1, sizes[order[at]])
         take = order[at:at + max(1, min(most, tokens // longest))]
-        grid = np.zeros((longest, len(take)), np.int64)
+        grid = np.zeros((longest, len(take)), np.int32)
         for k, i in enumerate(take):
             grid[:sizes[i], k] = sequences[i]
         yield take, grid, sizes[take]
@@ -184,47 +186,52 @@ def batches(sequences, most: int = 512, tokens: int = 200_000):
 
 def log_likelihood(model: Model, sequences) -> np.ndarray:
     """log10 probability of each sequence by the scaled forward recursion, over the whole sequence."""
-    out = np.zeros(len(sequences))
-    for take, grid, sizes in batches(sequences):
+    out, ones = np.zeros(len(sequences)), np.ones(len(model.start))
+    for take, grid, sizes in batches(sequences, tokens=4_000_000):
         total, state = np.zeros(len(take)), None
         alive = np.searchsorted(-sizes, -np.arange(len(grid)), side="left")  # sequences longer than t
         for t in range(len(grid)):
             n = alive[t]
-            state = (model.start if t == 0 else state[:n] @ model.move) * model.emit[grid[t, :n]]
-            scale = state.sum(axis=1)
+            seen = model.emit.take(grid[t, :n], axis=0)
+            seen *= model.start if t == 0 else state[:n] @ model.move
+            scale = seen @ ones
             total[:n] += np.log10(scale)
-            state /= scale[:, None]
+            seen *= (1 / scale)[:, None]
+            state = seen
         out[take] = total
     return out
 
 
 def expected_counts(model: Model, sequences, opens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch counts of one set of windows: starts, moves, emissions. ``opens``: whether a window opens its document."""
-    states = len(model.start)
-    starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros_like(model.emit)
+    states, ones = len(model.start), np.ones(len(model.start))
+    starts, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros(model.emit.size)
     for take, grid, sizes in batches(sequences):
         steps, width = grid.shape
         alive = np.searchsorted(-sizes, -np.arange(steps), side="left")
-        forward, scales = np.zeros((steps, width, states)), np.ones((steps, width))
+        forward, scales = np.zeros((steps, width, states)), np.ones((steps, width))  # scales: one over the sums
         for t in range(steps):
             n = alive[t]
-            state = (model.start if t == 0 else forward[t - 1, :n] @ model.move) * model.emit[grid[t, :n]]
-            scale = state.sum(axis=1)
-            forward[t, :n], scales[t, :n] = state / scale[:, None], scale
+            state = model.emit.take(grid[t, :n], axis=0)
+            state *= model.start if t == 0 else forward[t - 1, :n] @ model.move
+            scale = state @ ones
+            np.divide(1, scale, out=scales[t, :n])
+            np.multiply(state, scales[t, :n, None], out=forward[t, :n])
         back = np.ones((width, states))
         for t in range(steps - 1, 0, -1):
             n = alive[t]
-            seen = back[:n] * model.emit[grid[t, :n]] / scales[t, :n, None]
-            moves += model.move * (forward[t - 1, :n].T @ seen)
+            seen = model.emit.take(grid[t, :n], axis=0)
+            seen *= back[:n]
+            seen *= scales[t, :n, None]
+            moves += forward[t - 1, :n].T @ seen
             forward[t, :n] *= back[:n]
             back[:n] = seen @ model.move.T
         forward[0] *= back
         starts += forward[0][np.asarray(opens)[take]].sum(axis=0)
         here = np.arange(steps)[:, None] < sizes[None, :]
-        symbol, share = grid[here], forward[here]
-        for s in range(states):
-            emits[:, s] += np.bincount(symbol, weights=share[:, s], minlength=len(emits))
-    return starts, moves, emits
+        cell = grid[here][:, None] * states + np.arange(states)
+        emits += np.bincount(cell.ravel(), weights=forward[here].ravel(), minlength=len(emits))
+    return starts, moves * model.move, emits.reshape(model.emit.shape)
 
 
 def normalised(starts, moves, emits, shared: np.ndarray, smoothing: float = SMOOTHING) -> Model:
@@ -265,8 +272,9 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, states: int = STATES, roun
     """Baum-Welch over the training rows of ``encoded``. A round is one pass; tasks return expected counts by symbol, a
     table as large as the bounded alphabet."""
     training = encoded.where("NOT held_out").select("row", "tokens")
-    sample = training.where("size(tokens) >= 40").orderBy(F.xxhash64("row"), "row").limit(SEED_DOCS)
-    sample = [np.array(r["tokens"]) for r in sample.select(F.slice("tokens", 1, 2000).alias("tokens")).collect()]
+    chosen = training.where("size(tokens) >= 40").select("row").orderBy(F.xxhash64("row"), "row").limit(SEED_DOCS)
+    sample = training.join(F.broadcast(chosen), "row").select("row", F.slice("tokens", 1, 2000).alias("tokens")).collect()
+    sample = [np.array(r["tokens"]) for r in sorted(sample)]
     model, shared = first_guess(sample, vocabulary, states), vocabulary.shared()
     columns = [f"s{s}" for s in range(states)]
     schema = "kind int, at int, " + ", ".join(f"{c} double" for c in columns)
