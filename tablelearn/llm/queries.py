@@ -10,7 +10,7 @@ from .mixing import mix, mix_sql
 from .packing import pack_documents
 from .registry import query, read
 from .sitetree import main_text
-from .substring import remove_repeats
+from .substring import remove_passages
 from .toxicity import score_toxicity
 from .urls import judge_sql, judge_urls
 
@@ -37,7 +37,7 @@ def op10_mixing(spark, sf_dir):
 
 @query("op1_substring")
 def op1_substring(spark, sf_dir):
-    return remove_repeats(read(spark, sf_dir, "documents"))
+    return remove_passages(read(spark, sf_dir, "documents"))
 
 
 @query("op3_bagminhash")

@@ -18,6 +18,14 @@ _STOP = np.array([ord(c) for c in ".!?…"], np.uint32)
 _EMPTY = np.zeros(0, np.int64)
 
 
+def _spaces(code: np.ndarray) -> np.ndarray:
+    space = code <= 32
+    space &= (code >= 9) & ((code <= 13) | (code == 32))
+    if len(code) and code.max() >= 0x85:
+        space |= np.isin(code, _SPACE)
+    return space
+
+
 def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, words, digest) of the units of a text, in order.
 
@@ -26,10 +34,7 @@ def units(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     words with A-Z and À-Þ lower-cased; white space does not matter.
     """
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    space = code <= 32
-    space &= (code >= 9) & ((code <= 13) | (code == 32))
-    if len(code) and code.max() >= 0x85:
-        space |= np.isin(code, _SPACE)
+    space = _spaces(code)
     solid = ~space
     begin = np.flatnonzero(solid & np.concatenate(([True], space[:-1]))) if len(code) else _EMPTY
     if not len(begin):
@@ -131,7 +136,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of 5 in 10^8, and a removal takes several words' units in a row.
     """
     table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    done = _dedup(table, "doc_id", "text", min_words)
+    return _with_spans(_dedup(table, "doc_id", "text", min_words))
+
+
+def _with_spans(done: DataFrame) -> DataFrame:
     spans = F.transform("_spans", lambda s: F.struct(s[0].alias("start"), s[1].alias("end")))
     size = F.aggregate("_spans", F.lit(0), lambda total, s: total + s[1] - s[0])
     return done.select("doc_id", "text", spans.alias("removed"), size.alias("n_removed"))
@@ -140,3 +148,127 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with repeated passages cut from the text; all columns and rows stay."""
     return _dedup(docs, id_col, text_col, min_words).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, digest, first) of the words of a text: ``first`` marks the words that start a unit.
+
+    Words and units are those of ``units``.
+    """
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = _spaces(code)
+    solid = ~space
+    if not solid.any():
+        return _EMPTY, _EMPTY, _EMPTY.view(_U), np.zeros(0, bool)
+    edge = space[1:] | space[:-1]
+    begin = np.flatnonzero(solid & np.concatenate(([True], edge)))
+    end = np.flatnonzero(solid & np.concatenate((edge, [True]))) + 1
+    upper = ((code >= 65) & (code <= 90)) | ((code >= 0xC0) & (code <= 0xDE) & (code != 0xD7))
+    lines = np.cumsum(code == 10)
+    first = upper[begin]
+    first[0] = True
+    first[1:] |= np.isin(code[end[:-1] - 1], _STOP) | (lines[begin[1:]] != lines[end[:-1] - 1])
+    low = code.astype(_U) + (upper * _U(32)).astype(_U)
+    length = end - begin
+    inside = np.flatnonzero(solid)
+    offset = inside - np.repeat(begin, length)
+    word = np.add.reduceat(mix((low[inside] << _U(32)) + offset.astype(_U) + _U(1)), np.cumsum(length) - length)
+    return begin, end, mix(word), first
+
+
+class Ranges:
+    """Digests of ranges of words in order: sums of word times power, moved to the start of the range."""
+
+    _BASE, _BACK = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+    def __init__(self, word: np.ndarray):
+        count = len(word)
+        power, self._back = (np.concatenate((np.ones(1, _U), np.cumprod(np.full(count, base, _U), dtype=_U))) for base in (self._BASE, self._BACK))
+        self._sums = np.concatenate((np.zeros(1, _U), np.cumsum(word * power[:count], dtype=_U)))
+
+    def __call__(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix((self._sums[stop] - self._sums[start]) * self._back[start] + mix((stop - start).astype(_U))).view(np.int64)
+
+
+class Reading:
+    """A text's ``begin`` and ``end`` of words, and its chains of units as ``chain`` (digest), ``start`` and ``stop`` (words)."""
+
+    def __init__(self, text: str, min_words: int):
+        self.begin, self.end, word, first = tokens(text)
+        count = len(word)
+        ranges = Ranges(word)
+        head = np.flatnonzero(first)
+        tail = np.append(head[1:], count) if len(head) else _EMPTY
+        # from each unit on, and up to each unit, the least whole units with so many words together
+        ahead = np.searchsorted(tail, head + min_words)
+        back = np.searchsorted(head, tail - min_words, side="right") - 1
+        on, up = ahead < len(tail), back >= 0
+        pairs = np.concatenate((np.stack((head[on], tail[ahead[on]]), 1), np.stack((head[back[up]], tail[up]), 1))) if count else np.zeros((0, 2), np.int64)
+        pairs = np.unique(pairs, axis=0)
+        self.start, self.stop = pairs[:, 0], pairs[:, 1]
+        self.chain = ranges(self.start, self.stop)
+
+    def repeated(self, chains) -> list[tuple[int, int]]:
+        """Spans to remove. ``chains``: the digests that an earlier document holds. A chain that stands earlier in the text,
+        and has ended before it starts again, goes too."""
+        cover = np.zeros(len(self.begin) + 1, np.int64)
+        if len(self.chain):
+            _, place, own = np.unique(self.chain, return_index=True, return_inverse=True)
+            again = (self.stop[place][own] <= self.start) | _among(self.chain, chains)
+            np.add.at(cover, self.start[again], 1)
+            np.add.at(cover, self.stop[again], -1)
+        gone = np.cumsum(cover[:-1]) > 0
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
+        return [(int(self.begin[a]), int(self.end[b - 1])) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+
+
+def _among(digest: np.ndarray, some) -> np.ndarray:
+    return np.isin(digest, np.asarray(some, np.int64)) if some is not None and len(some) else np.zeros(len(digest), bool)
+
+
+def _earlier(held: DataFrame) -> DataFrame:
+    """(row_key, digest) of the rows of ``held`` whose digest an earlier document holds."""
+    firsts = held.groupBy("digest").agg(F.min("row_key").alias("first"), F.max("row_key").alias("last")).where("`first` < `last`")
+    return held.join(firsts.select("digest", "first"), "digest").where("row_key > `first`").drop("first")
+
+
+def _passage_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """``docs`` with text replaced and ``_spans`` added."""
+    keyed = docs.withColumn("_span_key", row_key(id_col, text_col))
+    table = keyed.select(F.col("_span_key").alias("row_key"), F.col(text_col).cast("string").alias("text"))
+
+    def split(parts):
+        for part in parts:
+            for start in range(0, len(part), 512):
+                some = part.iloc[start:start + 512]
+                found = [np.unique(Reading(t or "", min_words).chain) for t in some["text"]]
+                if found:
+                    yield pd.DataFrame({"row_key": np.repeat(some["row_key"].to_numpy(), [len(f) for f in found]), "digest": np.concatenate(found)})
+
+    chains = _earlier(checkpointed(table.mapInPandas(split, "row_key long, digest long")))
+    marks = chains.groupBy("row_key").agg(F.collect_set("digest").alias("_span_chains")).withColumnRenamed("row_key", "_span_key")
+    marked = keyed.join(marks, "_span_key", "left")
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def find(texts: pd.Series, chains: pd.Series) -> pd.Series:
+        return pd.Series([Reading(t or "", min_words).repeated(c) for t, c in zip(texts, chains, strict=True)])
+
+    @F.pandas_udf(T.StringType())
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None else cut_out(t, s) for t, s in zip(texts, spans, strict=True)])
+
+    text = F.col(text_col).cast("string")
+    found = marked.withColumn("_spans", find(text, "_span_chains"))
+    return found.withColumn(text_col, cut(text, F.col("_spans"))).drop("_span_key", "_span_chains")
+
+
+def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """As ``remove_repeats``, but what goes stood together, in this order, in one earlier document or earlier in the text:
+    whole consecutive units with ``min_words`` words or more."""
+    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _with_spans(_passage_spans(table, "doc_id", "text", min_words))
+
+
+def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` with the spans of ``remove_passages`` cut from the text; all columns and rows stay."""
+    return _passage_spans(docs, id_col, text_col, min_words).select(*[F.col(f"`{c}`") for c in docs.columns])

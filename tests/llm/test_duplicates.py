@@ -257,3 +257,16 @@ def test_runs():
     owner, value = np.array([0, 0, 0, 1, 1]), np.array([5, 5, 6, 6, 6])
     first, length = runs(owner, value)
     assert first.tolist() == [0, 2, 3] and length.tolist() == [2, 1, 2]
+
+
+def kept_words(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    return {r["doc_id"]: r["text"] for r in substring.remove_passages(frame).collect()}
+
+
+def test_units_of_unrelated_documents_do_not_add_up(spark):
+    names = [f"Name{k}" for k in range(12)]
+    rows = [(k, f"{n}\nonly here {k}") for k, n in enumerate(names)] + [(50, " ".join(names)), (51, "NEW TITLE"), (52, " ".join(names))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = kept_words(spark, rows)
+    assert got[50] == " ".join(names) and got[52] == "" and all(got[k] == t for k, t in rows[:12])
