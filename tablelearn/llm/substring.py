@@ -12,10 +12,22 @@ from .shingles import mix, row_key
 
 #: Repeated units go only where consecutive ones hold this many words together.
 MIN_WORDS = 8
+#: A sequence of this many words goes wherever it starts and ends.
+PASSAGE_WORDS = 50
+#: Words of the digests among which a window's anchor is the least.
+ANCHOR_WORDS = 8
 _U = np.uint64
 _SPACE = np.array([9, 10, 11, 12, 13, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000], np.uint32)
 _STOP = np.array([ord(c) for c in ".!?…"], np.uint32)
+# The stops of other scripts, and blocks of scripts that put no spaces between words.
+_STOPS = np.concatenate((_STOP, np.array([ord(c) for c in "。！？｡؟۔।॥።၊။։"], np.uint32)))
+_SINGLE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF01, 0xFF9F),
+           (0x20000, 0x3FFFF))
 _EMPTY = np.zeros(0, np.int64)
+# Kinds of digests; one more: the chain or anchor stands twice in the text.
+_CHAIN, _ANCHOR, _LONG = np.int8(0), np.int8(2), np.int8(4)
+# What keeps the digests of anchors and of long chains apart from those of chains of units over the same words.
+_APART = np.int64(0x2545F4914F6CDD1D), np.int64(0x5851F42D4C957F2D)
 
 
 def _spaces(code: np.ndarray) -> np.ndarray:
@@ -153,21 +165,26 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(begin, end, digest, first) of the words of a text: ``first`` marks the words that start a unit.
 
-    Words and units are those of ``units``.
+    As for ``units``, but a character of a script without spaces is a word of its own, and the stops of other scripts end
+    a unit too, so that a line of Chinese is many words in several sentences.
     """
     code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     space = _spaces(code)
     solid = ~space
     if not solid.any():
         return _EMPTY, _EMPTY, _EMPTY.view(_U), np.zeros(0, bool)
-    edge = space[1:] | space[:-1]
+    single = np.zeros(len(code), bool)
+    if code.max() >= 0x0E00:
+        for low, high in _SINGLE:
+            single |= (code >= low) & (code <= high)
+    edge = single[1:] | single[:-1] | space[1:] | space[:-1]
     begin = np.flatnonzero(solid & np.concatenate(([True], edge)))
     end = np.flatnonzero(solid & np.concatenate((edge, [True]))) + 1
     upper = ((code >= 65) & (code <= 90)) | ((code >= 0xC0) & (code <= 0xDE) & (code != 0xD7))
     lines = np.cumsum(code == 10)
     first = upper[begin]
     first[0] = True
-    first[1:] |= np.isin(code[end[:-1] - 1], _STOP) | (lines[begin[1:]] != lines[end[:-1] - 1])
+    first[1:] |= np.isin(code[end[:-1] - 1], _STOPS) | (lines[begin[1:]] != lines[end[:-1] - 1])
     low = code.astype(_U) + (upper * _U(32)).astype(_U)
     length = end - begin
     inside = np.flatnonzero(solid)
@@ -191,12 +208,15 @@ class Ranges:
 
 
 class Reading:
-    """A text's ``begin`` and ``end`` of words, and its chains of units as ``chain`` (digest), ``start`` and ``stop`` (words)."""
+    """A text's ``begin`` and ``end`` of words; its chains of units as ``chain`` (digest), ``start`` and ``stop`` (words);
+    for each window of ``passage`` words its ``anchor``, the least digest of ``ANCHOR_WORDS`` words in a row in it; and
+    ``long`` chains, ``long_start`` and ``long_stop``, from anchor to anchor, of which one holds each window."""
 
-    def __init__(self, text: str, min_words: int):
+    def __init__(self, text: str, min_words: int, passage: int):
+        self.passage = passage
         self.begin, self.end, word, first = tokens(text)
         count = len(word)
-        ranges = Ranges(word)
+        self.ranges = Ranges(word)
         head = np.flatnonzero(first)
         tail = np.append(head[1:], count) if len(head) else _EMPTY
         # from each unit on, and up to each unit, the least whole units with so many words together
@@ -206,69 +226,173 @@ class Reading:
         pairs = np.concatenate((np.stack((head[on], tail[ahead[on]]), 1), np.stack((head[back[up]], tail[up]), 1))) if count else np.zeros((0, 2), np.int64)
         pairs = np.unique(pairs, axis=0)
         self.start, self.stop = pairs[:, 0], pairs[:, 1]
-        self.chain = ranges(self.start, self.stop)
-
-    def repeated(self, chains) -> list[tuple[int, int]]:
-        """Spans to remove. ``chains``: the digests that an earlier document holds. A chain that stands earlier in the text,
-        and has ended before it starts again, goes too."""
+        self.chain = self.ranges(self.start, self.stop)
+        self.anchor = self.long = self.long_start = self.long_stop = _EMPTY
+        if count >= passage:
+            size = min(ANCHOR_WORDS, passage)
+            at = np.arange(count - size + 1)
+            grams, have, want = self.ranges(at, at + size), 1, passage - size + 1
+            least = grams
+            while have < want:
+                step = min(have, want - have)
+                least, have = np.minimum(least[:-step], least[step:]), have + step
+            self.anchor = least ^ _APART[0]
+            head = np.union1d(np.flatnonzero(np.isin(grams, least)), [0])
+            stops = np.union1d(head[1:] + size, [count])
+            begin = head[head + passage + want <= count]
+            begin, end = (begin, stops[np.searchsorted(stops, begin + passage + want)]) if len(begin) else (np.zeros(1, np.int64), np.array([count]))
+            if end[-1] < count:  # the windows at the end of the text
+                begin, end = np.append(begin, begin[-1]), np.append(end, count)
+            self.long_start, self.long_stop, self.long = begin, end, self.ranges(begin, end) ^ _APART[1]
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        return self.ranges(at, at + self.passage)
+
+    def within(self, chosen: np.ndarray) -> np.ndarray:
+        """The furthest word to which, for each window, one of the ``chosen`` long chains goes on that starts no later."""
+        reach = np.zeros(len(self.anchor) + 1, np.int64)
+        inside = chosen & (self.long_start < len(reach))
+        np.maximum.at(reach, self.long_start[inside], self.long_stop[inside])
+        return np.maximum.accumulate(reach)[:-1]
+
+    def open(self, earlier, longs, long_docs, shared, shared_docs) -> np.ndarray:
+        """Windows that must be compared one by one: their anchor stands elsewhere, and no long chain that holds them is
+        one that an earlier document holds or that all rows with the anchor hold."""
+        if shared is None or not len(shared) or not len(self.anchor):
+            return _EMPTY
+        stop = np.arange(len(self.anchor)) + self.passage
+        rows = _looked_up(self.anchor, shared, shared_docs)
+        need = (rows > 1) & (self.within(_among(self.long, earlier)) < stop)
+        held = _looked_up(self.long, longs, long_docs)
+        for many in np.unique(rows[need]):
+            need &= (rows != many) | (self.within(held == many) < stop)
+        return np.flatnonzero(need)
+
+    def repeated(self, chains, longs, shared, passages) -> list[tuple[int, int]]:
+        """Spans to remove. ``chains``, ``longs``, ``passages``: the digests that an earlier document holds; ``shared``: the
+        anchors that stand in another document or twice in this one. A range that stands earlier in the text, and has
+        ended before it starts again, goes too."""
         cover = np.zeros(len(self.begin) + 1, np.int64)
-        if len(self.chain):
-            _, place, own = np.unique(self.chain, return_index=True, return_inverse=True)
-            again = (self.stop[place][own] <= self.start) | _among(self.chain, chains)
-            np.add.at(cover, self.start[again], 1)
-            np.add.at(cover, self.stop[again], -1)
+        at = np.arange(len(self.anchor))
+        if len(at):  # copies inside the text have equal anchors more than once, so nothing else need be read
+            at = at[_among(self.anchor, shared)]
+        for digest, start, stop, earlier in ((self.chain, self.start, self.stop, chains), (self.long, self.long_start, self.long_stop, longs),
+                                              (self.windows(at), at, at + self.passage, passages)):
+            if not len(digest):
+                continue
+            _, place, own = np.unique(digest, return_index=True, return_inverse=True)
+            again = (stop[place][own] <= start) | _among(digest, earlier)
+            np.add.at(cover, start[again], 1)
+            np.add.at(cover, stop[again], -1)
         gone = np.cumsum(cover[:-1]) > 0
         edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
         return [(int(self.begin[a]), int(self.end[b - 1])) for a, b in zip(edge[::2], edge[1::2], strict=True)]
 
+    def anchors(self) -> tuple[np.ndarray, np.ndarray]:
+        """The text's different anchors, and of each whether windows that do not overlap share it."""
+        if not len(self.anchor):
+            return _EMPTY, np.zeros(0, bool)
+        names, first, own = np.unique(self.anchor, return_index=True, return_inverse=True)
+        last = np.zeros(len(names), np.int64)
+        np.maximum.at(last, own, np.arange(len(own)))
+        return names, last - first >= self.passage
+
 
 def _among(digest: np.ndarray, some) -> np.ndarray:
     return np.isin(digest, np.asarray(some, np.int64)) if some is not None and len(some) else np.zeros(len(digest), bool)
 
 
+def _looked_up(digest: np.ndarray, some, values) -> np.ndarray:
+    """The value of each digest, 0 where it is not among ``some``."""
+    if some is None or not len(some):
+        return np.zeros(len(digest), np.int64)
+    some, values = np.asarray(some, np.int64), np.asarray(values, np.int64)
+    order = np.argsort(some)
+    at = order[np.minimum(np.searchsorted(some, digest, sorter=order), len(some) - 1)]
+    return np.where(some[at] == digest, values[at], 0)
+
+
+def _batches(parts, columns: list[str], read):
+    """What ``read`` gives for each row, as digests with marks."""
+    for part in parts:
+        for start in range(0, len(part), 512):
+            some = part.iloc[start:start + 512]
+            found = [read(*row) for row in zip(*(some[c] for c in columns), strict=True)]
+            sizes = [len(f[0]) for f in found]
+            if sum(sizes):
+                yield pd.DataFrame({"row_key": np.repeat(some["row_key"].to_numpy(), sizes), "digest": np.concatenate([f[0] for f in found]),
+                                    "kind": np.concatenate([f[1] for f in found]).astype(np.int8)})
+
+
 def _earlier(held: DataFrame) -> DataFrame:
-    """(row_key, digest) of the rows of ``held`` whose digest an earlier document holds."""
+    """(row_key, digest, kind) of the rows of ``held`` whose digest an earlier document holds."""
     firsts = held.groupBy("digest").agg(F.min("row_key").alias("first"), F.max("row_key").alias("last")).where("`first` < `last`")
     return held.join(firsts.select("digest", "first"), "digest").where("row_key > `first`").drop("first")
 
 
-def _passage_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+def _passage_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int, passage: int) -> DataFrame:
     """``docs`` with text replaced and ``_spans`` added."""
     keyed = docs.withColumn("_span_key", row_key(id_col, text_col))
     table = keyed.select(F.col("_span_key").alias("row_key"), F.col(text_col).cast("string").alias("text"))
 
-    def split(parts):
-        for part in parts:
-            for start in range(0, len(part), 512):
-                some = part.iloc[start:start + 512]
-                found = [np.unique(Reading(t or "", min_words).chain) for t in some["text"]]
-                if found:
-                    yield pd.DataFrame({"row_key": np.repeat(some["row_key"].to_numpy(), [len(f) for f in found]), "digest": np.concatenate(found)})
-
-    chains = _earlier(checkpointed(table.mapInPandas(split, "row_key long, digest long")))
-    marks = chains.groupBy("row_key").agg(F.collect_set("digest").alias("_span_chains")).withColumnRenamed("row_key", "_span_key")
-    marked = keyed.join(marks, "_span_key", "left")
+    def first(text):
+        r = Reading(text or "", min_words, passage)
+        chains, place, own = np.unique(r.chain, return_index=True, return_inverse=True)
+        twice = np.zeros(len(chains), np.int8)
+        np.maximum.at(twice, own, r.stop[place][own] <= r.start)
+        anchors, again = r.anchors()
+        longs = np.unique(r.long)
+        return np.concatenate((chains, anchors, longs)), np.concatenate((_CHAIN + twice, _ANCHOR + again, np.full(len(longs), _LONG)))
+
+    held = checkpointed(table.mapInPandas(lambda parts: _batches(parts, ["text"], first), "row_key long, digest long, kind byte"))
+    known = held.groupBy("digest").agg(F.min("row_key").alias("first"), F.count(F.lit(1)).alias("rows"), F.max("kind").alias("most"))
+    known = known.where(f"rows > 1 OR most IN ({_CHAIN + 1}, {_ANCHOR + 1})").select("digest", "first", "rows")
+    found = held.join(known, "digest").withColumn("later", F.col("row_key") > F.col("first")).where(f"later OR kind <> {_CHAIN}")
+
+    def some(kind, value, when=F.lit(True)):
+        return F.collect_list(F.when(F.col("kind").between(int(kind), int(kind) + 1) & when, value))
+
+    counted = F.struct("digest", "rows")
+    marks = checkpointed(found.groupBy("row_key").agg(
+        some(_CHAIN, F.col("digest"), F.col("later")).alias("chains"), some(_LONG, F.col("digest"), F.col("later")).alias("earlier"),
+        some(_ANCHOR, counted).alias("anchors"), some(_LONG, counted).alias("longs")))
+
+    def second(text, *marked):
+        r = Reading(text, min_words, passage)
+        found = np.unique(r.windows(r.open(*marked)))
+        return found, np.zeros(len(found), np.int8)
+
+    open_rows = table.join(marks.where("size(anchors) > 0").select(
+        "row_key", "earlier", F.col("longs.digest").alias("longs"), F.col("longs.rows").alias("long_rows"),
+        F.col("anchors.digest").alias("shared"), F.col("anchors.rows").alias("shared_rows")), "row_key")
+    windows = checkpointed(open_rows.mapInPandas(lambda parts: _batches(parts, ["text", "earlier", "longs", "long_rows", "shared", "shared_rows"], second), "row_key long, digest long, kind byte"))
+    passages = _earlier(windows).groupBy("row_key").agg(F.collect_set("digest").alias("_span_passages"))
+    marks = marks.select(F.col("row_key"), F.col("chains").alias("_span_chains"), F.col("earlier").alias("_span_longs"), F.col("anchors.digest").alias("_span_shared"))
+    marked = keyed.join(marks.join(passages, "row_key", "left").withColumnRenamed("row_key", "_span_key"), "_span_key", "left")
 
     @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def find(texts: pd.Series, chains: pd.Series) -> pd.Series:
-        return pd.Series([Reading(t or "", min_words).repeated(c) for t, c in zip(texts, chains, strict=True)])
+    def find(texts: pd.Series, chains: pd.Series, longs: pd.Series, shared: pd.Series, passages: pd.Series) -> pd.Series:
+        return pd.Series([[] if m[0] is None else Reading(t or "", min_words, passage).repeated(*m)
+                          for t, *m in zip(texts, chains, longs, shared, passages, strict=True)])
 
     @F.pandas_udf(T.StringType())
     def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series([t if t is None else cut_out(t, s) for t, s in zip(texts, spans, strict=True)])
 
     text = F.col(text_col).cast("string")
-    found = marked.withColumn("_spans", find(text, "_span_chains"))
-    return found.withColumn(text_col, cut(text, F.col("_spans"))).drop("_span_key", "_span_chains")
+    found = marked.withColumn("_spans", find(text, "_span_chains", "_span_longs", "_span_shared", "_span_passages"))
+    return found.withColumn(text_col, cut(text, F.col("_spans"))).drop("_span_key", "_span_chains", "_span_longs", "_span_shared", "_span_passages")
 
 
-def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passage: int = PASSAGE_WORDS) -> DataFrame:
     """As ``remove_repeats``, but what goes stood together, in this order, in one earlier document or earlier in the text:
-    whole consecutive units with ``min_words`` words or more."""
-    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return _with_spans(_passage_spans(table, "doc_id", "text", min_words))
-
+    whole consecutive units with ``min_words`` words or more, and every sequence of ``passage`` words, wherever it starts
+    and ends. A character of a script without spaces counts as a word.
 
-def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with the spans of ``remove_passages`` cut from the text; all columns and rows stay."""
-    return _passage_spans(docs, id_col, text_col, min_words).select(*[F.col(f"`{c}`") for c in docs.columns])
+    Each window of ``passage`` words has an anchor, the least digest of eight words in a row in it, so equal windows have
+    equal anchors. Chains from anchor to anchor that an earlier document holds go whole. Windows are compared one by one
+    only where their anchor stands elsewhere too and not all rows with the anchor hold the chain around: the rest have no
+    border of a copy, so this leaves out none.
+    """
+    table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _with_spans(_passage_spans(table, "doc_id", "text", min_words, passage))

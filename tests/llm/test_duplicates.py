@@ -259,14 +259,63 @@ def test_runs():
     assert first.tolist() == [0, 2, 3] and length.tolist() == [2, 1, 2]
 
 
+def plain_passages(rows, min_words=8, passage=50):
+    """What goes by a reading of all rows in order of id, with sequences of words as they are."""
+    seen, out = {}, []
+    for i, text in rows:
+        begin, end, _, first = substring.tokens(text)
+        words = [text[a:b].lower() for a, b in zip(begin, end, strict=True)]
+        head = [k for k, f in enumerate(first) if f] + [len(words)]
+        ranges = {(k, k + passage) for k in range(len(words) - passage + 1)}
+        for k, a in enumerate(head[:-1]):
+            ranges.update([(a, b) for b in head[k + 1:] if b - a >= min_words][:1])
+            ranges.update([(c, head[k + 1]) for c in head[k::-1] if head[k + 1] - c >= min_words][:1])
+        gone, here = set(), {}
+        for a, b in sorted(ranges):
+            key = tuple(words[a:b])
+            if seen.get(key, i) != i or here.setdefault(key, b) <= a:
+                gone.update(range(a, b))
+        for key in here:
+            seen.setdefault(key, i)
+        for key in (tuple(words[a:b]) for a, b in ranges):
+            seen.setdefault(key, i)
+        out.append((i, [w for k, w in enumerate(words) if k not in gone]))
+    return out
+
+
 def kept_words(spark, rows):
     frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     return {r["doc_id"]: r["text"] for r in substring.remove_passages(frame).collect()}
 
 
+def test_remove_passages_equals_a_plain_reading(spark):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choices(["ab", "cd", "Ef", "gh", "ij."], k=rng.randint(1, 14))).capitalize() + "." for _ in range(60)]
+    texts = [rng.choice([" ", "\n"]).join(rng.choices(pool, k=rng.randint(1, 9))) for _ in range(60)]
+    prose = " ".join(f"p{rng.randrange(40)}" for _ in range(400)).split()
+    for _ in range(60):
+        at = rng.randrange(300)
+        texts.append(" ".join([*rng.choices(prose, k=rng.randint(0, 9)), *prose[at:at + rng.randint(40, 100)], *rng.choices(prose, k=rng.randint(0, 9))]))
+    texts += ["long " * 300, "Ha ha\n" * 20, "on and on " * 60, "", "one"]
+    rows = list(enumerate(texts))
+    got = kept_words(spark, rows)
+    for i, words in plain_passages(rows):
+        assert got[i].lower().split() == words
+
+
 def test_units_of_unrelated_documents_do_not_add_up(spark):
     names = [f"Name{k}" for k in range(12)]
     rows = [(k, f"{n}\nonly here {k}") for k, n in enumerate(names)] + [(50, " ".join(names)), (51, "NEW TITLE"), (52, " ".join(names))]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = kept_words(spark, rows)
     assert got[50] == " ".join(names) and got[52] == "" and all(got[k] == t for k, t in rows[:12])
+
+
+def test_passages_inside_lines_and_other_scripts(spark):
+    passage = " ".join(f"p{k}" for k in range(55))
+    chinese = "".join(chr(0x4E00 + 7 * k) for k in range(60))
+    rows = [(1, f"starts low {passage} goes on"), (2, f"other words {passage} and more"), (3, f"cut {passage[:150]} short"),
+            (4, "甲" + chinese + "乙"), (5, "丙丁" + chinese + "戊"), (6, "一二三四五六七八九十。新的内容"), (7, "旧的内容。一二三四五六七八九十。")]
+    got = kept_words(spark, rows)
+    assert got[1] == rows[0][1] and got[2] == "other words and more" and got[3] == rows[2][1]
+    assert got[4] == rows[3][1] and got[5] == "丙丁戊" and got[6] == rows[5][1] and got[7] == "旧的内容。"
