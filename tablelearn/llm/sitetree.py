@@ -67,8 +67,32 @@ class Page:
         self.blocks: list[tuple[str, bool, bool, list[int]]] = []
         self.shapes: dict[int, list[str]] = {}
         self._text: list[str] = []
-        self._stack = [("", 0, False, False, True)]  # tag, branch, dropped, inside, plain
+        self._stack = [("", 0, False, False, True, (), 0)]  # tag, branch, dropped, inside, plain, named, article
+        self._named: list[bool] = []  # of each element outside articles that goes by its names: whether they tell of replies
+        self._articles = 0
+        self._held: list[tuple[tuple[int, ...], int]] = []  # of each block: the named elements and the article around it
         self._read(source)
+        self._give_back()
+
+    def _give_back(self) -> None:
+        """Names drop no element that holds the page's article, which is the one with the most text, or without an article
+        most of the page's text. A page that would lose all its text keeps it."""
+        size, back = [len(b[0]) for b in self.blocks], set()
+        articles: dict[tuple[tuple[int, ...], int], int] = {}
+        for n, key in zip(size, self._held, strict=True):
+            if key[1]:
+                articles[key] = articles.get(key, 0) + n
+        if articles:
+            back.update(max(articles, key=lambda k: (not any(self._named[e] for e in k[0]), articles[k]))[0])
+        else:
+            below = [0] * len(self._named)
+            for n, (named, _) in zip(size, self._held, strict=True):
+                for e in named:
+                    below[e] += n
+            total = sum(size)
+            back.update(e for e, n in enumerate(below) if 2 * n > total)
+        kept = [b for b, (named, _) in zip(self.blocks, self._held, strict=True) if back.issuperset(named)]
+        self.blocks = kept or self.blocks
 
     def _read(self, source: str) -> None:
         at = 0
@@ -100,7 +124,8 @@ class Page:
             text = " ".join(entities.unescape("".join(self._text)).split())
             self._text = []
             if text:
-                _, _, _, inside, plain = self._stack[-1]
+                _, _, _, inside, plain, named, article = self._stack[-1]
+                self._held.append((named, article))
                 self.blocks.append((text, inside, plain, list(dict.fromkeys(e[1] for e in self._stack[1:]))))
 
     def _start(self, tag: str, raw: str) -> None:
@@ -115,13 +140,26 @@ class Page:
             return
         values = _attributes(raw) if "=" in raw or "hidden" in raw else {}
         own = f"{values.get('class', '')}#{values.get('id', '')}#{values.get('role', '')}"
-        _, parent, dropped, inside, plain = self._stack[-1]
+        _, parent, dropped, inside, plain, named, article = self._stack[-1]
         branch = xxhash.xxh3_64_intdigest(f"{parent}>{tag}.{own}".encode("utf-8", "surrogatepass")) - (1 << 63)
         main = tag in ("article", "main") or values.get("role", "").lower() == "main" or values.get("itemprop", "") == "articleBody"
         if not dropped:
             self.shapes.setdefault(parent, []).append(tag)
         dropped = dropped or self._boilerplate(tag, values, inside, main)
-        self._stack.append((tag, branch, dropped, inside or main, main or (plain and own == "##")))
+        if not dropped and not main and tag not in ("html", "body") and (names := self._names(values) & (_DROP_NAMES if inside else _DROP_NAMES | _PAGE_ONLY)):
+            if inside:
+                dropped = True
+            else:
+                self._named.append(bool(names & _REPLIES))
+                named = (*named, len(self._named) - 1)
+        if main and not inside:
+            self._articles += 1
+            article = self._articles
+        self._stack.append((tag, branch, dropped, inside or main, main or (plain and own == "##"), named, article))
+
+    @staticmethod
+    def _names(values) -> set[str]:
+        return {n.lower() for n in _NAME.findall(values.get("class", "") + " " + values.get("id", ""))} if values else set()
 
     @staticmethod
     def _boilerplate(tag: str, values: dict[str, str], inside: bool, main: bool) -> bool:
@@ -129,17 +167,14 @@ class Page:
             return True
         if not values:
             return False
-        names = {n.lower() for n in _NAME.findall(values.get("class", "") + " " + values.get("id", ""))}
         if main:
-            return bool(names & _REPLIES)
+            return bool(Page._names(values) & _REPLIES)
         if tag in ("html", "body"):
             return False
         style = values.get("style", "").replace(" ", "").lower()
         if "hidden" in values or values.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style:
             return True
-        if values.get("role", "").lower() in _DROP_ROLES and not (inside and values.get("role", "").lower() == "banner"):
-            return True
-        return bool(names & _DROP_NAMES) or (not inside and bool(names & _PAGE_ONLY))
+        return values.get("role", "").lower() in _DROP_ROLES and not (inside and values.get("role", "").lower() == "banner")
 
     def _close(self, tags, fence) -> None:
         """End the open elements down to the outermost of ``tags`` above the next fence."""
@@ -190,7 +225,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
               min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """page_id, url, text, n_chars for every row.
 
-    Elements that name themselves boilerplate go, with all below them. If the page has an article or main element, only
+    Elements that name themselves boilerplate go, with all below them, but a class or id drops no element around the
+    page's article, or without an article around most of its text, nor all text of a page. If the page has an article or main element, only
     its blocks count. Of what is left, branches of low importance in the host's style tree go, but for those that differ
     from plain article text by nothing: neither they nor an element between them and the article has a class, id or
     role. A page that would lose all its text to the tree keeps it. Pages of a host with the same blocks count once, so

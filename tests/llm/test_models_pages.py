@@ -145,6 +145,17 @@ def test_style_tree_removes_what_all_pages_share(spark):
         assert got[200 + k] == f"Repeated first line\n\nText {k}"
 
 
+def test_names_drop_no_article():
+    body = "<p>Long text of the article</p><p>and its end</p>"
+    for name in ("content no-sidebar", "has-comments", "with-sidebar", "social-layout"):
+        page = f"<body><div class='{name}'><div class=sidebar><article>Teaser</article>Links</div><article>{body}</article></div><div class=widget>Buy</div></body>"
+        assert sitetree._read(page)["texts"] == ["Long text of the article", "and its end"]
+        assert sitetree._read(f"<body><div class='{name}'>{body}</div><p>Short</p></body>")["texts"] == ["Long text of the article", "and its end", "Short"]
+    assert sitetree._read("<div class=widget>a</div><div class=popup>b</div>")["texts"] == ["a", "b"]
+    page = f"<article>{body}</article><div id=comments><article>{'much more of a comment ' * 20}</article></div>"
+    assert sitetree._read(page)["texts"] == ["Long text of the article", "and its end"]
+
+
 def test_importance_equals_entropy(spark):
     rng = random.Random(5)
     pages = 9
