@@ -1,4 +1,4 @@
-"""Everything this package registers: the ten operators' queries and the pipeline."""
+"""Everything this package registers: the operators' queries and the pipeline."""
 
 from __future__ import annotations
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from .bagminhash import near_duplicates
+from .decontaminate import contamination, contamination_sql
 from .fingerprint import fingerprints
+from .hardneg import hard_negatives, hard_negatives_sql
 from .hmm import score_texts
+from .merkle import manifest, manifest_sql, tampered_leaf
 from .metricjoin import similar_vectors
 from .mixing import mix, mix_sql
 from .packing import pack_documents
@@ -63,3 +66,18 @@ def op7_sitetree(spark, sf_dir):
 @query("op8_toxicity")
 def op8_toxicity(spark, sf_dir):
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op11_merkle", manifest_sql())
+def op11_merkle(spark, sf_dir):
+    return manifest(read(spark, sf_dir, "documents"), claim=tampered_leaf())
+
+
+@query("op12_decontamination", contamination_sql())
+def op12_decontamination(spark, sf_dir):
+    return contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query("op13_hardneg", hard_negatives_sql())
+def op13_hardneg(spark, sf_dir):
+    return hard_negatives(read(spark, sf_dir, "embeddings"))
