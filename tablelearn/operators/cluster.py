@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import feature_array, feature_vector, names, require
+from ..plans.balls import INLINE_VALUES, modes_inline, packed, packed_sums
 from ..plans.density import cluster_points
 from ..plans.lineage import checkpointed
+from ..plans.linkage import cut_tree, merges
 from ..plans.neighbors import PivotCells, _ints, _matrix, distances, internal_metric, knn, points, to_internal
+from ..plans.nystroem import LANDMARKS, rbf_embedding
 from ..plans.ranking import running_total
 from ..plans.skew import hot_safe_join
 from ..plans.subspace import graph_embedding
@@ -186,11 +189,12 @@ def agglomerative(
 ) -> DataFrame:
     """All rows plus ``cluster``, numbered by smallest member id.
 
-    ``method="exact"`` merges the rows themselves; ward, complete and average linkage keep the distances of all
-    distinct rows in one task and take at most ``micro`` of them. ``method="two_stage"`` merges ``micro`` K-Means groups
-    (their counts and centres) at every size. The row count never chooses between them. Single linkage is exact at any
-    size: its clusters at a distance cut are the connected components of the eps-graph, and for a cluster count the cut
-    is found by bisection.
+    ``method="exact"`` merges the rows themselves. Ward linkage, and average linkage of cosine distances, are exact at any
+    size: rounds of reciprocal nearest neighbours over a table of clusters (see ``plans.linkage``). Single linkage is,
+    too: its clusters at a distance cut are the connected components of the eps-graph, and for a cluster count the cut
+    is found by bisection. Complete linkage, and average linkage of other distances, keep the distances of all distinct
+    rows in one task and take at most ``micro`` of them. ``method="two_stage"`` merges ``micro`` K-Means groups (their
+    counts and centres) at every size. The row count never chooses between methods.
     """
     if method not in ("exact", "two_stage") or (method == "two_stage" and linkage == "single"):
         raise ValueError("method must be exact, or two_stage for ward, complete and average linkage")
@@ -208,6 +212,8 @@ def agglomerative(
         found = _single_at(unique, to_internal(float(distance_threshold), metric), inner)
     elif linkage == "single":
         found = _single_count(unique, k, inner)
+    elif method == "exact" and (linkage == "ward" or (linkage == "average" and metric == "cosine")):
+        found = cut_tree(merges(unique, "ward" if linkage == "ward" else "average_squared"), unique, min(k, n))
     elif method == "two_stage":
         found = _two_stage(unique, k, linkage, inner, metric, seed, min(micro, n))
     elif n > micro:
@@ -273,32 +279,27 @@ AFFINITIES = ("rbf", "nearest_neighbors", "precomputed")
 
 
 def spectral(
-    df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=40, n_init=10
+    df: DataFrame, id_col: str, cols=None, k=2, affinity="rbf", n_neighbors=10, gamma=1.0, seed=42, edges=None, max_iter=40, n_init=10,
+    landmarks=LANDMARKS
 ) -> DataFrame:
-    """Graph clustering: k leading eigenvectors of a sparse similarity graph, then K-Means on them; all rows plus
-    ``cluster``, numbered by smallest member id. Rows without any link get -1.
+    """Graph clustering: k leading eigenvectors of a similarity graph, then K-Means on them; all rows plus ``cluster``,
+    numbered by smallest member id. Rows without any link get -1.
 
-    ``nearest_neighbors`` links each row to its nearest rows; ``rbf`` weighs those links with exp(-gamma d^2);
-    ``precomputed`` takes an edge table (src, dst, weight).
+    ``rbf`` links all rows with weight exp(-gamma d^2), by Nystroem extension from ``landmarks`` rows (exact if there are no
+    more different ones); ``nearest_neighbors`` links each row to its nearest rows; ``precomputed`` takes an edge table
+    (src, dst, weight).
     """
     if affinity not in AFFINITIES:
         raise ValueError(f"affinity must be one of {AFFINITIES}")
-    if affinity == "precomputed":
-        if edges is None:
-            raise ValueError("affinity='precomputed' needs edges")
-        links = edges.select(F.least("src", "dst").cast("long").alias("src"), F.greatest("src", "dst").cast("long").alias("dst"), F.col("weight").cast("double"))
-    else:
-        rows = points(df, id_col, names(cols), "euclidean")
-        near = knn(rows, rows, int(n_neighbors), "euclidean").where("query != neighbor")
-        weight = F.lit(0.5)
-        if affinity == "rbf":
-            weight = F.greatest(F.exp(-F.lit(float(gamma)) * F.col("distance") * F.col("distance")), F.lit(1e-12)) / 2
-        links = near.select(F.least("query", "neighbor").alias("src"), F.greatest("query", "neighbor").alias("dst"), weight.alias("weight"))
-    links = checkpointed(links.groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where("src <> dst AND weight > 0"))
     out = df.withColumn("_id", F.col(f"`{id_col}`").cast("long"))
-    if links.isEmpty():
-        return out.withColumn("cluster", F.lit(-1)).drop("_id")
-    placed = graph_embedding(links, k, seed, max_iter).select("id", array_to_vector("v").alias("features")).persist()
+    if affinity == "rbf":
+        found = rbf_embedding(checkpointed(points(df, id_col, names(cols), "euclidean")), k, float(gamma), int(landmarks))
+    else:
+        links = _links(df, id_col, cols, affinity, n_neighbors, edges)
+        if links.isEmpty():
+            return out.withColumn("cluster", F.lit(-1)).drop("_id")
+        found = graph_embedding(links, k, seed, max_iter)
+    placed = found.select("id", array_to_vector("v").alias("features")).persist()
     try:
         best = None
         for i in range(n_init):
@@ -314,6 +315,19 @@ def spectral(
     return out.join(named, "_id", "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1))).drop("_id")
 
 
+def _links(df, id_col, cols, affinity, n_neighbors, edges) -> DataFrame:
+    """(src, dst, weight), one row per linked pair."""
+    if affinity == "precomputed":
+        if edges is None:
+            raise ValueError("affinity='precomputed' needs edges")
+        links = edges.select(F.least("src", "dst").cast("long").alias("src"), F.greatest("src", "dst").cast("long").alias("dst"), F.col("weight").cast("double"))
+    else:
+        rows = points(df, id_col, names(cols), "euclidean")
+        near = knn(rows, rows, int(n_neighbors), "euclidean").where("query != neighbor")
+        links = near.select(F.least("query", "neighbor").alias("src"), F.greatest("query", "neighbor").alias("dst"), F.lit(0.5).alias("weight"))
+    return checkpointed(links.groupBy("src", "dst").agg(F.sum("weight").alias("weight")).where("src <> dst AND weight > 0"))
+
+
 INLINE_SEEDS = 2_000
 MAX_MODES = 50_000
 BANDWIDTH_SAMPLE = 1_000
@@ -367,8 +381,12 @@ def bin_seeds(rows: DataFrame, bandwidth: float, min_bin_freq: int) -> DataFrame
 
 
 class MeanShift(Operator):
-    """Flat-kernel mode seeking. Seeds are all distinct rows, or the occupied bins with ``bin_seeding``; up to
-    INLINE_SEEDS seeds travel with the task, more run as block pairs."""
+    """Flat-kernel mode seeking. Seeds are all distinct rows, or the occupied bins with ``bin_seeding``.
+
+    Cells inside a ball enter as one sum, and only cells on its border compare rows (see ``plans.balls``). Up to
+    INLINE_VALUES numbers go to every task, which then takes its share of the seeds to the top in one job. More stay
+    where they are, and a round is one pass: up to INLINE_SEEDS seeds travel with the task, more run as block pairs. All
+    three give the same modes."""
 
     def __init__(self, cols, id_col, bandwidth=0.0, bin_seeding=False, min_bin_freq=1, max_iter=300):
         super().__init__()
@@ -385,7 +403,11 @@ class MeanShift(Operator):
         many = seeds.count()
         if many == 0:
             raise ValueError("no bin has min_bin_freq rows")
-        if many <= INLINE_SEEDS:
+        shape = distinct_points(rows).agg(F.count(F.lit(1)).alias("n"), F.max(F.size("x")).alias("d")).first()
+        if shape.n * shape.d <= INLINE_VALUES:
+            found = modes_inline(distinct_points(rows), shape.n * shape.d, seeds, width, self.max_iter).limit(MAX_MODES + 1).collect()
+            modes = self._all(found)
+        elif many <= INLINE_SEEDS:
             modes = self._few(rows, np.array([r.x for r in seeds.collect()]), width)
         else:
             modes = self._many(rows, seeds, width)
@@ -393,13 +415,15 @@ class MeanShift(Operator):
         return MeanShiftModel(cols=self.cols, centers=centers.tolist(), bandwidth=width, n_clusters=len(centers))
 
     def _few(self, rows, seeds, width):
+        packs = packed(distinct_points(rows), width)
         at, count = seeds, np.ones(len(seeds))
         live = np.ones(len(seeds), dtype=bool)
         for _ in range(self.max_iter):
             open_ = np.flatnonzero(live)
-            hit, moved, hits = shift_seeds(rows, at[open_], width)
+            total, hits = packed_sums(packs, at[open_], width)
             count[open_], live[open_] = 0, False
-            open_ = open_[hit]
+            hit = hits > 0
+            open_, moved, hits = open_[hit], total[hit] / hits[hit, None], hits[hit]
             gap = np.sqrt(((moved - at[open_]) ** 2).sum(axis=1))
             at[open_], count[open_], live[open_] = moved, hits, gap > 1e-3 * width
             if not live.any():
@@ -420,7 +444,10 @@ class MeanShift(Operator):
             live = checkpointed(step.where("not still").groupBy("x").agg(F.min("key").alias("key")).select("key", "x"))
             if live.isEmpty():
                 break
-        found = done.distinct().limit(MAX_MODES + 1).collect()
+        return self._all(done.distinct().limit(MAX_MODES + 1).collect())
+
+    @staticmethod
+    def _all(found):
         if len(found) > MAX_MODES:
             raise ValueError("too many modes for this bandwidth")
         return [(r.n, tuple(r.x)) for r in found]

@@ -9,12 +9,12 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression as MLLogistic
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import class_index, class_map, class_value, names, require, sorted_classes
 from ..plans.lineage import checkpointed
+from ..plans.monotone import curve_pieces, interpolated, monotone_pools
 from .linear import accuracy
 from .registry import CLASSIFIERS, make
 from .split import with_folds
@@ -216,11 +216,17 @@ def _sigmoid(rows, n_pos, n_neg):
     return {"kind": "sigmoid", "slope": float(m.coefficients[0]), "intercept": float(m.intercept)}
 
 
+#: Corners of a curve that the model's own state holds; a longer curve stays a table.
+CURVE_POINTS = 100_000
+
+
 def _isotonic(rows):
     """Monotone step fit on counts per distinct score."""
-    grouped = rows.groupBy("s").agg(F.avg("hit").alias("label"), F.count(F.lit(1)).cast("double").alias("w"))
-    m = IsotonicRegression(featuresCol="s", labelCol="label", weightCol="w").fit(grouped)
-    return {"kind": "isotonic", "x": [float(v) for v in m.boundaries], "y": [float(v) for v in m.predictions]}
+    pools = monotone_pools(rows.select(F.col("s").alias("x"), F.lit(1.0).alias("w"), F.col("hit").alias("t")))
+    if 2 * pools.count() > CURVE_POINTS:
+        return {"kind": "isotonic_table", "pieces": curve_pieces(pools)}
+    corners = [(x, r.t / r.w) for r in pools.orderBy("number").collect() for x in dict.fromkeys((r.lo, r.hi))]
+    return {"kind": "isotonic", "x": [c[0] for c in corners], "y": [c[1] for c in corners]}
 
 
 class CalibratedClassifier(Operator):
@@ -262,7 +268,8 @@ class CalibratedClassifier(Operator):
                 cols=self.cols, target=self.target, base_estimator=self.base, calibration_method=self.method, cv=self.cv,
                 classes=classes, training_samples=folded.count(),
             )
-            model.members, model.state["curves"] = [p[0] for p in pairs], [p[1] for p in pairs]
+            model.members = [p[0] for p in pairs]
+            model.hold([p[1] for p in pairs])
             model.state["accuracy"] = accuracy(model, folded, self.target)
         finally:
             folded.unpersist()
@@ -282,6 +289,19 @@ def _curve(score, curve):
 
 
 class CalibratedModel(EnsembleModel):
+    pieces: dict = {}
+
+    def hold(self, curves):
+        """Short curves are part of the state, long ones tables named by fold and place."""
+        self.pieces = {f"{f}_{i}": checkpointed(c.pop("pieces")) for f, fold in enumerate(curves) for i, c in enumerate(fold) if "pieces" in c}
+        self.state["curves"] = curves
+
+    def tables(self):
+        return self.pieces
+
+    def attach(self, parts, tables):
+        super().attach(parts, tables)
+        self.pieces = tables
 
     def _transform(self, df):
         k = len(self.classes)
@@ -289,9 +309,13 @@ class CalibratedModel(EnsembleModel):
         out, per_fold = df, []
         for f, (m, curves) in enumerate(zip(self.members, self.curves)):
             out = _score_columns(m.transform(out), m, k)
-            new = {f"_c{f}_{c}": _curve(F.col(f"_s{c}"), curve) for c, curve in zip(picked, curves)}
-            out = out.withColumns(new).drop(*[f"_s{c}" for c in picked])
-            ps = [F.col(n) for n in new]
+            for i, (c, curve) in enumerate(zip(picked, curves)):
+                if curve["kind"] == "isotonic_table":
+                    out = interpolated(out, f"_s{c}", self.pieces[f"{f}_{i}"], f"_c{f}_{c}")
+                else:
+                    out = out.withColumn(f"_c{f}_{c}", _curve(F.col(f"_s{c}"), curve))
+            out = out.drop(*[f"_s{c}" for c in picked])
+            ps = [F.col(f"_c{f}_{c}") for c in picked]
             if k == 2:
                 ps = [1.0 - ps[0], ps[0]]
             else:

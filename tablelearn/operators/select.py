@@ -13,11 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..core import Fitted, Operator, with_columns
 from ..functions.columns import as_double, as_matrix_columns, class_index, names, require, sorted_classes
+from ..plans import information
 from ..plans.lineage import checkpointed
 from ..plans.moments import moments
 from .linear import solve
 
-SCORES = ("f_classif", "f_regression", "chi2", "mutual_info_classif", "mutual_info_regression")
+BINNED = ("mutual_info_classif_binned", "mutual_info_regression_binned")
+SCORES = ("f_classif", "f_regression", "chi2", "mutual_info_classif", "mutual_info_regression", *BINNED)
 MI_BINS = 10
 
 
@@ -74,7 +76,26 @@ def _bin(x, lo, hi, bins):
     return F.least(F.floor((x - F.lit(lo)) / F.lit(hi - lo) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
 
 
-def mutual_info(df: DataFrame, cols: list[str], target: str, regression: bool, bins: int = MI_BINS) -> list[float]:
+def mutual_info(df: DataFrame, cols: list[str], target: str, regression: bool, neighbors: int = 3) -> list[float]:
+    """Mutual information (nats) of each feature with the class, or with a numeric target, from nearest neighbours.
+
+    No noise is added: copies of a value are counted as such, so the result does not depend on a seed. For a numeric
+    target both columns are scaled to variance 1 first.
+    """
+    if not regression:
+        data = as_matrix_columns(df, cols, keep=[target])
+        label = F.coalesce(F.col(f"`{target}`").cast("string"), F.raise_error(F.lit(f"missing value in column {target}")).cast("string"))
+        cells = F.explode(F.array(*[F.struct(F.lit(i).alias("j"), F.col(f"`{c}`").alias("x")) for i, c in enumerate(cols)]))
+        found = information.with_class(data.select(label.alias("c"), cells.alias("e")).select("e.j", "c", "e.x"), neighbors)
+        return [found.get(i, 0.0) for i in range(len(cols))]
+    numeric = [*cols, target]
+    data = as_matrix_columns(df, numeric)
+    wide = data.agg(*[F.stddev_pop(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(numeric)]).first()
+    scaled = [F.col(f"`{c}`") / F.lit(wide[f"d{i}"] or 1.0) for i, c in enumerate(numeric)]
+    return [information.with_number(data.select(scaled[i].alias("x"), scaled[-1].alias("y")), neighbors) for i in range(len(cols))]
+
+
+def mutual_info_binned(df: DataFrame, cols: list[str], target: str, regression: bool, bins: int = MI_BINS) -> list[float]:
     """Mutual information (nats) of each equal-width binned feature with the class, or with the binned target."""
     numeric = [*cols, target] if regression else cols
     data = as_matrix_columns(df, numeric, keep=[] if regression else [target])
@@ -106,6 +127,8 @@ def score_features(df: DataFrame, cols, target: str, score_func: str) -> list[fl
         return f_regression(df, cols, target)
     if score_func == "chi2":
         return chi2(df, cols, target)
+    if score_func in BINNED:
+        return mutual_info_binned(df, cols, target, "regression" in score_func)
     if score_func in SCORES:
         return mutual_info(df, cols, target, score_func.endswith("regression"))
     raise ValueError(f"score_func must be one of {SCORES}")

@@ -1,7 +1,9 @@
-"""Decision trees, random forests and gradient-boosted trees on ``pyspark.ml``.
+"""Decision trees, random forests and gradient-boosted trees.
 
-``max_depth=0`` means as deep as the library allows (30). ``min_samples_split`` has no direct counterpart; a leaf
-keeps at least ``max(min_samples_leaf, min_samples_split // 2)`` rows.
+``max_depth=0`` means as deep as the library allows (30). Single trees with a criterion that ``pyspark.ml`` lacks
+(``friedman_mse``, ``absolute_error``, ``poisson``), or with ``min_samples_split`` above 2, are grown level by level
+(``plans.growth``); everything else is a ``pyspark.ml`` model. In forests and boosted trees, where ``min_samples_split``
+has no direct counterpart, a leaf keeps at least ``min_samples_split // 2`` rows.
 """
 
 from __future__ import annotations
@@ -9,12 +11,18 @@ from __future__ import annotations
 import importlib
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import classification as mlc, regression as mlr
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..core import Fitted, Operator
-from ..functions.columns import as_double, class_index, class_map, class_value, feature_vector, names, require, sorted_classes
+from ..functions.columns import (
+    as_double, as_matrix_columns, class_index, class_map, class_value, feature_array, feature_vector, names, require, sorted_classes,
+)
+from ..plans.growth import descend, grow
+from ..plans.lineage import checkpointed
 from .linear import accuracy
 from .metrics import regression_metrics
 
@@ -129,8 +137,30 @@ class _Tree(MLOperator):
         criterion = criterion or next(iter(self.criteria))
         if criterion not in self.criteria:
             raise ValueError(f"criterion {criterion} is not supported; use one of {list(self.criteria)}")
-        self.max_depth, self.impurity, self.max_bins, self.seed = max_depth, self.criteria[criterion], max_bins, seed
-        self.min_rows = max(int(min_samples_leaf), int(min_samples_split) // 2, 1)
+        self.max_depth, self.criterion, self.max_bins, self.seed = max_depth, criterion, max_bins, seed
+        self.impurity, self.min_split, self.min_rows = self.criteria[criterion], int(min_samples_split), max(int(min_samples_leaf), 1)
+
+    def _fit(self, df):
+        return super()._fit(df) if self.impurity and self.min_split <= 2 else self._grown(df)
+
+    def _grown(self, df):
+        require(df, [*self.cols, self.target])
+        classes = sorted_classes(df, self.target) if self.classify else None
+        label = class_index(F.col(f"`{self.target}`"), classes).cast("double") if classes else as_double(df, self.target)
+        data = as_matrix_columns(df.withColumn("_label", label), self.cols, keep=["_label"])
+        data = checkpointed(data.withColumn("_label", F.coalesce("_label", F.raise_error(F.lit(f"missing value in column {self.target}")).cast("double"))))
+        nodes = grow(data, self.cols, "_label", self.criterion if self.impurity is None else GROWN_AS[self.impurity], _depth(self.max_depth), self.min_split,
+                     self.min_rows, self.max_bins, classes=len(classes or []))
+        leaves = [n for n in nodes if "feature" not in n]
+        model = GrownTreeModel(
+            cols=self.cols, target=self.target, classes=classes, criterion=self.criterion, training_samples=nodes[0]["n"], nodes=nodes,
+            depth=max(n["id"].bit_length() - 1 for n in leaves), leaves=len(leaves),
+        )
+        if self.with_score and self.classify:
+            model.state["accuracy"] = accuracy(model, df, self.target)
+        elif self.with_score:
+            model.state["r2_score"] = regression_metrics(model.transform(df), self.target, "prediction").first().r2
+        return model
 
     def estimator(self, classes, n):
         kind = mlc.DecisionTreeClassifier if self.classify else mlr.DecisionTreeRegressor
@@ -149,7 +179,44 @@ class DecisionTreeClassifier(_Tree):
 
 
 class DecisionTreeRegressor(_Tree):
-    criteria = {"squared_error": "variance"}
+    criteria = {"squared_error": "variance", "friedman_mse": None, "absolute_error": None, "poisson": None}
+
+
+#: Names of the impurities in ``plans.growth``.
+GROWN_AS = {"variance": "squared_error", "gini": "gini", "entropy": "entropy"}
+
+
+class GrownTreeModel(Fitted):
+    """A tree as a list of nodes; its JSON state is the whole model."""
+
+    def importances(self, spark) -> DataFrame:
+        """Each column's share of the impurity taken away, by rows."""
+        held = [0.0] * len(self.cols)
+        for n in self.nodes:
+            if "feature" in n:
+                held[n["feature"]] += n["n"] * n["gain"]
+        whole = sum(held) or 1.0
+        return spark.createDataFrame([(c, v / whole) for c, v in zip(self.cols, held)], "feature string, importance double")
+
+    def node_table(self, spark) -> DataFrame:
+        """One row per node: id, n, impurity, value (class shares: null), feature and threshold of its split."""
+        rows = [(n["id"], n["n"], n["impurity"], None if self.classes else n["value"], self.cols[n["feature"]] if "feature" in n else None, n.get("threshold")) for n in self.nodes]
+        return spark.createDataFrame(rows, "id long, n long, impurity double, value double, feature string, threshold double")
+
+    def _transform(self, df):
+        require(df, self.cols)
+        nodes, values = self.nodes, np.array([n["value"] for n in self.nodes])
+
+        @F.pandas_udf("double" if self.classes is None else "array<double>")
+        def told(x: pd.Series) -> pd.Series:
+            return pd.Series(list(values[descend(nodes, np.stack(x.to_numpy()))]) if len(x) else [])
+
+        found = told(feature_array(df, self.cols))
+        if self.classes is None:
+            return df.withColumn("prediction", found)
+        out = df.withColumn("probabilities", found)
+        best = F.array_position("probabilities", F.array_max("probabilities")) - 1
+        return out.withColumn("prediction", class_value(best, self.classes)).withColumn("class_probabilities", class_map(F.col("probabilities"), self.classes))
 
 
 class _Forest(MLOperator):

@@ -330,7 +330,7 @@ def test_limits_are_errors_not_other_results(spark, blobs):
         DecisionTreeClassifier(["a"], "label", max_depth=31).fit(blobs[0])
     rows = spark.range(300).select("id", F.col("id").cast("double").alias("a"))
     with pytest.raises(ValueError):
-        agglomerative(rows, "id", ["a"], 2, "ward")
+        agglomerative(rows, "id", ["a"], 2, "complete")
     assert agglomerative(rows, "id", ["a"], 2, "ward", method="two_stage").count() == 300
 
 

@@ -1,6 +1,6 @@
 """Named queries over the given tables."""
 
-from . import evaluate, features, groups, models, prep  # noqa: F401
+from . import depth, evaluate, features, groups, models, prep  # noqa: F401
 from .base import ORACLES, QUERIES
 from .models import flagship
 

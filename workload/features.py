@@ -7,6 +7,7 @@ import numpy as np
 from tablelearn.operators.decompose import NMF, PCA, PCAModel, TruncatedSVD, TruncatedSVDModel
 from tablelearn.operators.select import RFE, SelectKBest, SelectPercentile, VarianceThreshold, score_features
 from tablelearn.operators.tfidf import TfidfVectorizer
+from tablelearn.plans.information import digamma_sql
 
 from .base import F, query, r, spread, table
 
@@ -207,14 +208,30 @@ def _all(body, cols):
     return " UNION ALL ".join(body.format(c=c) for c in cols)
 
 
+# Counts of values below a bound by ASOF joins with running counts; the k-th other row of a class by windows.
+NEAR_CLASS = f"""
+WITH cells AS (SELECT unnest({LINE}) AS j, unnest([{", ".join(f"{c}::DOUBLE" for c in LINE)}]) AS x, l_returnflag AS c FROM lineitem),
+v AS (SELECT * FROM (SELECT j, c, x, count(*) AS w, sum(count(*)) OVER (PARTITION BY j, c) AS n FROM cells GROUP BY j, c, x) WHERE n > 1),
+near AS (SELECT *, unnest([{", ".join(f"{{'d': abs({f}(x, {i}) OVER o - x), 'w': {f}(w, {i}) OVER o}}" for i in (1, 2, 3) for f in ("lag", "lead"))}]) AS e
+         FROM v WINDOW o AS (PARTITION BY j, c ORDER BY x)),
+met AS (SELECT j, c, x, w, n, e.d AS d, e.w AS ew, w + sum(e.w) OVER (PARTITION BY j, c, x ORDER BY e.d ROWS UNBOUNDED PRECEDING) AS met FROM near WHERE e.d IS NOT NULL),
+reach AS (SELECT j, c, x, w, n, CASE WHEN w > least(3, n - 1) THEN 0.0 ELSE min(d) FILTER (met > least(3, n - 1)) END AS r FROM met GROUP BY j, c, x, w, n),
+inside AS (SELECT r.j, r.c, r.x, r.w, r.n, r.r, r.w + coalesce(sum(ew) FILTER (d < r.r), 0) AS k FROM reach r JOIN met USING (j, c, x) GROUP BY r.j, r.c, r.x, r.w, r.n, r.r),
+col AS (SELECT j, x, sum(w) AS w, sum(sum(w)) OVER (PARTITION BY j ORDER BY x) AS upto FROM v GROUP BY j, x),
+high AS (SELECT i.*, i.x - i.r AS lo, coalesce(col.upto, 0) AS below FROM inside i ASOF LEFT JOIN col ON col.j = i.j AND i.x + i.r > col.x),
+low AS (SELECT h.*, coalesce(col.upto, 0) AS upto FROM high h ASOF LEFT JOIN col ON col.j = h.j AND h.lo >= col.x),
+m AS (SELECT low.*, CASE WHEN r > 0 THEN below - low.upto ELSE col.w END AS m FROM low JOIN col ON col.j = low.j AND col.x = low.x)
+SELECT j AS feature, round(greatest(0, {digamma_sql("sum(w)::DOUBLE")} + sum(w * ({digamma_sql("k::DOUBLE")} - {digamma_sql("n::DOUBLE")} - {digamma_sql("m::DOUBLE")})) / sum(w)), 6) + 0.0 AS score
+FROM m GROUP BY j"""
 PRICE_COLS = ["l_extendedprice", "l_discount", "l_tax"]
 QBIN = "least(floor((l_quantity - (SELECT min(l_quantity) FROM lineitem)) / (SELECT max(l_quantity) - min(l_quantity) FROM lineitem) * 10.0), 9)"
 SCORE_SQL = {
     "f_classif": (_all(F_CLASSIF, LINE), LINE, "l_returnflag"),
     "f_regression": (_all(F_REGRESSION, PRICE_COLS), PRICE_COLS, "l_quantity"),
     "chi2": (_all(CHI2, LINE), LINE, "l_returnflag"),
-    "mutual_info_classif": (_all(_mi("l_returnflag"), LINE), LINE, "l_returnflag"),
-    "mutual_info_regression": (_all(_mi(QBIN), PRICE_COLS), PRICE_COLS, "l_quantity"),
+    "mutual_info_classif_binned": (_all(_mi("l_returnflag"), LINE), LINE, "l_returnflag"),
+    "mutual_info_regression_binned": (_all(_mi(QBIN), PRICE_COLS), PRICE_COLS, "l_quantity"),
+    "mutual_info_classif": (NEAR_CLASS, LINE, "l_returnflag"),
 }
 for _name, (_sql, _cols, _target) in SCORE_SQL.items():
     @query(f"score_{_name}", _sql)
@@ -223,6 +240,23 @@ for _name, (_sql, _cols, _target) in SCORE_SQL.items():
         return spark.createDataFrame(list(zip(cols, values)), "feature string, score double").select("feature", r("score").alias("score"))
 
 
+# Customers by balance and nation; the three nearest by the larger gap, all pairs.
+NEAR_NUMBER = f"""
+WITH s AS (SELECT stddev_pop(c_acctbal) AS da, stddev_pop(c_nationkey) AS dn FROM customer),
+x AS (SELECT row_number() OVER () AS id, c_acctbal / da AS x, c_nationkey / dn AS y FROM customer, s),
+g AS (SELECT a.id, greatest(abs(a.x - b.x), abs(a.y - b.y)) AS d, abs(a.x - b.x) AS dx, abs(a.y - b.y) AS dy, a.x, a.y, b.x AS bx, b.y AS by_, a.id <> b.id AS other FROM x a, x b),
+r AS (SELECT id, max(d) AS r FROM (SELECT id, d FROM g WHERE other QUALIFY row_number() OVER (PARTITION BY id ORDER BY d) <= 3) GROUP BY id),
+n AS (SELECT id, sum((CASE WHEN r > 0 THEN d < r ELSE d = 0 END)::INT) AS k, sum((CASE WHEN r > 0 THEN bx > x - r AND bx < x + r ELSE bx = x END)::INT) AS m,
+             sum((CASE WHEN r > 0 THEN by_ > y - r AND by_ < y + r ELSE by_ = y END)::INT) AS l FROM g JOIN r USING (id) GROUP BY id)
+SELECT 'c_nationkey' AS feature, round(greatest(0, {digamma_sql("count(*)::DOUBLE")} + avg({digamma_sql("k::DOUBLE")} - {digamma_sql("m::DOUBLE")} - {digamma_sql("l::DOUBLE")})), 6) + 0.0 AS score FROM n"""
+
+
+@query("score_mutual_info_regression", NEAR_NUMBER)
+def _(spark, sf):
+    values = score_features(table(spark, sf, "customer"), ["c_nationkey"], "c_acctbal", "mutual_info_regression")
+    return spark.createDataFrame([("c_nationkey", *values)], "feature string, score double").select("feature", r("score").alias("score"))
+
+
 @query("select_k_best", f"""
 WITH s AS ({_all(F_CLASSIF, LINE)})
 SELECT feature, score, row_number() OVER (ORDER BY score DESC) <= 2 AS selected FROM s""")
