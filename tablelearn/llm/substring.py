@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tablelearn.plans.lineage import checkpointed
 
+from .memory import tidy
 from .shingles import mix, row_key
 
 #: Repeated units go only where consecutive ones hold this many words together.
@@ -23,9 +27,11 @@ _STOP = np.array([ord(c) for c in ".!?…"], np.uint32)
 _STOPS = np.concatenate((_STOP, np.array([ord(c) for c in "。！？｡؟۔।॥።၊။։"], np.uint32)))
 _SINGLE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF01, 0xFF9F),
            (0x20000, 0x3FFFF))
+_SOLID = re.compile("[^" + "".join(map(chr, _SPACE)) + "]")
 _EMPTY = np.zeros(0, np.int64)
-# Kinds of digests; one more: the chain or anchor stands twice in the text.
-_CHAIN, _ANCHOR, _LONG = np.int8(0), np.int8(2), np.int8(4)
+# Kinds of rows: a digest's first place in a text, and one more for a further place (anchors: windows apart share it); a
+# span that is known to go.
+_CHAIN, _ANCHOR, _LONG, _SPAN = 0, 2, 4, 6
 # What keeps the digests of anchors and of long chains apart from those of chains of units over the same words.
 _APART = np.int64(0x2545F4914F6CDD1D), np.int64(0x5851F42D4C957F2D)
 
@@ -268,25 +274,41 @@ class Reading:
             need &= (rows != many) | (self.within(held == many) < stop)
         return np.flatnonzero(need)
 
-    def repeated(self, chains, longs, shared, passages) -> list[tuple[int, int]]:
-        """Spans to remove. ``chains``, ``longs``, ``passages``: the digests that an earlier document holds; ``shared``: the
-        anchors that stand in another document or twice in this one. A range that stands earlier in the text, and has
-        ended before it starts again, goes too."""
+    def places(self, digest: np.ndarray, start: np.ndarray, stop: np.ndarray, kind: int):
+        """Rows of ranges of words: (digest, kind, begin, end) with begin and end in code points. A range that stands earlier
+        in the text, and has ended before it starts again, goes whatever other texts hold: such ranges become spans."""
+        if not len(digest):
+            return _NO_ROWS
+        _, place, own = np.unique(digest, return_index=True, return_inverse=True)
+        again = stop[place][own] <= start
         cover = np.zeros(len(self.begin) + 1, np.int64)
-        at = np.arange(len(self.anchor))
-        if len(at):  # copies inside the text have equal anchors more than once, so nothing else need be read
-            at = at[_among(self.anchor, shared)]
-        for digest, start, stop, earlier in ((self.chain, self.start, self.stop, chains), (self.long, self.long_start, self.long_stop, longs),
-                                              (self.windows(at), at, at + self.passage, passages)):
-            if not len(digest):
-                continue
-            _, place, own = np.unique(digest, return_index=True, return_inverse=True)
-            again = (stop[place][own] <= start) | _among(digest, earlier)
-            np.add.at(cover, start[again], 1)
-            np.add.at(cover, stop[again], -1)
-        gone = np.cumsum(cover[:-1]) > 0
-        edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.view(np.int8), [0]))))
-        return [(int(self.begin[a]), int(self.end[b - 1])) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+        np.add.at(cover, start[again], 1)
+        np.add.at(cover, stop[again], -1)
+        edge = np.flatnonzero(np.diff(np.concatenate(([0], np.cumsum(cover[:-1]) > 0, [0]))))
+        first, last = edge[::2], edge[1::2]
+        kinds = kind + (place[own] != np.arange(len(digest)))[~again]
+        return (
+            np.concatenate((digest[~again], np.zeros(len(first), np.int64))), np.concatenate((kinds, np.full(len(first), _SPAN))),
+            np.concatenate((self.begin[start[~again]], self.begin[first])), np.concatenate((self.end[stop[~again] - 1], self.end[last - 1])),
+        )
+
+    def first_rows(self):
+        """What a text tells before others are known: places of chains and long chains, and its anchors."""
+        anchors, apart = self.anchors()
+        none = np.zeros(len(anchors), np.int64)
+        return _together(
+            self.places(self.chain, self.start, self.stop, _CHAIN), self.places(self.long, self.long_start, self.long_stop, _LONG), (anchors, _ANCHOR + apart, none, none),
+        )
+
+    def window_rows(self, earlier, longs, long_docs, shared, shared_docs):
+        """Places of the windows that must be compared (see ``open``), wherever their words stand in the text, and the spans of
+        windows that repeat inside it. Equal windows have equal anchors, so only windows with shared anchors are read."""
+        at = np.flatnonzero(_among(self.anchor, shared))
+        digest = self.windows(at)
+        wanted = _among(digest, self.windows(self.open(earlier, longs, long_docs, shared, shared_docs)))
+        rows = self.places(digest, at, at + self.passage, 0)
+        keep = (rows[1] == _SPAN) | _among(rows[0], digest[wanted])
+        return tuple(r[keep] for r in rows)
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """The text's different anchors, and of each whether windows that do not overlap share it."""
@@ -312,76 +334,100 @@ def _looked_up(digest: np.ndarray, some, values) -> np.ndarray:
     return np.where(some[at] == digest, values[at], 0)
 
 
+_NO_ROWS = (_EMPTY, _EMPTY, _EMPTY, _EMPTY)
+_PLACES = "row_key long, sig int, digest long, kind byte, begin int, end int"
+
+
+def _together(*rows):
+    return tuple(np.concatenate(column) for column in zip(*rows, strict=True))
+
+
 def _batches(parts, columns: list[str], read):
-    """What ``read`` gives for each row, as digests with marks."""
+    """What ``read`` gives for each row, as rows of _PLACES."""
     for part in parts:
         for start in range(0, len(part), 512):
             some = part.iloc[start:start + 512]
             found = [read(*row) for row in zip(*(some[c] for c in columns), strict=True)]
             sizes = [len(f[0]) for f in found]
             if sum(sizes):
-                yield pd.DataFrame({"row_key": np.repeat(some["row_key"].to_numpy(), sizes), "digest": np.concatenate([f[0] for f in found]),
-                                    "kind": np.concatenate([f[1] for f in found]).astype(np.int8)})
+                digest, kind, begin, end = _together(*found)
+                yield pd.DataFrame({"row_key": np.repeat(some["row_key"].to_numpy(), sizes), "sig": np.repeat(some["sig"].to_numpy(), sizes), "digest": digest,
+                                    "kind": kind.astype(np.int8), "begin": begin.astype(np.int32), "end": end.astype(np.int32)})
+
+
+def _merged(text: str, spans) -> list[tuple[int, int]]:
+    """The spans in order, joined where no word stands between them."""
+    out = []
+    for start, end in sorted(map(tuple, spans)):
+        if out and (start <= out[-1][1] or not _SOLID.search(text, out[-1][1], start)):
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
 
 
 def _earlier(held: DataFrame) -> DataFrame:
-    """(row_key, digest, kind) of the rows of ``held`` whose digest an earlier document holds."""
+    """The rows of ``held`` whose digest an earlier document holds."""
     firsts = held.groupBy("digest").agg(F.min("row_key").alias("first"), F.max("row_key").alias("last")).where("`first` < `last`")
     return held.join(firsts.select("digest", "first"), "digest").where("row_key > `first`").drop("first")
 
 
 def _passage_spans(docs: DataFrame, id_col: str, text_col: str, min_words: int, passage: int) -> DataFrame:
-    """``docs`` with text replaced and ``_spans`` added."""
-    keyed = docs.withColumn("_span_key", row_key(id_col, text_col))
-    table = keyed.select(F.col("_span_key").alias("row_key"), F.col(text_col).cast("string").alias("text"))
-
-    def first(text):
-        r = Reading(text or "", min_words, passage)
-        chains, place, own = np.unique(r.chain, return_index=True, return_inverse=True)
-        twice = np.zeros(len(chains), np.int8)
-        np.maximum.at(twice, own, r.stop[place][own] <= r.start)
-        anchors, again = r.anchors()
-        longs = np.unique(r.long)
-        return np.concatenate((chains, anchors, longs)), np.concatenate((_CHAIN + twice, _ANCHOR + again, np.full(len(longs), _LONG)))
-
-    held = checkpointed(table.mapInPandas(lambda parts: _batches(parts, ["text"], first), "row_key long, digest long, kind byte"))
-    known = held.groupBy("digest").agg(F.min("row_key").alias("first"), F.count(F.lit(1)).alias("rows"), F.max("kind").alias("most"))
-    known = known.where(f"rows > 1 OR most IN ({_CHAIN + 1}, {_ANCHOR + 1})").select("digest", "first", "rows")
-    found = held.join(known, "digest").withColumn("later", F.col("row_key") > F.col("first")).where(f"later OR kind <> {_CHAIN}")
-
-    def some(kind, value, when=F.lit(True)):
-        return F.collect_list(F.when(F.col("kind").between(int(kind), int(kind) + 1) & when, value))
-
-    counted = F.struct("digest", "rows")
-    marks = checkpointed(found.groupBy("row_key").agg(
-        some(_CHAIN, F.col("digest"), F.col("later")).alias("chains"), some(_LONG, F.col("digest"), F.col("later")).alias("earlier"),
-        some(_ANCHOR, counted).alias("anchors"), some(_LONG, counted).alias("longs")))
-
-    def second(text, *marked):
-        r = Reading(text, min_words, passage)
-        found = np.unique(r.windows(r.open(*marked)))
-        return found, np.zeros(len(found), np.int8)
+    """(row: a row of ``docs`` as it is, text: what stays, spans).
+
+    Every text is read for its digests, once more if windows must be compared, and a last time to cut it, if anything
+    goes. Digests carry their place, so spans come from joins alone. A row is named by its key and 32 bits of its text,
+    as rows may share an id.
+    """
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_key(id_col, text_col).alias("row_key"), F.hash(text).alias("sig"), text.alias("text"))
+    table = keyed.select("row_key", "sig", "text")
+
+    def first(t):
+        return Reading(t or "", min_words, passage).first_rows()
+
+    held = checkpointed(table.mapInPandas(lambda parts: tidy(_batches(parts, ["text"], first)), _PLACES))
+    digests = held.where(F.col("kind") < _SPAN)
+    known = digests.groupBy("digest").agg(F.min("row_key").alias("first"), F.sum(F.when(F.col("kind").isin(_CHAIN, _ANCHOR, _ANCHOR + 1, _LONG), 1).otherwise(0)).alias("rows"), F.max("kind").alias("most"))
+    known = known.where(f"rows > 1 OR most = {_ANCHOR + 1}").select("digest", "first", "rows")
+    found = digests.join(known, "digest").withColumn("later", F.col("row_key") > F.col("first")).where(f"later OR kind > {_CHAIN + 1}").drop("first")
+    found = found.unionByName(held.where(F.col("kind") == _SPAN).withColumns({"rows": F.lit(0).cast("long"), "later": F.lit(True)}))
+
+    def some(value, when):
+        return F.collect_list(F.when(when, value))
+
+    kind, later, counted = F.col("kind"), F.col("later"), F.struct("digest", "rows")
+    marks = checkpointed(found.groupBy("row_key", "sig").agg(
+        some(F.struct("begin", "end"), later & ~kind.isin(_ANCHOR, _ANCHOR + 1)).alias("spans"), some(F.col("digest"), later & (kind == _LONG)).alias("earlier"),
+        some(counted, kind.isin(_ANCHOR, _ANCHOR + 1)).alias("anchors"), some(counted, kind == _LONG).alias("longs")))
+
+    def second(t, *marked):
+        return Reading(t, min_words, passage).window_rows(*marked)
 
     open_rows = table.join(marks.where("size(anchors) > 0").select(
-        "row_key", "earlier", F.col("longs.digest").alias("longs"), F.col("longs.rows").alias("long_rows"),
-        F.col("anchors.digest").alias("shared"), F.col("anchors.rows").alias("shared_rows")), "row_key")
-    windows = checkpointed(open_rows.mapInPandas(lambda parts: _batches(parts, ["text", "earlier", "longs", "long_rows", "shared", "shared_rows"], second), "row_key long, digest long, kind byte"))
-    passages = _earlier(windows).groupBy("row_key").agg(F.collect_set("digest").alias("_span_passages"))
-    marks = marks.select(F.col("row_key"), F.col("chains").alias("_span_chains"), F.col("earlier").alias("_span_longs"), F.col("anchors.digest").alias("_span_shared"))
-    marked = keyed.join(marks.join(passages, "row_key", "left").withColumnRenamed("row_key", "_span_key"), "_span_key", "left")
+        "row_key", "sig", "earlier", F.col("longs.digest").alias("longs"), F.col("longs.rows").alias("long_rows"),
+        F.col("anchors.digest").alias("shared"), F.col("anchors.rows").alias("shared_rows")), ["row_key", "sig"])
+    windows = checkpointed(open_rows.mapInPandas(lambda parts: tidy(_batches(parts, ["text", "earlier", "longs", "long_rows", "shared", "shared_rows"], second)), _PLACES))
+    gone = _earlier(windows.where(F.col("kind") < _SPAN)).unionByName(windows.where(F.col("kind") == _SPAN))
+    gone = gone.select("row_key", "sig", F.struct("begin", "end").alias("s")).unionByName(marks.select("row_key", "sig", F.explode("spans").alias("s")))
+    spans = gone.groupBy("row_key", "sig").agg(F.collect_set("s").alias("s")).select("row_key", "sig", F.col("s.begin").alias("begins"), F.col("s.end").alias("ends"))
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def find(texts: pd.Series, chains: pd.Series, longs: pd.Series, shared: pd.Series, passages: pd.Series) -> pd.Series:
-        return pd.Series([[] if m[0] is None else Reading(t or "", min_words, passage).repeated(*m)
-                          for t, *m in zip(texts, chains, longs, shared, passages, strict=True)])
+    shape = T.StructType([T.StructField("text", T.StringType()), T.StructField("spans", T.ArrayType(T.ArrayType(T.IntegerType())))])
 
-    @F.pandas_udf(T.StringType())
-    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
-        return pd.Series([t if t is None else cut_out(t, s) for t, s in zip(texts, spans, strict=True)])
+    def without(text, begins, ends):
+        if begins is None:
+            return None, []
+        found = _merged(text, zip(begins.tolist(), ends.tolist(), strict=True))
+        return cut_out(text, found), found
 
-    text = F.col(text_col).cast("string")
-    found = marked.withColumn("_spans", find(text, "_span_chains", "_span_longs", "_span_shared", "_span_passages"))
-    return found.withColumn(text_col, cut(text, F.col("_spans"))).drop("_span_key", "_span_chains", "_span_longs", "_span_shared", "_span_passages")
+    @F.pandas_udf(shape)
+    def cut(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        yield from tidy(pd.DataFrame([without(*row) for row in zip(*part, strict=True)], columns=["text", "spans"]) for part in parts)
+
+    marked = keyed.join(spans, ["row_key", "sig"], "left")
+    hit = F.col("begins").isNotNull()
+    out = marked.withColumn("cut", cut(F.when(hit, F.col("text")), "begins", "ends"))
+    return out.select("row", F.when(hit, F.col("cut.text")).otherwise(F.col("text")).alias("text"), F.coalesce("cut.spans", F.array().cast("array<array<int>>")).alias("spans"))
 
 
 def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passage: int = PASSAGE_WORDS) -> DataFrame:
@@ -395,4 +441,11 @@ def remove_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     border of a copy, so this leaves out none.
     """
     table = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return _with_spans(_passage_spans(table, "doc_id", "text", min_words, passage))
+    done = _passage_spans(table, "doc_id", "text", min_words, passage)
+    return _with_spans(done.select("row.doc_id", "text", F.col("spans").alias("_spans")))
+
+
+def drop_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passage: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` with the passages of ``remove_passages`` cut from the text; all rows and columns stay, whatever their names."""
+    done = _passage_spans(docs, id_col, text_col, min_words, passage)
+    return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in docs.columns])
