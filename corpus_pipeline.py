@@ -9,35 +9,24 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablelearn.llm.bagminhash import drop_near_duplicates
 from tablelearn.llm.mixing import mix_documents
 from tablelearn.llm.packing import pack_documents
-from tablelearn.llm.substring import drop_repeats
+from tablelearn.llm.substring import drop_passages
 from tablelearn.llm.toxicity import drop_toxic
 from tablelearn.plans.lineage import checkpoint_folder
 
 
-#: Rows of a batch that goes to a Python worker. Texts are long, and a worker's memory counts.
-BATCH_ROWS = 2_000
-
-
-def _small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier does not reject."""
-    _small_batches(spark)
     return drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    _small_batches(spark)
     return drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that an earlier document holds; ``n_chars`` follows the text."""
-    _small_batches(spark)
-    kept = drop_repeats(docs)
+    kept = drop_passages(docs)
     return kept.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in kept.columns else kept
 
 
@@ -48,7 +37,6 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in training sequences."""
-    _small_batches(spark)
     return pack_documents(docs)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tablelearn.plans.components import components
 from tablelearn.plans.lineage import checkpointed
 
+from .memory import tidy
 from .shingles import WORDS, WordHash, elements, mix, row_key, runs, shingles
 
 SIMILARITY = 0.8
@@ -126,7 +127,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 found = unique[["d1", "d2"]].assign(size=size, bands=[k if n else k[:0] for k, n in zip(keys, size, strict=True)])
                 yield some[["doc_id", "row_key", "d1", "d2"]].merge(found, on=["d1", "d2"])
 
-    signed = checkpointed(table.mapInPandas(sign, "doc_id long, row_key long, d1 long, d2 long, size long, bands array<long>"))
+    signed = checkpointed(table.mapInPandas(lambda parts: tidy(sign(parts)), "doc_id long, row_key long, d1 long, d2 long, size long, bands array<long>"))
     nodes = checkpointed(signed.groupBy("d1", "d2").agg(F.min("row_key").alias("node"), F.first("size").alias("size"), F.first("bands").alias("bands")))
     banded = nodes.select("node", "size", F.explode("bands").alias("key"))
     many = banded.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1")
@@ -146,7 +147,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pd.DataFrame({"node": some["row_key"], "items": elements(some["text"], memo, words)})
 
     texts = table.join(wanted, ["row_key", "d1", "d2"], "left_semi").select("row_key", "text")
-    spelled = checkpointed(texts.mapInPandas(spell, "node long, items array<long>").dropDuplicates(["node"]))
+    spelled = checkpointed(texts.mapInPandas(lambda parts: tidy(spell(parts)), "node long, items array<long>").dropDuplicates(["node"]))
 
     tries = members.where("node <> low").groupBy("node", "low").agg(F.count(F.lit(1)).alias("n"))
     tries = tries.groupBy("node").agg(F.min_by("low", F.struct(-F.col("n"), F.col("low"))).alias("low"))
@@ -238,9 +239,8 @@ def _verified(pairs: DataFrame, spelled: DataFrame, similarity: float) -> DataFr
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class left; all columns stay."""
-    found = near_duplicates(docs, id_col, text_col, **options).where("kept").select(
-        F.col("row_key").alias("_near_key"), F.col("d1").alias("_near_d1"), F.col("d2").alias("_near_d2")).distinct()
-    d1, d2 = _digest(F.col(text_col).cast("string"))
-    marked = docs.withColumns({"_near_key": row_key(id_col, text_col), "_near_d1": d1, "_near_d2": d2})
-    kept = marked.join(found, ["_near_key", "_near_d1", "_near_d2"], "left_semi").dropDuplicates(["_near_key", "_near_d1", "_near_d2"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = near_duplicates(docs, id_col, text_col, **options).where("kept").select("row_key", "d1", "d2").distinct()
+    key = row_key(f"`{id_col}`", f"`{text_col}`").alias("row_key")
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), key, *_digest(F.col(f"`{text_col}`").cast("string")))
+    kept = marked.join(found, ["row_key", "d1", "d2"], "left_semi").dropDuplicates(["row_key", "d1", "d2"])
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

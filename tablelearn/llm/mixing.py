@@ -133,15 +133,16 @@ def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     any order for each other: of such a group as many rows come as the mix takes of the group."""
 
     def keys(doc_id, source, size):  # without nulls, so that join and row number share one shuffle
-        return {"_mix_id": F.coalesce(doc_id.cast("string"), F.lit("")), "_mix_source": F.coalesce(F.concat(F.lit("="), source), F.lit("")), "_mix_size": size}
-
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
-    marked = docs.withColumns(keys(F.col(id_col), F.col(source_col).cast("string"), size))
-    taken = mix(docs, id_col, text_col, source_col, **options).withColumns(keys(F.col("doc_id"), F.col("source"), F.col("size")))
-    same = ["_mix_id", "_mix_source", "_mix_size"]
-    counts = taken.groupBy(*same).agg(F.sum("copies").alias("_mix_copies"), F.count(F.lit(1)).alias("_mix_rows")).where("_mix_copies > 0")
-    found = marked.join(counts, same).withColumn("_mix_nth", F.row_number().over(W.partitionBy(*same).orderBy("_mix_rows")))
-    share = F.floor(F.col("_mix_nth") * F.col("_mix_copies") / F.col("_mix_rows")) - F.floor((F.col("_mix_nth") - 1) * F.col("_mix_copies") / F.col("_mix_rows"))
-    found = found.withColumn("_mix_share", share.cast("int")).where("_mix_share > 0")
-    found = found.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_share"))))
-    return found.select(*[F.col(f"`{c}`") for c in docs.columns])
+        return [F.coalesce(doc_id.cast("string"), F.lit("")).alias("id"), F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("of"), size.alias("size")]
+
+    size = F.coalesce(F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit(WORDS)), F.lit(0)).cast("long")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(row, *keys(F.col(f"`{id_col}`"), F.col(f"`{source_col}`").cast("string"), size))
+    taken = mix(docs, id_col, text_col, source_col, **options).select("copies", *keys(F.col("doc_id"), F.col("source"), F.col("size")))
+    same = ["id", "of", "size"]
+    counts = taken.groupBy(*same).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows")).where("copies > 0")
+    found = marked.join(counts, same).withColumn("nth", F.row_number().over(W.partitionBy(*same).orderBy("rows")))
+    share = F.floor(F.col("nth") * F.col("copies") / F.col("rows")) - F.floor((F.col("nth") - 1) * F.col("copies") / F.col("rows"))
+    found = found.withColumn("share", share.cast("int")).where("share > 0")
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("share"))))
+    return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

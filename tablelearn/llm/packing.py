@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .memory import tidy
+
 WINDOW = 2048
 END_ID = 1
 #: Documents per packing group. A group holds the pieces of about this many documents, whatever the table's size.
@@ -135,7 +137,7 @@ def cut(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeniz
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape, strict=True)], schema=shape)
         encode.older.clear()  # what stays for the worker's next task is one generation at most
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda batches: tidy(run(batches)), schema)
 
 
 class _Tightest:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablelearn.plans.lineage import checkpointed
 
+from .memory import tidy
+
 # Voters known beforehand: whole words of common abuse in four languages.
 LEXICON = [
     "arsehole", "arschloch", "asshole", "bastard", "bitch", "cabron", "cabrón", "clown", "connard", "connasse", "cunt", "degenerate",
@@ -92,7 +95,7 @@ def find_voters(docs: DataFrame, labels: DataFrame, lexicon=LEXICON, max_mined:
                 yield pd.DataFrame({"term": list(found), "toxic": [v[0] for v in found.values()], "clean": [v[1] for v in found.values()],
                                     "before": [sorted(v[2]) for v in found.values()]})
 
-    counted = rows.mapInPandas(count, "term string, toxic long, clean long, before array<string>").groupBy("term").agg(
+    counted = rows.mapInPandas(lambda parts: tidy(count(parts)), "term string, toxic long, clean long, before array<string>").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"),
         F.size(F.array_distinct(F.flatten(F.collect_list("before")))).alias("contexts"))
     own = ["=" + w for w in lexicon]
@@ -281,7 +284,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             found = [sorted(finder(t or "").items()) for t in part["text"]]
             yield pd.DataFrame({"doc_id": part["doc_id"], "fired": [[j for j, _ in f] for f in found], "hits": [[n for _, n in f] for f in found]})
 
-    votes = checkpointed(table.mapInPandas(vote, "doc_id long, fired array<int>, hits array<int>"))
+    votes = checkpointed(table.mapInPandas(lambda parts: tidy(vote(parts)), "doc_id long, fired array<int>, hits array<int>"))
     patterns = checkpointed(votes.groupBy("fired").agg(F.count(F.lit(1)).alias("n")))
     labeller = fit_label_model(patterns, voters)
 
@@ -324,7 +327,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
     model, _ = train(docs, labels, id_col, text_col)
 
     @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series(model.scores(texts))
+    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from tidy(pd.Series(model.scores(texts)) for texts in parts)
 
-    return docs.where(score(F.col(text_col).cast("string")) < threshold)
+    return docs.where(score(F.col(f"`{text_col}`").cast("string")) < threshold)
