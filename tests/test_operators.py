@@ -192,7 +192,7 @@ def test_trees_save_and_load(spark, blobs, tmp_path):
     assert list(column(again.transform(df), "prediction")) == list(column(m.transform(df), "prediction"))
     with pytest.raises(ValueError, match="not supported"):
         from tablelearn.operators.trees import DecisionTreeRegressor
-        DecisionTreeRegressor(COLS, "y", criterion="poisson")
+        DecisionTreeRegressor(COLS, "y", criterion="other")
     three = df.withColumn("k", F.when(F.col("a") > 1, "x").when(F.col("b") > 0, "y").otherwise("z"))
     out = GradientBoostingClassifier(COLS, "k", n_estimators=2, max_depth=2).fit(three).transform(three).first()
     assert len(out.probabilities) == 3 and np.isclose(sum(out.probabilities), 1)
