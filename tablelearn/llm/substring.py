@@ -27,6 +27,8 @@ _STOP = np.array([ord(c) for c in ".!?…"], np.uint32)
 _STOPS = np.concatenate((_STOP, np.array([ord(c) for c in "。！？｡؟۔।॥።၊။։"], np.uint32)))
 _SINGLE = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3001, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF01, 0xFF9F),
            (0x20000, 0x3FFFF))
+_IS_STOP, _IS_SPACE = np.zeros(1 << 16, bool), np.zeros(1 << 16, bool)  # no mark has the last number
+_IS_STOP[_STOPS], _IS_SPACE[_SPACE] = True, True
 _SOLID = re.compile("[^" + "".join(map(chr, _SPACE)) + "]")
 _EMPTY = np.zeros(0, np.int64)
 # Kinds of rows: a digest's first place in a text, and one more for a further place (anchors: windows apart share it); a
@@ -40,7 +42,7 @@ def _spaces(code: np.ndarray) -> np.ndarray:
     space = code <= 32
     space &= (code >= 9) & ((code <= 13) | (code == 32))
     if len(code) and code.max() >= 0x85:
-        space |= np.isin(code, _SPACE)
+        space |= _IS_SPACE[np.minimum(code, (1 << 16) - 1)]
     return space
 
 
@@ -190,7 +192,7 @@ def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     lines = np.cumsum(code == 10)
     first = upper[begin]
     first[0] = True
-    first[1:] |= np.isin(code[end[:-1] - 1], _STOPS) | (lines[begin[1:]] != lines[end[:-1] - 1])
+    first[1:] |= _IS_STOP[np.minimum(code[end[:-1] - 1], (1 << 16) - 1)] | (lines[begin[1:]] != lines[end[:-1] - 1])
     low = code.astype(_U) + (upper * _U(32)).astype(_U)
     length = end - begin
     inside = np.flatnonzero(solid)
@@ -229,9 +231,8 @@ class Reading:
         ahead = np.searchsorted(tail, head + min_words)
         back = np.searchsorted(head, tail - min_words, side="right") - 1
         on, up = ahead < len(tail), back >= 0
-        pairs = np.concatenate((np.stack((head[on], tail[ahead[on]]), 1), np.stack((head[back[up]], tail[up]), 1))) if count else np.zeros((0, 2), np.int64)
-        pairs = np.unique(pairs, axis=0)
-        self.start, self.stop = pairs[:, 0], pairs[:, 1]
+        pairs = np.unique(np.concatenate((head[on] * (count + 1) + tail[ahead[on]], head[back[up]] * (count + 1) + tail[up]))) if count else _EMPTY
+        self.start, self.stop = np.divmod(pairs, count + 1)
         self.chain = self.ranges(self.start, self.stop)
         self.anchor = self.long = self.long_start = self.long_stop = _EMPTY
         if count >= passage:
@@ -243,7 +244,11 @@ class Reading:
                 step = min(have, want - have)
                 least, have = np.minimum(least[:-step], least[step:]), have + step
             self.anchor = least ^ _APART[0]
-            head = np.union1d(np.flatnonzero(np.isin(grams, least)), [0])
+            # a least digest holds for many windows in a row, so runs of them are few
+            change = np.flatnonzero(least[1:] != least[:-1]) + 1
+            self.run_start, self.run_stop = np.concatenate(([0], change)), np.concatenate((change, [len(least)]))
+            names = np.unique(least[self.run_start])
+            head = np.union1d(np.flatnonzero(names[np.minimum(np.searchsorted(names, grams), len(names) - 1)] == grams), [0])
             stops = np.union1d(head[1:] + size, [count])
             begin = head[head + passage + want <= count]
             begin, end = (begin, stops[np.searchsorted(stops, begin + passage + want)]) if len(begin) else (np.zeros(1, np.int64), np.array([count]))
@@ -267,7 +272,7 @@ class Reading:
         if shared is None or not len(shared) or not len(self.anchor):
             return _EMPTY
         stop = np.arange(len(self.anchor)) + self.passage
-        rows = _looked_up(self.anchor, shared, shared_docs)
+        rows = np.repeat(_looked_up(self.anchor[self.run_start], shared, shared_docs), self.run_stop - self.run_start)
         need = (rows > 1) & (self.within(_among(self.long, earlier)) < stop)
         held = _looked_up(self.long, longs, long_docs)
         for many in np.unique(rows[need]):
@@ -281,6 +286,8 @@ class Reading:
             return _NO_ROWS
         _, place, own = np.unique(digest, return_index=True, return_inverse=True)
         again = stop[place][own] <= start
+        if not again.any():
+            return digest, kind + (place[own] != np.arange(len(digest))), self.begin[start], self.end[stop - 1]
         cover = np.zeros(len(self.begin) + 1, np.int64)
         np.add.at(cover, start[again], 1)
         np.add.at(cover, stop[again], -1)
@@ -303,7 +310,7 @@ class Reading:
     def window_rows(self, earlier, longs, long_docs, shared, shared_docs):
         """Places of the windows that must be compared (see ``open``), wherever their words stand in the text, and the spans of
         windows that repeat inside it. Equal windows have equal anchors, so only windows with shared anchors are read."""
-        at = np.flatnonzero(_among(self.anchor, shared))
+        at = np.flatnonzero(np.repeat(_among(self.anchor[self.run_start], shared), self.run_stop - self.run_start)) if len(self.anchor) else _EMPTY
         digest = self.windows(at)
         wanted = _among(digest, self.windows(self.open(earlier, longs, long_docs, shared, shared_docs)))
         rows = self.places(digest, at, at + self.passage, 0)
@@ -314,9 +321,10 @@ class Reading:
         """The text's different anchors, and of each whether windows that do not overlap share it."""
         if not len(self.anchor):
             return _EMPTY, np.zeros(0, bool)
-        names, first, own = np.unique(self.anchor, return_index=True, return_inverse=True)
-        last = np.zeros(len(names), np.int64)
-        np.maximum.at(last, own, np.arange(len(own)))
+        names, own = np.unique(self.anchor[self.run_start], return_inverse=True)
+        first, last = np.full(len(names), len(self.anchor)), np.zeros(len(names), np.int64)
+        np.minimum.at(first, own, self.run_start)
+        np.maximum.at(last, own, self.run_stop - 1)
         return names, last - first >= self.passage
 
 
