@@ -23,8 +23,8 @@ ROUNDS = 5
 SMOOTHING = 100.0
 #: Tokens of a training window: documents are cut into windows, each token is in one.
 WINDOW_TOKENS = 512
-#: Documents of the bounded sample that sets the first guess.
-SEED_DOCS = 512
+#: Times that the first guess moves every training window to its likeliest state.
+GUESS_ROUNDS = 2
 FOLDS, HELD_FOLD = 7, 2
 _END = 0
 
@@ -241,41 +241,67 @@ def normalised(starts, moves, emits, shared: np.ndarray, smoothing: float = SMOO
     return Model(start, move, (emits + smoothing * shared[:, None]) / (emits.sum(axis=0) + smoothing))
 
 
-def first_guess(sample, vocabulary: Vocabulary, states: int) -> Model:
-    """Spherical k-means of the sample's word histograms, seeded by the documents least alike; each cluster is a state."""
-    shared, wide = vocabulary.shared(), min(len(vocabulary.names), 4096)
-    emits = np.zeros((vocabulary.symbols, states))
-    if sample and wide:
-        flat = np.zeros((len(sample), wide))
-        for k, s in enumerate(sample):
-            flat[k] = np.bincount(s[s < wide], minlength=wide)
-        flat = np.sqrt(flat)
-        flat /= np.maximum(np.linalg.norm(flat, axis=1, keepdims=True), 1e-9)
-        seeds = [0]
-        while len(seeds) < states:
-            seeds.append(int(np.argmin((flat @ flat[seeds].T).max(axis=1))))
-        centers = flat[seeds]
-        for _ in range(10):
-            own = (flat @ centers.T).argmax(axis=1)
-            for c in range(states):
-                if (own == c).any():
-                    mean = flat[own == c].sum(axis=0)
-                    centers[c] = mean / max(np.linalg.norm(mean), 1e-9)
-        for k, s in enumerate(sample):
-            emits[:, own[k]] += np.bincount(s, minlength=len(emits))
-    rng = np.random.default_rng(0)
-    moves = np.eye(states) * 100 + rng.random((states, states))
-    return normalised(np.ones(states), moves, emits, shared)
+def directions(vocabulary: Vocabulary, states: int) -> np.ndarray:
+    """symbols x bits: +1 or -1 by a hash of the symbol's name, less the mean over the training tokens."""
+    bits = max(1, (states - 1).bit_length())
+    names = [int(n).to_bytes(8, "little", signed=True) for n in vocabulary.names]
+    names += [b"%d" % c for c in range(CLASSES + 1)]
+    signs = np.array([xxhash.xxh3_64_intdigest(n) for n in names], np.uint64)[:, None] >> np.arange(bits, dtype=np.uint64) & np.uint64(1)
+    signs = signs.astype(np.float64) * 2 - 1
+    return signs - vocabulary.shared() @ signs
+
+
+def window_sums(tokens: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each window of one text's tokens the sum of its symbols' rows of ``weights``."""
+    return np.add.reduceat(weights.take(tokens, axis=0), np.arange(0, len(tokens), WINDOW_TOKENS), axis=0)
+
+
+def sides(tokens: np.ndarray, planes: np.ndarray, states: int) -> np.ndarray:
+    """The state of each window: on which side of each plane through the mean it lies."""
+    return ((window_sums(tokens, planes) > 0) @ (1 << np.arange(planes.shape[1]))) % states
+
+
+def likeliest(tokens: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """The state of each window: under whose emissions its words are likeliest, the first of equals."""
+    return window_sums(tokens, logs).argmax(axis=1)
+
+
+def first_guess(training: DataFrame, vocabulary: Vocabulary, states: int, rounds: int = GUESS_ROUNDS) -> Model:
+    """Emissions counted over all training windows, each of which belongs to one state: at first by random planes, then
+    ``rounds`` times by the likeliest state. Nothing depends on the order of rows, as only whole numbers are summed."""
+    shared, choose = vocabulary.shared(), (sides, directions(vocabulary, states), states)
+    moves = np.eye(states) * 100 + np.random.default_rng(0).random((states, states))
+    columns = [f"s{s}" for s in range(states)]
+    size = vocabulary.symbols
+    for _ in range(rounds + 1):
+
+        def count(parts, choose=choose):
+            own, *rest = choose
+            total = np.zeros(size * states, np.int64)
+            for part in parts:
+                for tokens in map(np.asarray, part["tokens"]):
+                    for start in range(0, len(tokens), 256 * WINDOW_TOKENS):
+                        some = tokens[start:start + 256 * WINDOW_TOKENS]
+                        state = np.repeat(own(some, *rest), WINDOW_TOKENS)[:len(some)]
+                        np.add.at(total, some * np.int64(states) + state, 1)
+            grid = total.reshape(size, states)
+            used = np.flatnonzero(grid.any(axis=1))
+            yield pd.DataFrame(grid[used], columns=columns).assign(at=used)[["at", *columns]]
+
+        summed = training.select("tokens").mapInPandas(count, "at int, " + ", ".join(f"{c} long" for c in columns))
+        emits = np.zeros((size, states))
+        for r in summed.groupBy("at").agg(*[F.sum(c) for c in columns]).collect():  # as large as the bounded alphabet
+            emits[r["at"]] = r[1:]
+        model = normalised(np.ones(states), moves, emits, shared)
+        choose = likeliest, np.log(model.emit)
+    return model
 
 
 def train(encoded: DataFrame, vocabulary: Vocabulary, states: int = STATES, rounds: int = ROUNDS) -> Model:
     """Baum-Welch over the training rows of ``encoded``. A round is one pass; tasks return expected counts by symbol, a
     table as large as the bounded alphabet."""
-    training = encoded.where("NOT held_out").select("row", "tokens")
-    chosen = training.where("size(tokens) >= 40").select("row").orderBy(F.xxhash64("row"), "row").limit(SEED_DOCS)
-    sample = training.join(F.broadcast(chosen), "row").select("row", F.slice("tokens", 1, 2000).alias("tokens")).collect()
-    sample = [np.array(r["tokens"]) for r in sorted(sample)]
-    model, shared = first_guess(sample, vocabulary, states), vocabulary.shared()
+    training = encoded.where("NOT held_out").select("tokens")
+    model, shared = first_guess(training, vocabulary, states), vocabulary.shared()
     columns = [f"s{s}" for s in range(states)]
     schema = "kind int, at int, " + ", ".join(f"{c} double" for c in columns)
     for _ in range(rounds):
@@ -313,6 +339,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     within its class, an unknown word 1 / mass; so known words and one unknown word per class share the whole
     probability, and the score of an unknown word is never above that of a model with a single one.
 
+    Rows in another order or layout give the same scores up to rounding.
+
     Null and empty texts are the end alone; a null id is a training row; rows repeated whole count each; an empty table
     gives no rows; other columns are not read.
     """

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tablelearn.llm import hmm, sitetree, toxicity
 
@@ -89,6 +90,33 @@ def test_score_texts(spark):
     assert hmm.score_texts(frame.limit(0)).count() == 0
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    rows = corpus(random.Random(8), 400)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    many = frame.orderBy(F.desc("doc_id")).repartition(7)
+    one, other = ({r["doc_id"]: r["score"] for r in hmm.score_texts(f.coalesce(n), common=50, states=4).collect()} for f, n in ((frame, 1), (many, 7)))
+    assert one.keys() == other.keys() and all(one[i] == pytest.approx(other[i], rel=1e-6) for i in one)
+
+
+def test_first_guess_equals_hard_assignment_of_all_windows(spark):
+    rng, states = np.random.default_rng(9), 4
+    vocabulary = hmm.Vocabulary(np.arange(1, 31), rng.integers(1, 50, 30).astype(float), np.ones(hmm.CLASSES), 12, 900, 31)
+    documents = [rng.choice(vocabulary.symbols, n, p=vocabulary.shared()) for n in (1, 5, hmm.WINDOW_TOKENS, hmm.WINDOW_TOKENS + 1, 4 * hmm.WINDOW_TOKENS + 7, 300, 300, 90)]
+    training = spark.createDataFrame([(d.tolist(),) for d in documents], "tokens array<int>").repartition(3)
+    planes = hmm.directions(vocabulary, states)
+    assert np.allclose(vocabulary.shared() @ planes, 0) and planes.shape[1] == 2
+    windows = [d[k:k + hmm.WINDOW_TOKENS] for d in documents for k in range(0, len(d), hmm.WINDOW_TOKENS)]
+    own = [sum(int(sum(planes[t, b] for t in w) > 0) << b for b in range(2)) for w in windows]
+    for rounds in range(3):
+        emits = np.zeros((vocabulary.symbols, states))
+        for w, state in zip(windows, own, strict=True):
+            for t in w:
+                emits[t, state] += 1
+        want = (emits + hmm.SMOOTHING * vocabulary.shared()[:, None]) / (emits.sum(axis=0) + hmm.SMOOTHING)
+        assert np.allclose(hmm.first_guess(training, vocabulary, states, rounds).emit, want)
+        own = [max(range(states), key=lambda c: sum(math.log(want[t, c]) for t in w)) for w in windows]
+
+
 def test_model_is_a_distribution_over_words(spark):
     """The probabilities of all known words and of one unknown word per class add up to one."""
     rng = random.Random(4)
