@@ -13,9 +13,7 @@ from tablelearn.plans.lineage import checkpointed
 
 from .urls import host_of
 
-#: A host's tree is used for branches that so many of its different pages have.
-MIN_PAGES = 8
-#: Branches of lower importance go.
+#: Branches and single texts of lower importance go.
 MIN_IMPORTANCE = 0.2
 #: Share of the importance that the content keeps with each kind of child.
 DECAY = 0.9
@@ -37,6 +35,8 @@ _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "tbody": {"tr", "td", "th", "thead", "tbody"}, "thead": {"caption"}, "tfoot": {"tr", "td", "th", "tbody"},
 }
+# A text in one of these means little without what stands around it, so it is not judged by itself.
+_PARTS = frozenset("h1 h2 h3 h4 h5 h6 li dt dd td th caption pre figcaption blockquote".split())
 _FENCE = frozenset("ul ol dl table tr select".split())
 # Boilerplate by element, role and parts of class or id.
 _DROP_TAGS = frozenset(
@@ -59,12 +59,12 @@ def _attributes(raw: str) -> dict[str, str]:
 
 
 class Page:
-    """One pass over the markup. ``blocks``: (text, inside article or main, plain, branches); a branch is the hash of the
-    tags, classes and ids from the root to an element. ``shapes``: branch -> tags of its children, for the elements that
+    """One pass over the markup. ``blocks``: (text, inside article or main, plain, branches, part of a heading, list, table or
+    the like); a branch is the hash of the tags, classes and ids from the root to an element, the innermost last. ``shapes``: branch -> tags of its children, for the elements that
     stand on the way to a block."""
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, bool, bool, list[int]]] = []
+        self.blocks: list[tuple[str, bool, bool, list[int], bool]] = []
         self.shapes: dict[int, list[str]] = {}
         self._text: list[str] = []
         self._stack = [("", 0, False, False, True, (), 0)]  # tag, branch, dropped, inside, plain, named, article
@@ -126,7 +126,8 @@ class Page:
             if text:
                 _, _, _, inside, plain, named, article = self._stack[-1]
                 self._held.append((named, article))
-                self.blocks.append((text, inside, plain, list(dict.fromkeys(e[1] for e in self._stack[1:]))))
+                part = any(e[0] in _PARTS for e in self._stack)
+                self.blocks.append((text, inside, plain, list(dict.fromkeys(e[1] for e in self._stack[1:])), part))
 
     def _start(self, tag: str, raw: str) -> None:
         if tag in _BLOCK:
@@ -221,16 +222,42 @@ def importance(features: DataFrame) -> DataFrame:
     return sums.select("host", "branch", (keep * content + (1 - keep) * F.least(shape, F.lit(1.0))).alias("importance"), F.col("m").alias("pages"))
 
 
-def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-              min_importance: float = MIN_IMPORTANCE) -> DataFrame:
+def smoothed(found, m):
+    """Importance on ``m`` pages with one page more on which nothing is shared, so that few pages prove little: what all of
+    2, 3, 4 or 7 pages share has 0.37, 0.21, 0.14 or 0.06, and on many pages nearly 0."""
+    return 1 - (1 - found) * F.log(m.cast("double")) / F.log(m.cast("double") + 1)
+
+
+def unimportant(features: DataFrame, least: float) -> DataFrame:
+    """(host, key) of what goes: the branches of low importance, and in all branches the single texts (content nodes) of
+    low importance, whose key is the hash of branch and text. A text on n of a branch's m pages has the importance
+    1 - log n / log (m + 1)."""
+    judged = importance(features)
+    branches = judged.where(smoothed(F.col("importance"), F.col("pages")) < least).select("host", F.col("branch").alias("key"))
+    # a text on n pages is low on no number of pages if it is not on n; most texts end here
+    n = F.when(F.col("kind") == 0, F.col("pages"))
+    often = features.where(smoothed(F.lit(0.0), n) < least).select("host", "branch", "feature", F.col("pages").alias("n"))
+    nodes = often.join(judged.select("host", "branch", F.col("pages").alias("m")), ["host", "branch"])
+    nodes = nodes.where(1 - F.log(F.col("n").cast("double")) / F.log(F.col("m").cast("double") + 1) < least)
+    return branches.unionByName(nodes.select("host", F.xxhash64("branch", "feature").alias("key")))
+
+
+def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_importance: float = MIN_IMPORTANCE) -> DataFrame:
     """page_id, url, text, n_chars for every row.
 
     Elements that name themselves boilerplate go, with all below them, but a class or id drops no element around the
     page's article, or without an article around most of its text, nor all text of a page. If the page has an article or main element, only
-    its blocks count. Of what is left, branches of low importance in the host's style tree go, but for those that differ
-    from plain article text by nothing: neither they nor an element between them and the article has a class, id or
-    role. A page that would lose all its text to the tree keeps it. Pages of a host with the same blocks count once, so
-    copies of a page do not make its text look like boilerplate.
+    its blocks count. Of what is left, the host's style tree removes
+
+    * branches of low importance, but for plain article text: neither it nor an element between it and the article has a
+      class, id or role;
+    * single texts of low importance in their innermost branch, plain article text too: a notice in the article that most pages of
+      the host have. Parts of headings, lists, tables, quotations and preformatted text are not judged singly, and a page
+      of which more than half the characters would go keeps all of them, so pages with the same article keep it.
+
+    Importance is smoothed, so what all pages of a host share goes from four different pages on. A page that would lose
+    all its text to the tree keeps it. Pages of a host with the same texts count once (in the markup whose hash is
+    the least), so copies of a page do not make its text look like boilerplate.
 
     Null or empty html gives an empty text; a null url is a host of its own name, the empty one; null ids and repeated
     rows stay; an empty table gives no rows; other columns are not read.
@@ -243,13 +270,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for start in range(0, len(part), 256):
                 some = part.iloc[start:start + 256]
                 found = [_read(h) for h in some["html"]]
-                yield some[["page_id", "url", "host"]].assign(**{k: [f[k] for f in found] for k in ("mark", "texts", "free", "branches", "shapes")})
+                yield some[["page_id", "url", "host"]].assign(**{k: [f[k] for f in found] for k in ("mark", "form", "texts", "free", "part", "branches", "shapes")})
 
     read = checkpointed(table.mapInPandas(
-        parse, "page_id {}, url string, host string, mark long, texts array<string>, free array<boolean>, branches array<array<long>>, "
+        parse, "page_id {}, url string, host string, mark long, form long, texts array<string>, free array<boolean>, part array<boolean>, branches array<array<long>>, "
         "shapes array<struct<branch: long, shape: long>>".format(table.schema["page_id"].dataType.simpleString())))
     # one row per different page of a host, counted before anything is multiplied out
-    once = read.select("host", "mark", F.transform("texts", lambda t: F.xxhash64(t)).alias("marks"), "branches", "shapes").dropDuplicates(["host", "mark"])
+    page = F.struct(F.transform("texts", lambda t: F.xxhash64(t)).alias("marks"), "branches", "shapes")
+    once = read.groupBy("host", "mark").agg(F.min_by(page, "form").alias("page")).select("host", "page.*")
 
     def feature(branch, kind, value):
         return F.struct(branch.alias("branch"), F.lit(kind).alias("kind"), value.alias("feature"))
@@ -257,15 +285,23 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     texts = F.flatten(F.transform(F.arrays_zip("marks", "branches"), lambda b: F.transform(b["branches"], lambda x: feature(x, 0, b["marks"]))))
     shapes = F.flatten(F.transform("shapes", lambda s: F.array(feature(s["branch"], 1, s["shape"]), feature(s["branch"], 2, F.lit(0).cast("long")))))
     features = once.select("host", F.inline(F.concat(F.array_distinct(texts), shapes))).groupBy("host", "branch", "kind", "feature").agg(F.count(F.lit(1)).alias("pages"))
-    low = importance(features).where((F.col("importance") < min_importance) & (F.col("pages") >= min_pages))
-    low = checkpointed(low.select("host", "branch"))
+    low = checkpointed(unimportant(features, min_importance))
     few = low.count() <= BROADCAST_BRANCHES
-    low = low.groupBy("host").agg(F.collect_set("branch").alias("low"))
+    low = low.groupBy("host").agg(F.collect_set("key").alias("low"))
     joined = read.join(F.broadcast(low) if few else low, "host", "left")
-    blocks = F.arrays_zip("texts", "free", "branches")
-    kept = F.filter(blocks, lambda b: b["free"] | ~F.arrays_overlap(b["branches"], F.col("low")))
-    chosen = F.when(F.col("low").isNull() | (F.size(kept) == 0), F.col("texts")).otherwise(F.transform(kept, lambda b: b["texts"]))
-    return joined.select("page_id", "url", F.array_join(chosen, "\n\n").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    blocks = F.arrays_zip("texts", "free", "part", "branches")
+
+    def size(some):
+        return F.aggregate(some, F.lit(0).cast("long"), lambda n, b: n + F.length(b["texts"]))
+
+    def single(b):
+        return F.array_contains(F.col("low"), F.xxhash64(F.try_element_at(b["branches"], F.lit(-1)), F.xxhash64(b["texts"])))
+
+    out = joined.withColumn("left", F.when(F.col("low").isNotNull(), F.filter(blocks, lambda b: b["free"] | ~F.arrays_overlap(b["branches"], F.col("low")))))
+    out = out.withColumn("kept", F.filter("left", lambda b: b["part"] | ~single(b)))
+    kept = F.when(2 * size(F.col("kept")) >= size(F.col("left")), F.col("kept")).otherwise(F.col("left"))
+    chosen = F.when(F.size("left") > 0, F.transform(kept, lambda b: b["texts"])).otherwise(F.col("texts"))
+    return out.select("page_id", "url", F.array_join(chosen, "\n\n").alias("text")).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _read(source: str | None) -> dict:
@@ -273,7 +309,8 @@ def _read(source: str | None) -> dict:
     blocks = [b for b in page.blocks if b[1]] or page.blocks
     branches = dict.fromkeys(branch for b in blocks for branch in b[3])
     texts = [b[0] for b in blocks]
-    return {"mark": _hash("\n".join(texts)), "texts": texts, "free": [b[1] and b[2] for b in blocks], "branches": [b[3] for b in blocks],
+    form = _hash(" ".join(str(x) for b in blocks for x in b[3]))
+    return {"mark": _hash("\n".join(texts)), "form": form, "texts": texts, "free": [b[1] and b[2] for b in blocks], "part": [b[4] for b in blocks], "branches": [b[3] for b in blocks],
             "shapes": [{"branch": b, "shape": _hash(" ".join(page.shapes.get(b, ())))} for b in branches]}
 
 

@@ -173,6 +173,81 @@ def test_style_tree_removes_what_all_pages_share(spark):
         assert got[200 + k] == f"Repeated first line\n\nText {k}"
 
 
+def test_style_tree_judges_single_texts_and_small_hosts(spark):
+    rows = []
+    for k in range(20):  # a line in a plain paragraph of the article, on all pages
+        rows.append((k, "http://a.org/", f"<article><h2>Report</h2><p>The report of day {k} with its news</p><p>Sign up for our letter</p><ul><li>Yes</li></ul></article>"))
+    for k in range(5):  # a box that no name gives away, on all five pages
+        rows.append((100 + k, "http://b.org/", f"<div><div class=x1>Made with care in town</div><div class=x2>Page {k}, different from {k + 1}</div></div>"))
+    for k in range(3):  # three pages prove nothing
+        rows.append((200 + k, "http://c.org/", f"<div><div class=x1>Same</div><div class=x2>Page {k}</div></div>"))
+    for k in range(9):  # one article in many editions
+        rows.append((300 + k, "http://d.org/", f"<article><p>All of this article stands on every page</p><p>Edition {k}</p></article>"))
+    got = {r["page_id"]: r["text"] for r in sitetree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    assert all(got[k] == f"Report\n\nThe report of day {k} with its news\n\nYes" for k in range(20))
+    assert all(got[100 + k] == f"Page {k}, different from {k + 1}" for k in range(5))
+    assert all(got[200 + k] == f"Same\n\nPage {k}" for k in range(3))
+    assert all(got[300 + k] == f"All of this article stands on every page\n\nEdition {k}" for k in range(9))
+
+
+def tree_by_definition(pages, least=sitetree.MIN_IMPORTANCE):
+    """The style tree of one host's pages in plain Python."""
+    once, kept = {tuple(p["texts"]): p for p in sorted(pages, key=lambda p: -p["form"])}.values(), []
+    have, shapes, texts = Counter(), {}, {}
+    for p in once:
+        for s in p["shapes"]:
+            have[s["branch"]] += 1
+            shapes.setdefault(s["branch"], Counter())[s["shape"]] += 1
+        for branch, text in {(x, t) for t, b in zip(p["texts"], p["branches"], strict=True) for x in b}:
+            texts.setdefault(branch, Counter())[text] += 1
+
+    def low(branch):
+        m = have[branch]
+        if m < 2:
+            return False
+        counts = texts[branch].values()
+        content = 1 - sum(n * math.log(n) for n in counts) / sum(counts) / math.log(m)
+        shape = -sum(n / m * math.log(n / m) for n in shapes[branch].values()) / math.log(m)
+        keep = sitetree.DECAY ** (min(len(shapes[branch]), 10) - 1)
+        return 1 - (1 - keep * content - (1 - keep) * min(shape, 1)) * math.log(m) / math.log(m + 1) < least
+
+    def single(branch, text):
+        return have[branch] > 1 and texts[branch][text] > 0 and 1 - math.log(texts[branch][text]) / math.log(have[branch] + 1) < least
+
+    for p in pages:
+        blocks = list(zip(p["texts"], p["free"], p["part"], p["branches"], strict=True))
+        left = [b for b in blocks if b[1] or not any(low(x) for x in b[3])]
+        rest = [b for b in left if b[2] or not single(b[3][-1], b[0])]
+        if 2 * sum(len(b[0]) for b in rest) < sum(len(b[0]) for b in left):
+            rest = left
+        kept.append("\n\n".join(b[0] for b in (rest or blocks)))
+    return kept
+
+
+@pytest.mark.parametrize("limit", [20_000, 0])
+def test_style_tree_equals_the_definition(spark, monkeypatch, limit):
+    monkeypatch.setattr(sitetree, "BROADCAST_BRANCHES", limit)
+    rng, rows = random.Random(11), []
+    for host, many in enumerate((1, 2, 3, 4, 5, 6, 7, 12, 40)):
+        shared = [f"shared {host} {k}" for k in range(4)]
+        for _ in range(many):
+            html = f"<p>{shared[0]}</p>" * (rng.random() < 0.95) + f"<div class=d>{shared[1]}</div>" * (rng.random() < 0.95)
+            for _ in range(rng.randint(1, 7)):
+                text = rng.choice(shared) if rng.random() < 0.2 else f"own text {rng.random()}"
+                html += f"<{(tag := rng.choice(['p', 'div class=a', 'div class=b', 'h2', 'section id=c']))}>{text}</{tag.split()[0]}>"
+            rows.append((len(rows), f"http://h{host}.org/", f"<article>{html}</article>" if rng.random() < 0.6 else f"<body>{html}</body>"))
+    rows += [(len(rows) + k, url, html) for k, (_, url, html) in enumerate(rng.choices(rows, k=10))]
+    got = {r["page_id"]: r["text"] for r in sitetree.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    hosts, changed = {}, 0
+    for i, url, html in rows:
+        hosts.setdefault(url, []).append((i, sitetree._read(html)))
+    for pages in hosts.values():
+        for (i, page), want in zip(pages, tree_by_definition([p for _, p in pages]), strict=True):
+            assert got[i] == want
+            changed += want != "\n\n".join(page["texts"])
+    assert changed > 20
+
+
 def test_names_drop_no_article():
     body = "<p>Long text of the article</p><p>and its end</p>"
     for name in ("content no-sidebar", "has-comments", "with-sidebar", "social-layout"):
