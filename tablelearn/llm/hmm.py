@@ -6,6 +6,7 @@ import zlib
 from array import array
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -148,7 +149,7 @@ def encode(docs: DataFrame, names: np.ndarray) -> DataFrame:
                 some = part.iloc[start:start + 256]
                 lists = [words_of(t) for t in some["text"]]
                 sizes = np.array([len(w) for w in lists])
-                places = np.fromiter((spell[w] for ws in lists for w in ws), np.int64, int(sizes.sum()))
+                places = np.fromiter(map(spell.__getitem__, chain.from_iterable(lists)), np.int64, int(sizes.sum()))
                 symbols, known = np.array(spell.symbol, np.int32), np.array(spell.name, np.int64)
                 spell.forget()
                 cuts = np.cumsum(sizes)[:-1]
@@ -251,19 +252,33 @@ def directions(vocabulary: Vocabulary, states: int) -> np.ndarray:
     return signs - vocabulary.shared() @ signs
 
 
-def window_sums(tokens: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """For each window of one text's tokens the sum of its symbols' rows of ``weights``."""
-    return np.add.reduceat(weights.take(tokens, axis=0), np.arange(0, len(tokens), WINDOW_TOKENS), axis=0)
+def window_groups(texts, most: int = 131_072):
+    """The windows of all texts, about ``most`` tokens at a time: their tokens in a row, and their sizes."""
+    held, size = [], 0
+    for tokens in texts:
+        for start in range(0, len(tokens), WINDOW_TOKENS):
+            held.append(tokens[start:start + WINDOW_TOKENS])
+            size += len(held[-1])
+            if size >= most:
+                yield np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
+                held, size = [], 0
+    if held:
+        yield np.concatenate(held), np.fromiter(map(len, held), np.int64, len(held))
 
 
-def sides(tokens: np.ndarray, planes: np.ndarray, states: int) -> np.ndarray:
+def window_sums(tokens: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """For each window the sum of its symbols' rows of ``weights``."""
+    return np.add.reduceat(weights.take(tokens, axis=0), np.cumsum(sizes) - sizes, axis=0)
+
+
+def sides(tokens: np.ndarray, sizes: np.ndarray, planes: np.ndarray, states: int) -> np.ndarray:
     """The state of each window: on which side of each plane through the mean it lies."""
-    return ((window_sums(tokens, planes) > 0) @ (1 << np.arange(planes.shape[1]))) % states
+    return ((window_sums(tokens, sizes, planes) > 0) @ (1 << np.arange(planes.shape[1]))) % states
 
 
-def likeliest(tokens: np.ndarray, logs: np.ndarray) -> np.ndarray:
+def likeliest(tokens: np.ndarray, sizes: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """The state of each window: under whose emissions its words are likeliest, the first of equals."""
-    return window_sums(tokens, logs).argmax(axis=1)
+    return window_sums(tokens, sizes, logs).argmax(axis=1)
 
 
 def first_guess(training: DataFrame, vocabulary: Vocabulary, states: int, rounds: int = GUESS_ROUNDS) -> Model:
@@ -279,11 +294,9 @@ def first_guess(training: DataFrame, vocabulary: Vocabulary, states: int, rounds
             own, *rest = choose
             total = np.zeros(size * states, np.int64)
             for part in parts:
-                for tokens in map(np.asarray, part["tokens"]):
-                    for start in range(0, len(tokens), 256 * WINDOW_TOKENS):
-                        some = tokens[start:start + 256 * WINDOW_TOKENS]
-                        state = np.repeat(own(some, *rest), WINDOW_TOKENS)[:len(some)]
-                        np.add.at(total, some * np.int64(states) + state, 1)
+                for tokens, sizes in window_groups(part["tokens"]):
+                    state = np.repeat(own(tokens, sizes, *rest), sizes)
+                    total += np.bincount(tokens * np.int64(states) + state, minlength=len(total))
             grid = total.reshape(size, states)
             used = np.flatnonzero(grid.any(axis=1))
             yield pd.DataFrame(grid[used], columns=columns).assign(at=used)[["at", *columns]]
