@@ -206,20 +206,29 @@ def importance(features: DataFrame) -> DataFrame:
     entropy of its texts. The importance of the presentation is the entropy of the sequences of children, to the base m.
     The more kinds of children, the more the presentation weighs.
     """
+    return judged(branch_sums(features, "host", "branch"))
+
+
+def branch_sums(features: DataFrame, *keys) -> DataFrame:
+    """What the importance of a branch is made of; all but ``m``, of which the greatest counts, add up."""
     total = F.max(F.when(F.col("kind") == 2, F.col("pages")))
     n, log_n = F.col("pages"), F.log(F.col("pages").cast("double"))
 
     def of(kind, value):
         return F.coalesce(F.sum(F.when(F.col("kind") == kind, value)), F.lit(0.0))
 
-    sums = features.groupBy("host", "branch").agg(
+    return features.groupBy(*keys).agg(
         total.alias("m"), of(0, n * log_n).alias("text_log"), of(0, n.cast("double")).alias("texts"), of(1, n * log_n).alias("shape_log"),
-        of(1, n.cast("double")).alias("shapes"), F.sum((F.col("kind") == 1).cast("long")).alias("kinds")).where("m > 1")
+        of(1, n.cast("double")).alias("shapes"), F.sum((F.col("kind") == 1).cast("long")).alias("kinds"))
+
+
+def judged(sums: DataFrame) -> DataFrame:
+    """(host, branch, importance, pages) of the branches that two or more pages have."""
     log_m = F.log(F.col("m").cast("double"))
     content = 1 - F.when(F.col("texts") > 0, F.col("text_log") / F.col("texts") / log_m).otherwise(0.0)
     shape = F.when(F.col("shapes") > 0, (F.log("shapes") - F.col("shape_log") / F.col("shapes")) / log_m).otherwise(0.0)
     keep = F.pow(F.lit(DECAY), F.least(F.col("kinds"), F.lit(10)) - 1)
-    return sums.select("host", "branch", (keep * content + (1 - keep) * F.least(shape, F.lit(1.0))).alias("importance"), F.col("m").alias("pages"))
+    return sums.where("m > 1").select("host", "branch", (keep * content + (1 - keep) * F.least(shape, F.lit(1.0))).alias("importance"), F.col("m").alias("pages"))
 
 
 def smoothed(found, m):
@@ -232,14 +241,16 @@ def unimportant(features: DataFrame, least: float) -> DataFrame:
     """(host, key) of what goes: the branches of low importance, and in all branches the single texts (content nodes) of
     low importance, whose key is the hash of branch and text. A text on n of a branch's m pages has the importance
     1 - log n / log (m + 1)."""
-    judged = importance(features)
-    branches = judged.where(smoothed(F.col("importance"), F.col("pages")) < least).select("host", F.col("branch").alias("key"))
-    # a text on n pages is low on no number of pages if it is not on n; most texts end here
+    # a text on n pages that is not low on n pages is low on no number; it only adds to its branch
     n = F.when(F.col("kind") == 0, F.col("pages"))
-    often = features.where(smoothed(F.lit(0.0), n) < least).select("host", "branch", "feature", F.col("pages").alias("n"))
-    nodes = often.join(judged.select("host", "branch", F.col("pages").alias("m")), ["host", "branch"])
-    nodes = nodes.where(1 - F.log(F.col("n").cast("double")) / F.log(F.col("m").cast("double") + 1) < least)
-    return branches.unionByName(nodes.select("host", F.xxhash64("branch", "feature").alias("key")))
+    often = F.when(smoothed(F.lit(0.0), n) < least, F.col("feature")).alias("often")
+    parts = checkpointed(branch_sums(features, "host", "branch", often))
+    sums = parts.groupBy("host", "branch").agg(F.max("m").alias("m"), *[F.sum(c).alias(c) for c in ("text_log", "texts", "shape_log", "shapes", "kinds")])
+    found = judged(sums)
+    branches = found.where(smoothed(F.col("importance"), F.col("pages")) < least).select("host", F.col("branch").alias("key"))
+    nodes = parts.where("often IS NOT NULL").select("host", "branch", "often", F.col("texts").alias("n")).join(found, ["host", "branch"])
+    nodes = nodes.where(1 - F.log("n") / F.log(F.col("pages").cast("double") + 1) < least)
+    return branches.unionByName(nodes.select("host", F.xxhash64("branch", "often").alias("key")))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_importance: float = MIN_IMPORTANCE) -> DataFrame:
