@@ -322,8 +322,8 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, states: int = STATES, roun
         def expect(parts, model=model):
             total = None
             for part in parts:
-                for begin in range(0, len(part), 512):
-                    some = [np.asarray(t) for t in part["tokens"].iloc[begin:begin + 512]]
+                for begin in range(0, len(part), 2048):  # many texts, so that windows of like length meet
+                    some = [np.asarray(t) for t in part["tokens"].iloc[begin:begin + 2048]]
                     windows = [t[k:k + WINDOW_TOKENS] for t in some for k in range(0, len(t), WINDOW_TOKENS)]
                     opens = [k == 0 for t in some for k in range(0, len(t), WINDOW_TOKENS)]
                     found = expected_counts(model, windows, opens)
