@@ -13,6 +13,15 @@ from .linear import accuracy, softmax
 VARIANCE_SHARE = 1e-9
 
 
+def without(x, own, n, mean, spread):
+    """Mean and summed squares around it of ``n`` values, less the value ``x`` where ``own`` is 1."""
+    if n < 2:
+        return F.when(own == 0, F.lit(mean)), F.when(own == 0, F.lit(float(spread)))
+    gap = x - F.lit(mean)
+    less = F.greatest(F.lit(float(spread)) - gap * gap * F.lit(n / (n - 1)), F.lit(0.0))
+    return F.lit(mean) - own * gap / F.lit(n - 1), F.when(own == 0, F.lit(float(spread))).otherwise(less)
+
+
 class _NaiveBayes(Operator):
     def __init__(self, cols, target, alpha=1.0, with_score=True):
         super().__init__()
@@ -38,9 +47,56 @@ class _NaiveBayes(Operator):
         return model
 
 
+    def leave_one_out(self, df):
+        """``df`` with ``prediction``: what the model fitted on all other rows says of each row.
+
+        One grouped aggregate; then every row takes itself out of its own class's counts and statistics, as column
+        arithmetic. A class without another row cannot be predicted; without any other row the prediction is null."""
+        rows, stats = self._grouped(df, **self.STATISTICS)
+        classes, n = [r.c for r in rows], sum(r.n for r in rows)
+        xs, y = [as_double(df, c) for c in self.cols], F.col(f"`{self.target}`")
+        own = [F.when(y == F.lit(c), 1).otherwise(0) for c in classes]
+        data = with_columns(df, {f"_own_{i}": o for i, o in enumerate(own)})
+        own = [F.col(f"_own_{i}") for i in range(len(classes))]
+        data = with_columns(data, self._shared_without(xs, [r.n for r in rows], stats))
+        scores = []
+        for i, r in enumerate(rows):
+            left = (F.lit(r.n) - own[i]).cast("double")
+            score = F.log(left / F.lit(float(n - 1))) + self._score_without(xs, own[i], left, r.n, {k: v[i] for k, v in stats.items()}) if n > 1 else F.lit(None).cast("double")
+            scores.append(F.when(left > 0, score))
+        data = with_columns(data, {f"_joint_{i}": v for i, v in enumerate(scores)})
+        joint = F.array(*[F.col(f"_joint_{i}") for i in range(len(classes))])
+        best = F.array_position(joint, F.array_max(joint)) - 1
+        out = data.withColumn("prediction", class_value(best, classes))
+        return out.drop("_widest", *[f"_{k}_{i}" for k in ("own", "joint") for i in range(len(classes))])
+
+    def _shared_without(self, xs, counts, stats):
+        """Columns that all classes' scores use."""
+        return {}
+
+
 class GaussianNB(_NaiveBayes):
+    STATISTICS = dict(mean=F.avg, var=F.var_pop)
+
+    def _shared_without(self, xs, counts, stats):
+        """The widest variance of a column without the row, times the share that is added to all variances."""
+        n, wide = sum(counts), []
+        for j, x in enumerate(xs):
+            middle = sum(c * m[j] for c, m in zip(counts, stats["mean"])) / n
+            spread = sum(c * (v[j] + (m[j] - middle) ** 2) for c, m, v in zip(counts, stats["mean"], stats["var"]))
+            wide.append(without(x, F.lit(1), float(n), middle, spread)[1] / F.lit(max(n - 1.0, 1.0)))
+        return {"_widest": F.lit(VARIANCE_SHARE) * (F.greatest(*wide) if len(wide) > 1 else wide[0])}
+
+    def _score_without(self, xs, own, left, n, stats):
+        parts = []
+        for x, m, v in zip(xs, stats["mean"], stats["var"]):
+            mean, spread = without(x, own, float(n), m, n * v)
+            var = spread / left + F.col("_widest")
+            parts.append(F.lit(-0.5) * F.log(F.lit(2 * math.pi) * var) - (x - mean) * (x - mean) / (F.lit(2.0) * var))
+        return total(parts)
+
     def _fit(self, df):
-        rows, s = self._grouped(df, mean=F.avg, var=F.var_pop)
+        rows, s = self._grouped(df, **self.STATISTICS)
         n = sum(r.n for r in rows)
         widest = 0.0
         for j in range(len(self.cols)):
@@ -51,9 +107,14 @@ class GaussianNB(_NaiveBayes):
 
 
 class MultinomialNB(_NaiveBayes):
+    STATISTICS = dict(sums=lambda c: F.sum(F.when(c < 0, F.raise_error(F.lit("negative value")).cast("double")).otherwise(c)))
+
+    def _score_without(self, xs, own, left, n, stats):
+        sums = [F.lit(s + self.alpha) - own * x for x, s in zip(xs, stats["sums"])]
+        return total([x * F.log(s) for x, s in zip(xs, sums)]) - total(xs) * F.log(total(sums))
+
     def _fit(self, df):
-        checked = lambda c: F.sum(F.when(c < 0, F.raise_error(F.lit("negative value")).cast("double")).otherwise(c))
-        rows, s = self._grouped(df, sums=checked)
+        rows, s = self._grouped(df, **self.STATISTICS)
         logs = []
         for line in s["sums"]:
             bottom = sum(line) + self.alpha * len(line)
@@ -64,8 +125,17 @@ class MultinomialNB(_NaiveBayes):
 class BernoulliNB(_NaiveBayes):
     """Features count as 1 where above 0."""
 
+    STATISTICS = dict(ones=lambda c: F.sum(F.when(c > 0, 1.0).otherwise(0.0)))
+
+    def _score_without(self, xs, own, left, n, stats):
+        parts = []
+        for x, s in zip(xs, stats["ones"]):
+            on = F.when(x > 0, F.lit(s + self.alpha) - own).otherwise(left + F.lit(self.alpha - s))
+            parts.append(F.log(on / (left + F.lit(2 * self.alpha))))
+        return total(parts)
+
     def _fit(self, df):
-        rows, s = self._grouped(df, ones=lambda c: F.sum(F.when(c > 0, 1.0).otherwise(0.0)))
+        rows, s = self._grouped(df, **self.STATISTICS)
         on = [[(v + self.alpha) / (r.n + 2 * self.alpha) for v in line] for r, line in zip(rows, s["ones"])]
         return self._model(
             df, rows, kind="bernoulli", log_prob=[[math.log(p) for p in line] for line in on],

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..core import Operator
-from .bayes import GaussianNB
+from .bayes import BernoulliNB, GaussianNB, MultinomialNB
 from .knn import KNNClassifier, KNNRegressor
 from .linear import ElasticNet, Lasso, LinearRegression, LogisticRegression, Ridge
 from .svm import SVC, SVR
@@ -21,6 +21,7 @@ CLASSIFIERS = {
     "LogisticRegression": LogisticRegression, "DecisionTreeClassifier": DecisionTreeClassifier,
     "RandomForestClassifier": RandomForestClassifier, "GradientBoostingClassifier": GradientBoostingClassifier,
     "SVC": SVC, "KNeighborsClassifier": KNNClassifier, "GaussianNB": GaussianNB,
+    "MultinomialNB": MultinomialNB, "BernoulliNB": BernoulliNB,
 }
 NEEDS_ID = ("KNeighborsRegressor", "KNeighborsClassifier")
 ALIASES = {"n_neighbors": "k"}

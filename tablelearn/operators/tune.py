@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import as_double, as_matrix_columns, names, require
 from ..plans.moments import Moments, moments_by
+from .bayes import _NaiveBayes
 from .ensemble import PARALLEL_FITS, fit_all
 from .knn import KNNModel
-from .linear import LinearRegression, _LeastSquares, r_squared
+from .linear import LinearRegression, Ridge, _LeastSquares, r_squared
 from .metrics import score
 from .registry import is_regressor, make
 from .split import with_draws, with_folds
@@ -130,16 +131,18 @@ def cv_summary(rows: list[dict]) -> dict:
 
 
 def leave_one_out(df: DataFrame, id_col: str, model: str, cols, target: str, scoring=None, params=None) -> DataFrame:
-    """(id, test_score) per row, from closed forms: the hat-matrix diagonal for least squares, the neighbours
-    without the row itself for KNN. Other models would need one refit per row and are refused."""
+    """(id, test_score) per row, from closed forms: the hat-matrix diagonal for least squares and ridge, each row taken out
+    of its class's statistics for naive Bayes, the neighbours without the row itself for KNN. Other models would need
+    one refit per row and are refused."""
     cols, scoring = names(cols), scoring or ("neg_mean_squared_error" if is_regressor(model) else "accuracy")
     require(df, [id_col, *cols, target])
     op = make(model, cols, target, id_col, **(params or {}))
     key = F.col(f"`{id_col}`")
-    if isinstance(op, LinearRegression) and scoring in ("neg_mean_squared_error", "neg_mean_absolute_error"):
+    if isinstance(op, (LinearRegression, Ridge)) and scoring in ("neg_mean_squared_error", "neg_mean_absolute_error"):
         m = op.moments(df)
         fitted = op.fit_moments(m)
-        inverse = np.linalg.pinv(m.cross[:-1, :-1] if op.fit_intercept else m.raw_cross()[:-1, :-1])
+        gram = m.cross[:-1, :-1] if op.fit_intercept else m.raw_cross()[:-1, :-1]
+        inverse = np.linalg.pinv(gram + op.penalties(m.n)["l2"] * np.eye(len(gram)))
         centre = m.mean[:-1] if op.fit_intercept else np.zeros(len(cols))
         xs = [as_double(df, c) - F.lit(float(v)) for c, v in zip(cols, centre)]
         lever = F.lit(1.0 / m.n if op.fit_intercept else 0.0)
@@ -150,10 +153,12 @@ def leave_one_out(df: DataFrame, id_col: str, model: str, cols, target: str, sco
         miss = (as_double(df, target) - F.col("prediction")) / (1 - lever)
         value = -miss * miss if scoring == "neg_mean_squared_error" else -F.abs(miss)
         return scored.select(key.alias("id"), value.alias("test_score"))
-    fitted = op.fit(df)
-    if not isinstance(fitted, KNNModel):
+    if isinstance(op, _NaiveBayes):
+        out = op.leave_one_out(df)
+    elif isinstance(fitted := op.fit(df), KNNModel):
+        out = fitted.transform_by(df, id_col, exclude_self=True)
+    else:
         raise ValueError(f"leave-one-out has no closed form for {model} with {scoring}; use kfold")
-    out = fitted.transform_by(df, id_col, exclude_self=True)
     y, z = F.col(f"`{target}`"), F.col("prediction")
     values = {
         "accuracy": F.when(y == z, 1.0).otherwise(0.0), "neg_mean_squared_error": -(y.try_cast("double") - z) * (y.try_cast("double") - z),

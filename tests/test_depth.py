@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablelearn.core import load_fitted, save_fitted
-from tablelearn.operators import cluster, ensemble
+from tablelearn.operators import cluster, ensemble, registry
 from tablelearn.operators.cluster import MeanShift, _start_distances, agglomerative, distinct_points, merge_tree
 from tablelearn.operators.ensemble import CalibratedClassifier
 from tablelearn.operators.trees import DecisionTreeClassifier, DecisionTreeRegressor, GrownTreeModel
+from tablelearn.operators.tune import leave_one_out
 from tablelearn.plans import balls, information, linkage, monotone, nystroem
 from tablelearn.plans.growth import grow
 from tablelearn.plans.neighbors import points
@@ -250,3 +251,36 @@ def test_ward_of_few_rows(spark, rows):
     frame = spark.createDataFrame(rows, "id long, a double")
     got = {r.id: r.cluster for r in agglomerative(frame, "id", ["a"], 2, "ward").collect()}
     assert got == {i: int(a > 1) for i, a in rows}
+
+
+@pytest.mark.parametrize("model", ["GaussianNB", "MultinomialNB", "BernoulliNB"])
+def test_leave_one_out_bayes_equals_refits(spark, model):
+    """Each row against the model fitted on the others; one class has a single row, one a single different value."""
+    rng = np.random.default_rng(12)
+    rows = [(i, float(a), float(b), "st"[i % 2]) for i, (a, b) in enumerate(rng.integers(0, 4, (24, 2)))]
+    rows += [(100, 2.0, 3.0, "one"), (101, 1.0, 0.0, "same"), (102, 1.0, 0.0, "same"), (103, 1.0, 0.0, "same")]
+    df = spark.createDataFrame(rows, "id long, a double, b double, label string").repartition(3)
+    op = registry.make(model, ["a", "b"], "label")
+    got = {r["id"]: r for r in op.leave_one_out(df).collect()}
+    scores = {r["id"]: r["test_score"] for r in leave_one_out(df, "id", model, ["a", "b"], "label").collect()}
+    for i, *_, label in rows:
+        want = registry.make(model, ["a", "b"], "label").fit(df.where(F.col("id") != i)).transform(df.where(F.col("id") == i)).first()
+        close = sorted(want["probabilities"])[-2:]
+        assert got[i]["prediction"] == want["prediction"] or close[1] - close[0] < 1e-9
+        assert scores[i] == float(got[i]["prediction"] == label)
+    assert scores[100] == 0.0 and set(got[100].asDict()) == {"id", "a", "b", "label", "prediction"}
+    alone = leave_one_out(df.where("id = 100"), "id", model, ["a", "b"], "label").collect()
+    assert [(r["id"], r["test_score"]) for r in alone] == [(100, 0.0)]
+
+
+def test_leave_one_out_ridge_equals_refits(spark):
+    rng = np.random.default_rng(13)
+    x, y = rng.normal(size=(30, 2)), rng.normal(size=30)
+    df = spark.createDataFrame([(i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))], "id long, a double, b double, y double")
+    for intercept in (True, False):
+        got = {r["id"]: r["test_score"] for r in leave_one_out(df, "id", "Ridge", ["a", "b"], "y", params={"alpha": 3.0, "fit_intercept": intercept}).collect()}
+        for i in range(30):
+            rest = np.arange(30) != i
+            mx, my = (x[rest].mean(axis=0), y[rest].mean()) if intercept else (np.zeros(2), 0.0)
+            w = np.linalg.solve((x[rest] - mx).T @ (x[rest] - mx) + 3 * np.eye(2), (x[rest] - mx).T @ (y[rest] - my))
+            assert np.isclose(got[i], -((y[i] - my - (x[i] - mx) @ w) ** 2))

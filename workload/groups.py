@@ -13,7 +13,7 @@ from tablelearn.operators.tune import cross_validate, cv_summary, fold_table, gr
 from tablelearn.plans.neighbors import points
 
 from .base import F, query, r, table
-from .models import SMALL, _customers, _one, _orders, _small
+from .models import SMALL, _binary_orders, _customers, _one, _orders, _small
 
 
 def _parts(spark, sf):
@@ -288,6 +288,48 @@ def _(spark, sf):
     return leave_one_out(_customers(spark, sf), "id", "KNeighborsClassifier", ["a", "b"], "s", params={"k": 3})
 
 
+@query("cv_loo_ridge", """
+WITH s AS (SELECT count(*) AS n, avg(c_nationkey) AS m, avg(c_acctbal) AS my, var_pop(c_nationkey) * count(*) + 500 AS v,
+                  covar_pop(c_acctbal, c_nationkey) * count(*) AS u FROM customer)
+SELECT c_custkey AS id, round(-1 * abs(c_acctbal - my - u / v * (c_nationkey - m)) / (1 - 1 / n - (c_nationkey - m) ** 2 / v), 4) + 0.0 AS test_score FROM customer, s""")
+def _(spark, sf):
+    out = leave_one_out(table(spark, sf, "customer"), "c_custkey", "Ridge", "c_nationkey", "c_acctbal", "neg_mean_absolute_error", {"alpha": 500.0})
+    return out.select("id", r("test_score", 4).alias("test_score"))
+
+
+def _loo_sql(p, k, stats, score):
+    """Sums of each class less the row itself, joined to every row; the likeliest class."""
+    return f"""
+WITH x AS (SELECT o_orderkey AS id, o_orderstatus AS c, {p} AS p, {k} AS k FROM orders),
+g AS (SELECT c, count(*) AS n, sum(p) AS p1, sum(k) AS k1, sum(p * p) AS p2, sum(k * k) AS k2 FROM x GROUP BY c),
+a AS (SELECT sum(n) - 1 AS nn, sum(p1) AS p1, sum(k1) AS k1, sum(p2) AS p2, sum(k2) AS k2 FROM g),
+o AS (SELECT id, x.c AS truth, g.c, x.p, x.k, (x.c = g.c)::INT AS own, nn, a.p1 - x.p AS tp1, a.p2 - x.p * x.p AS tp2, a.k1 - x.k AS tk1, a.k2 - x.k * x.k AS tk2,
+             g.n - own AS n, g.p1 - own * x.p AS p1, g.k1 - own * x.k AS k1, g.p2 - own * x.p * x.p AS p2, g.k2 - own * x.k * x.k AS k2 FROM x, g, a),
+m AS (SELECT *, {stats} FROM o WHERE n > 0)
+SELECT id, (arg_max(c, ln(n / nn) + {score}) = any_value(truth))::INT::DOUBLE AS test_score FROM m GROUP BY id"""
+
+
+def _normal(v):
+    return f"- 0.5 * ln(2 * pi() * (v{v} + e)) - ({v} - {v}1 / n) ** 2 / (2 * (v{v} + e))"
+
+
+LOO_BAYES = {
+    "gaussian_nb": ("GaussianNB", _orders, _loo_sql(
+        "o_totalprice / 100000", "o_custkey / 1000",
+        "p2 / n - (p1 / n) ** 2 AS vp, k2 / n - (k1 / n) ** 2 AS vk, 1e-9 * greatest(tp2 / nn - (tp1 / nn) ** 2, tk2 / nn - (tk1 / nn) ** 2) AS e",
+        f"0 {_normal('p')} {_normal('k')}")),
+    "multinomial_nb": ("MultinomialNB", _orders, _loo_sql(
+        "o_totalprice / 100000", "o_custkey / 1000", "p1 + k1 + 2 AS pk", "p * ln((p1 + 1) / pk) + k * ln((k1 + 1) / pk)")),
+    "bernoulli_nb": ("BernoulliNB", _binary_orders, _loo_sql(
+        "(o_totalprice > 250000)::INT", "(o_custkey > 700)::INT", "(p1 + 1) / (n + 2) AS qp, (k1 + 1) / (n + 2) AS qk",
+        "ln(CASE p WHEN 1 THEN qp ELSE 1 - qp END) + ln(CASE k WHEN 1 THEN qk ELSE 1 - qk END)")),
+}
+for _name, (_model, _rows, _sql) in LOO_BAYES.items():
+    @query(f"cv_loo_{_name}", _sql)
+    def _(spark, sf, model=_model, rows=_rows):
+        return leave_one_out(rows(spark, sf), "o_orderkey", model, ["p", "c"], "o_orderstatus")
+
+
 @query("cv_classifier")
 def _(spark, sf):
     rows = cross_validate(_small(spark, sf), "id", "DecisionTreeClassifier", ["a", *SMALL], "rich", "stratified", 3, "f1_weighted", params={"max_depth": 2})
