@@ -204,6 +204,23 @@ def _(spark, sf):
     return VotingClassifier(["a", *SMALL], "rich", params=LIGHT).fit(_small(spark, sf)).summary(spark)
 
 
+# Two members fitted on all orders, a normal and a multinomial one; the mean of their probabilities decides.
+@query("voting_bayes", """
+WITH x AS (SELECT o_orderkey, o_orderstatus AS c, o_totalprice / 100000 AS p, o_custkey / 1000 AS k FROM orders),
+g AS (SELECT c, count(*) AS n, avg(p) AS mp, avg(k) AS mk, var_pop(p) AS vp, var_pop(k) AS vk, ln((sum(p) + 1) / (sum(p) + sum(k) + 2)) AS wp,
+             ln((sum(k) + 1) / (sum(p) + sum(k) + 2)) AS wk FROM x GROUP BY c),
+e AS (SELECT 1e-9 * greatest(var_pop(p), var_pop(k)) AS e, count(*) AS nn FROM x),
+j AS (SELECT o_orderkey, g.c, ln(n / nn) - 0.5 * ln(vp + e) - (p - mp) ** 2 / (2 * (vp + e)) - 0.5 * ln(vk + e) - (k - mk) ** 2 / (2 * (vk + e)) AS s0,
+             ln(n / nn) + p * wp + k * wk AS s1 FROM x, g, e),
+m AS (SELECT o_orderkey, c, exp(s0 - max(s0) OVER w) AS e0, exp(s1 - max(s1) OVER w) AS e1 FROM j WINDOW w AS (PARTITION BY o_orderkey)),
+q AS (SELECT o_orderkey, c, (e0 / sum(e0) OVER w + e1 / sum(e1) OVER w) / 2 AS p FROM m WINDOW w AS (PARTITION BY o_orderkey))
+SELECT o_orderkey, arg_max(c, p) AS prediction, round(max(p), 6) AS probability FROM q GROUP BY o_orderkey""")
+def _(spark, sf):
+    rows = _orders(spark, sf)
+    out = VotingClassifier(["p", "c"], "o_orderstatus", ["GaussianNB", "MultinomialNB"]).fit(rows).transform(rows)
+    return out.select("o_orderkey", "prediction", r(F.array_max("probabilities")).alias("probability"))
+
+
 @query("stacking_train")
 def _(spark, sf):
     op = StackingClassifier([*SMALL, "a"], "rich", "id", ("RandomForestClassifier", "GaussianNB"), cv=3, params=LIGHT)
@@ -354,10 +371,20 @@ def _(spark, sf):
                       r("std_test_score", 0).alias("std_test_score"), "rank_test_score")
 
 
-@query("grid_search_knn")
+@query("grid_search_knn", """
+WITH t AS (SELECT c_custkey AS id, c_acctbal / 1000 AS a, c_nationkey::DOUBLE AS b, c_mktsegment AS s,
+                  ntile(2) OVER (PARTITION BY c_mktsegment ORDER BY md5(c_custkey || '-42')) - 1 AS f FROM customer),
+n AS (SELECT fold, q.id, q.f, q.s AS truth, t.s, row_number() OVER (PARTITION BY fold, q.id ORDER BY (q.a - t.a) ** 2 + (q.b - t.b) ** 2, t.id) AS place
+      FROM (SELECT unnest(range(2)) AS fold) k JOIN t ON t.f <> fold JOIN t q ON true QUALIFY place <= 7),
+v AS (SELECT fold, k, id, f, truth, s, count(*) AS votes FROM n, (SELECT unnest([3, 7]) AS k) WHERE place <= k GROUP BY ALL),
+p AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY fold, k, id ORDER BY votes DESC, s) = 1),
+z AS (SELECT k, fold, avg((truth = s)::INT) FILTER (f = fold) AS test, avg((truth = s)::INT) FILTER (f <> fold) AS train FROM p GROUP BY k, fold),
+m AS (SELECT k, avg(test) AS test, stddev_pop(test) AS std, avg(train) AS train FROM z GROUP BY k)
+SELECT '{"n_neighbors": ' || k || '}' AS params, round(test, 6) AS mean_test_score, round(std, 6) AS std_test_score, round(train, 6) AS mean_train_score,
+       rank() OVER (ORDER BY test DESC)::INT AS rank_test_score FROM m""")
 def _(spark, sf):
     found = grid_search(_customers(spark, sf), "id", "KNeighborsClassifier", ["a", "b"], "s", '{"n_neighbors": [3, 7]}', cv=2, return_model=False)
-    return found.table(spark)
+    return found.table(spark).select("params", *[r(c).alias(c) for c in ("mean_test_score", "std_test_score", "mean_train_score")], "rank_test_score")
 
 
 CHAIN_SQL = """
