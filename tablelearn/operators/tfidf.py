@@ -22,6 +22,10 @@ def _stop_list(stop_words):
     return list(stop_words)
 
 
+#: Rows times terms that are weighed at once.
+DENSE_CELLS = 2_000_000
+
+
 class TfidfVectorizer(Operator):
     """idf = ln((1 + n) / (1 + df)) + 1, rows scaled to length 1. The vocabulary is the ``max_features`` terms with
     the highest corpus count (ties: smaller term). ``stop_words``: 'english', 'none' or a list."""
@@ -70,20 +74,25 @@ class TfidfModel(Fitted):
         return out.withColumn("tfidf_features", features).withColumn("tfidf_vector", F.col("_weights.vector")).drop("_weights")
 
     def _weigh(self):
-        """Counts of the vocabulary terms of one row times idf, scaled to length 1; sparse and dense form."""
-        position = {t: i for i, t in enumerate(self.terms)}
-        terms, idf = self.terms, np.array(self.idf)
+        """Counts of the vocabulary terms of each row times idf, scaled to length 1; sparse and dense form, many rows at once."""
+        names, idf = pd.Index(self.terms, dtype=object), np.array(self.idf)
+        step = max(1, DENSE_CELLS // len(idf))
+
+        def block(rows: pd.Series) -> pd.DataFrame:
+            sizes = rows.str.len().to_numpy(np.int64)
+            at = names.get_indexer(np.concatenate(rows.to_list())) if sizes.any() else np.zeros(0, np.int64)
+            place = np.repeat(np.arange(len(rows)), sizes) * len(idf) + at
+            dense = np.bincount(place, minlength=len(rows) * len(idf)).reshape(len(rows), len(idf)) * idf
+            size = np.sqrt((dense * dense).sum(axis=1))
+            dense /= np.where(size > 0, size, 1)[:, None]
+            row, column = np.nonzero(dense)
+            cuts = np.searchsorted(row, np.arange(1, len(rows)))
+            return pd.DataFrame({"terms": np.split(names.to_numpy()[column], cuts), "values": np.split(dense[row, column], cuts), "vector": list(dense)})
 
         @F.pandas_udf("struct<terms:array<string>,values:array<double>,vector:array<double>>")
         def weigh(rows: pd.Series) -> pd.DataFrame:
-            out = []
-            for row in rows:
-                at = np.array([position[t] for t in row], dtype=np.int64)
-                dense = np.bincount(at, minlength=len(idf)) * idf
-                size = np.sqrt((dense * dense).sum())
-                dense = dense / size if size else dense
-                hit = np.flatnonzero(dense)
-                out.append(([terms[i] for i in hit], dense[hit], dense))
-            return pd.DataFrame(out, columns=["terms", "values", "vector"])
+            if not len(rows):
+                return pd.DataFrame({"terms": [], "values": [], "vector": []})
+            return pd.concat([block(rows.iloc[k:k + step]) for k in range(0, len(rows), step)], ignore_index=True)
 
         return weigh

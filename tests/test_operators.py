@@ -135,6 +135,23 @@ def test_imputer_ties_and_empty_text(spark):
     assert sorted(r.t for r in out.collect()) == ["a", "a", "a", "b"] and m.statistics_map() == {"t": "a"}
 
 
+def test_tfidf_rows_equal_counts_in_small_blocks(spark, monkeypatch):
+    from tablelearn.operators import tfidf
+
+    monkeypatch.setattr(tfidf, "DENSE_CELLS", 30)
+    rng = np.random.default_rng(14)
+    texts = [" ".join(f"word{k}" for k in rng.integers(0, 12, rng.integers(0, 9))) for _ in range(60)] + ["", None, "unseen only"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
+    m = TfidfVectorizer("text", 10, stop_words="none").fit(df)
+    got = {r["id"]: r for r in m.transform(df).collect()}
+    assert len(got) == len(texts) and m.transform(df.limit(0)).count() == 0
+    for i, t in enumerate(texts):
+        dense = np.array([(t or "").split().count(name) * w for name, w in zip(m.terms, m.idf)])
+        dense = dense / (np.linalg.norm(dense) or 1)
+        assert np.allclose(got[i].tfidf_vector, dense)
+        assert got[i].tfidf_features == pytest.approx({n: v for n, v in zip(m.terms, dense) if v})
+
+
 def test_tfidf_row_values(spark):
     df = spark.createDataFrame([(0, "The cat sat on the cat"), (1, "a dog sat"), (2, None)], "id long, text string")
     out, m = TfidfVectorizer("text", ngram=(1, 2), stop_words="english").fit_transform(df)
