@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from ..core import Fitted, Operator, with_columns
 from ..functions.columns import as_double, as_matrix_columns, feature_array, linear, names, require
+from ..plans.lineage import checkpointed
 from ..plans.moments import moments
+from ..plans.skew import hot_safe_join
+from ..plans.sparse import SENT_NUMBERS, batch_arrays, collected_basis, leading_directions, products, sparse_entries
 from ..plans.sums import lists_to_matrix, sum_vectors
 
 
@@ -92,6 +96,100 @@ class TruncatedSVDModel(Fitted):
         return with_columns(df, {f"svd_component_{i + 1}": linear(xs, v) for i, v in enumerate(self.components)})
 
 
+class SparseTruncatedSVD(Operator):
+    """Truncated SVD of one wide sparse column: a vector, an array, or a map from column number to value. A null row is
+    a row of zeros, a null value inside is an error. At most the rank many components come back; signs as in
+    ``TruncatedSVD``. ``extra`` vectors beyond the wanted ones speed up the passes, of which there are at most ``max_iter``."""
+
+    def __init__(self, col, n_components=2, extra=10, max_iter=30, tol=1e-9, seed=42):
+        super().__init__()
+        self.col, self.n_components, self.extra = col, int(n_components), int(extra)
+        self.max_iter, self.tol, self.seed = int(max_iter), float(tol), seed
+
+    def _fit(self, df):
+        require(df, [self.col])
+        rows = _sparse_rows(df, self.col)
+        n = rows.count()
+        axes, sizes, rounds = leading_directions(rows, self.n_components, self.extra, self.seed, self.max_iter, self.tol)
+        k = len(sizes)
+        entries = rows.select(F.explode(F.arrays_zip("index", "value")).alias("e")).select(F.col("e.index").alias("col"), F.col("e.value").alias("x"))
+        # squares per row and column first, as equal indices of a row add up
+        squares = rows.select(F.aggregate(_merged(F.col("index"), F.col("value")), F.lit(0.0), lambda a, v: a + v * v).alias("s"))
+        means = entries.groupBy("col").agg((F.sum("x") / max(n, 1)).alias("m"))
+        spread = (squares.agg(F.sum("s")).first()[0] or 0.0) / max(n, 1) - (means.agg(F.sum(F.col("m") * F.col("m"))).first()[0] or 0.0)
+        if k:
+            lengths = [F.max_by(F.col("v")[j], F.struct(F.abs(F.col("v")[j]), -F.col("col"))).alias(f"v{j}") for j in range(k)]
+            sign = [-1.0 if v < 0 else 1.0 for v in axes.agg(*lengths).first()]
+            axes = checkpointed(axes.select("col", F.array(*[F.col("v")[j] * F.lit(sign[j]) for j in range(k)]).alias("v")))
+            centre = axes.join(means, "col").agg(*[F.sum(F.col("v")[j] * F.col("m")) for j in range(k)]).first()
+        variance = [float(s * s / n - m * m) for s, m in zip(sizes, centre)] if k else []
+        model = SparseTruncatedSVDModel(
+            col=self.col, n_components=k, singular_values=[float(s) for s in sizes], rounds=rounds, fitted_samples=n, columns=axes.count(),
+            explained_variance=variance, explained_variance_ratio=[v / spread if spread > 0 else 0.0 for v in variance],
+        )
+        model.axes = axes
+        return model
+
+
+def _sparse_rows(df, name):
+    index, value = sparse_entries(df, name)
+    bad = F.exists(value, lambda v: v.isNull())
+    value = F.when(bad, F.raise_error(F.lit(f"missing value in column {name}")).cast("array<double>")).otherwise(value)
+    none = F.col(f"`{name}`").isNull()
+    return df.select(
+        F.when(none, F.array().cast("array<long>")).otherwise(index).alias("index"), F.when(none, F.array().cast("array<double>")).otherwise(value).alias("value")
+    )
+
+
+def _merged(index, value):
+    """The values of a row, equal indices added up."""
+    pairs = F.arrays_zip(index.alias("index"), value.alias("value"))
+    alone = F.size(F.array_distinct(index)) == F.size(index)
+    per = F.transform(F.array_distinct(index), lambda c: F.aggregate(F.filter(pairs, lambda p: p["index"] == c), F.lit(0.0), lambda a, p: a + p["value"]))
+    return F.when(alone, value).otherwise(per)
+
+
+class SparseTruncatedSVDModel(Fitted):
+    """Its vectors are a table (col, v). Small tables go to every task; large ones are joined to the entries of the rows."""
+
+    axes: DataFrame
+
+    def tables(self):
+        return {"axes": self.axes}
+
+    def attach(self, parts, tables):
+        self.axes = tables["axes"]
+
+    def _transform(self, df):
+        """``svd_features``, an array with one number per component."""
+        require(df, [self.col])
+        index, value = sparse_entries(df, self.col)
+        k = self.n_components
+        if self.columns * max(k, 1) > SENT_NUMBERS:
+            return self._joined(df, index, value)
+        columns, block = collected_basis(self.axes) if k else (np.zeros(0, np.int64), np.zeros((0, 0)))
+
+        @F.pandas_udf("array<double>")
+        def score(index: pd.Series, value: pd.Series) -> pd.Series:
+            lists = [pa.array(s, pa.list_(t)) for s, t in ((index, pa.int64()), (value, pa.float64()))]
+            batch = pa.RecordBatch.from_arrays(lists, names=["index", "value"])
+            return pd.Series(list(products(*batch_arrays(batch, columns), block))) if len(index) else pd.Series([], dtype=object)
+
+        return df.withColumn("svd_features", score(index, value))
+
+    def _joined(self, df, index, value):
+        spare = "_row"
+        while spare in df.columns:
+            spare += "_"
+        kept = checkpointed(df.withColumn(spare, F.monotonically_increasing_id()))
+        entries = kept.select(F.col(spare).alias("row"), F.explode(F.arrays_zip(index.alias("index"), value.alias("value"))).alias("e"))
+        met = hot_safe_join(entries.select("row", F.col("e.index").alias("col"), F.col("e.value").alias("x")), self.axes, ["col"])
+        sums = met.groupBy("row").agg(F.array(*[F.sum(F.col("x") * F.col("v")[j]) for j in range(self.n_components)]).alias("svd_features"))
+        zeros = F.array(*[F.lit(0.0)] * self.n_components)
+        out = kept.join(sums.withColumnRenamed("row", spare), spare, "left")
+        return out.select(*[F.col(f"`{c}`") for c in df.columns if c != "svd_features"], F.coalesce("svd_features", zeros).alias("svd_features"))
+
+
 NMF_INITS = ("nndsvd", "nndsvda", "nndsvdar", "random")
 SWEEPS = 50
 

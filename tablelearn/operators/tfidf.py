@@ -96,3 +96,54 @@ class TfidfModel(Fitted):
             return pd.concat([block(rows.iloc[k:k + step]) for k in range(0, len(rows), step)], ignore_index=True)
 
         return weigh
+
+
+class HashedTfidf(Operator):
+    """TF-IDF without a vocabulary: a term counts in the column that the first 32 bits of its MD5 name, modulo ``buckets``.
+    The state is one number per column that occurs, whatever the number of terms; rows are maps from column to weight,
+    scaled to length 1. Null and empty texts give empty maps."""
+
+    def __init__(self, text, buckets=1 << 18, ngram=(1, 1), stop_words=None, lowercase=True):
+        super().__init__()
+        if not 1 <= buckets <= MAX_BUCKETS:
+            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
+        self.text, self.buckets, self.ngram, self.stop_words, self.lowercase = text, int(buckets), tuple(ngram), stop_words, lowercase
+
+    def _fit(self, df):
+        require(df, [self.text])
+        model = HashedTfidfModel(text=self.text, buckets=self.buckets, ngram=list(self.ngram), stop_words=_stop_list(self.stop_words), lowercase=self.lowercase)
+        n = df.count()
+        met = model.places(df.select(self.text)).select(F.explode_outer(F.array_distinct("_places")).alias("b")).where("b is not null")
+        counts = sorted(met.groupBy("b").count().collect())  # at most one row a bucket
+        model.state |= dict(documents=n, columns=[r[0] for r in counts], idf=[math.log((1 + n) / (1 + r[1])) + 1 for r in counts])
+        return model
+
+
+MAX_BUCKETS = 1 << 20
+
+
+class HashedTfidfModel(Fitted):
+    def places(self, df) -> DataFrame:
+        out = add_terms(df, self.text, "_terms", tuple(self.ngram), self.stop_words, self.lowercase)
+        place = lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("long") % self.buckets
+        return out.withColumn("_places", F.transform("_terms", place)).drop("_terms")
+
+    def _transform(self, df):
+        """``tfidf_row``: map from column to weight. Columns that the fitted texts did not have are left out."""
+        require(df, [self.text])
+        columns, idf = np.array(self.columns, dtype=np.int64), np.array(self.idf)
+
+        def row(places):
+            met, counts = np.unique(places, return_counts=True)
+            at = np.searchsorted(columns, met)
+            known = at < len(columns)
+            known[known] = columns[at[known]] == met[known]
+            weight = counts[known] * idf[at[known]]
+            return met[known], weight / max(math.sqrt((weight * weight).sum()), 1e-300)
+
+        @F.pandas_udf("struct<columns:array<long>,weights:array<double>>")
+        def weigh(places: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([row(np.asarray(p if p is not None else [], dtype=np.int64)) for p in places], columns=["columns", "weights"])
+
+        out = self.places(df).withColumn("_weights", weigh("_places")).drop("_places")
+        return out.withColumn("tfidf_row", F.map_from_arrays("_weights.columns", "_weights.weights")).drop("_weights")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from tablelearn.operators.cluster import MeanShift, agglomerative, spectral
+from tablelearn.operators.decompose import SparseTruncatedSVD
 from tablelearn.operators.ensemble import CalibratedClassifier
+from tablelearn.operators.tfidf import HashedTfidf
 from tablelearn.operators.trees import DecisionTreeClassifier, DecisionTreeRegressor
 from tablelearn.plans.monotone import curve_pieces, interpolated, monotone_pools
 
-from .base import F, query, r, table
+from .base import F, query, r, spread, table
+from .features import SVD_SQL
 from .models import _customers
 
 # The monotone fit by its definition: the largest over all starts of the least over all ends of the mean between them.
@@ -161,3 +164,37 @@ def _(spark, sf):
 @query("spectral_rbf")
 def _(spark, sf):
     return spectral(table(spark, sf, "embeddings"), "vec_id", ["embedding"], 3, "rbf", gamma=1.0, n_init=3).select("vec_id", "cluster")
+
+
+@query("tsvd_sparse", SVD_SQL + """
+SELECT p_partkey, round(p_size * x1 + p_retailprice * x2, 4) + 0.0 AS svd_component_1, round(sqrt(l1), 4) AS s1, round(sqrt(l2), 4) AS s2 FROM part, p""")
+def _(spark, sf):
+    """Two columns far apart among many that are empty: the vectors are those of the narrow form."""
+    far = F.create_map(F.lit(7), F.col("p_size").cast("double"), F.lit(2_000_000_000), F.col("p_retailprice").cast("double"))
+    rows = table(spark, sf, "part").select("p_partkey", far.alias("row"))
+    out, m = SparseTruncatedSVD("row", 2).fit_transform(rows)
+    sizes = [r(F.lit(s), 4).alias(f"s{i + 1}") for i, s in enumerate(m.singular_values)]
+    return out.select("p_partkey", r(F.col("svd_features")[0], 4).alias("svd_component_1"), *sizes)
+
+
+TERM_ROUNDS = 60
+
+
+@query("tsvd_terms", f"""
+WITH RECURSIVE t AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM documents),
+c AS (SELECT doc_id, ('0x' || substr(md5(term), 1, 8))::BIGINT % 262144 AS b, count(*) AS n FROM t GROUP BY ALL),
+f AS (SELECT b, ln((1 + (SELECT count(*) FROM documents)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM c GROUP BY b),
+w AS MATERIALIZED (SELECT doc_id, b, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY doc_id)) AS w FROM c JOIN f USING (b)),
+it AS (SELECT 0 AS n, b, 1.0::DOUBLE AS v FROM f
+  UNION ALL
+  SELECT n, b, v / sqrt(sum(v * v) OVER ()) FROM (
+    SELECT max(u.n) + 1 AS n, w.b, sum(w.w * u.u) AS v
+    FROM (SELECT it.n, doc_id, sum(w * v) AS u FROM it JOIN w USING (b) WHERE it.n < {TERM_ROUNDS} GROUP BY ALL) u JOIN w USING (doc_id) GROUP BY w.b)),
+s AS (SELECT doc_id, sum(w * v) AS x FROM w JOIN it USING (b) WHERE it.n = {TERM_ROUNDS} GROUP BY doc_id)
+SELECT doc_id, round(coalesce(x, 0), 4) + 0.0 AS svd_component_1, (SELECT round(sqrt(sum(x * x)), 4) FROM s) AS s1 FROM documents LEFT JOIN s USING (doc_id)""")
+def _(spark, sf):
+    """The first component of hashed TF-IDF rows with 262,144 columns."""
+    docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
+    rows = HashedTfidf("text").fit(docs).transform(docs).select("doc_id", "tfidf_row")
+    out, m = SparseTruncatedSVD("tfidf_row", 1).fit_transform(rows)
+    return out.select("doc_id", r(F.col("svd_features")[0], 4).alias("svd_component_1"), r(F.lit(m.singular_values[0]), 4).alias("s1"))
