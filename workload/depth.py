@@ -5,6 +5,7 @@ from __future__ import annotations
 from tablelearn.operators.cluster import MeanShift, agglomerative, spectral
 from tablelearn.operators.decompose import SparseTruncatedSVD
 from tablelearn.operators.ensemble import CalibratedClassifier
+from tablelearn.operators.kernel_machines import KernelSVC
 from tablelearn.operators.tfidf import HashedTfidf
 from tablelearn.operators.trees import DecisionTreeClassifier, DecisionTreeRegressor
 from tablelearn.plans.monotone import curve_pieces, interpolated, monotone_pools
@@ -198,3 +199,17 @@ def _(spark, sf):
     rows = HashedTfidf("text").fit(docs).transform(docs).select("doc_id", "tfidf_row")
     out, m = SparseTruncatedSVD("tfidf_row", 1).fit_transform(rows)
     return out.select("doc_id", r(F.col("svd_features")[0], 4).alias("svd_component_1"), r(F.lit(m.singular_values[0]), 4).alias("s1"))
+
+
+@query("svc_support", """
+WITH side AS (SELECT max(l_quantity) FILTER (WHERE l_quantity <= 25) AS low, min(l_quantity) FILTER (WHERE l_quantity > 25) AS high FROM lineitem)
+SELECT l_quantity AS quantity, count(*) AS n, round(2 * (l_quantity - (low + high) / 2) / (high - low), 0) + 0.0 AS decision, l_quantity IN (low, high) AS support
+FROM lineitem, side GROUP BY ALL""")
+def _(spark, sf):
+    """Two classes that one number parts: the machine lies halfway between the nearest rows, which alone support it."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_quantity").cast("double").alias("q"), (F.col("l_quantity") > 25).cast("int").alias("t"))
+    model = KernelSVC(["q"], "t", kernel="linear", C=0.1, with_score=False).fit(lines)
+    per = model.transform(lines).groupBy("q").agg(F.count(F.lit(1)).alias("n"), F.first("decision")[0].alias("d"))
+    held = model.support_vectors(lines).select("q").distinct().withColumn("support", F.lit(True))
+    out = per.join(held, "q", "left")
+    return out.select(F.col("q").alias("quantity"), "n", r("d", 0).alias("decision"), F.coalesce("support", F.lit(False)).alias("support"))
