@@ -6,6 +6,7 @@ from tablelearn.operators.cluster import MeanShift, agglomerative, spectral
 from tablelearn.operators.decompose import SparseTruncatedSVD
 from tablelearn.operators.ensemble import CalibratedClassifier
 from tablelearn.operators.kernel_machines import KernelSVC
+from tablelearn.operators.linear import LogisticRegression
 from tablelearn.operators.tfidf import HashedTfidf
 from tablelearn.operators.trees import DecisionTreeClassifier, DecisionTreeRegressor
 from tablelearn.plans.monotone import curve_pieces, interpolated, monotone_pools
@@ -213,3 +214,23 @@ def _(spark, sf):
     held = model.support_vectors(lines).select("q").distinct().withColumn("support", F.lit(True))
     out = per.join(held, "q", "left")
     return out.select(F.col("q").alias("quantity"), "n", r("d", 0).alias("decision"), F.coalesce("support", F.lit(False)).alias("support"))
+
+
+LOGIT_ROUNDS = 12
+
+
+@query("logistic_train_binary", f"""
+WITH RECURSIVE x AS MATERIALIZED (SELECT o_totalprice / 100000 AS p, (o_orderstatus = 'F')::INT AS y FROM orders),
+it AS (SELECT 0 AS n, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b
+  UNION ALL
+  SELECT n + 1, w - (hbb * gw - hwb * gb) / (hww * hbb - hwb * hwb), b - (hww * gb - hwb * gw) / (hww * hbb - hwb * hwb) FROM (
+    SELECT any_value(n) AS n, any_value(w) AS w, any_value(b) AS b, sum((q - y) * p) + any_value(w) AS gw, sum(q - y) AS gb,
+           sum(q * (1 - q) * p * p) + 1 AS hww, sum(q * (1 - q) * p) AS hwb, sum(q * (1 - q)) AS hbb
+    FROM (SELECT it.*, p, y, 1 / (1 + exp(-(w * p + b))) AS q FROM it, x WHERE it.n < {LOGIT_ROUNDS})) WHERE n IS NOT NULL)
+SELECT round(w, 3) + 0.0 AS weight, round(b, 3) + 0.0 AS intercept, (SELECT count(*) FROM x) AS training_samples FROM it WHERE n = {LOGIT_ROUNDS}""")
+def _(spark, sf):
+    """Penalised logistic regression on one number, against Newton's steps."""
+    rows = table(spark, sf, "orders").select((F.col("o_totalprice") / 100000).alias("p"), (F.col("o_orderstatus") == "F").cast("int").alias("y"))
+    m = LogisticRegression(["p"], "y", tol=1e-10, with_score=False).fit(rows)
+    out = spark.createDataFrame([(float(m.coefficients[0][0]), float(m.intercept[0]), m.training_samples)], "weight double, intercept double, training_samples long")
+    return out.select(r("weight", 3).alias("weight"), r("intercept", 3).alias("intercept"), "training_samples")
