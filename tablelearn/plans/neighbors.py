@@ -16,12 +16,19 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import feature_array, require
+from .blocks import DENSE_ROWS, ClusterSums, Forest, Least, Nearest, Weight, block_pairs, within
 from .lineage import checkpointed
 from .sums import lists_to_matrix
 
 METRICS = ("euclidean", "minkowski", "manhattan", "chebyshev", "cosine")
 BLOCK_ROWS = 1_024
 MAX_PIVOTS = 2_048
+#: Cells that a row may be sent to on average before packed blocks meet instead.
+DENSE_COPIES = 16
+#: Rows asked how many cells they would be sent to.
+ASKED_ROWS = 2_000
+#: Numbers of a block's sums per row and cluster.
+CLUSTER_SUMS = 2_000_000
 
 
 def pieces(batches, rows: int = 1_024):
@@ -132,6 +139,14 @@ class PivotCells:
 
         return queries.mapInArrow(send, schema)
 
+    def crowded(self, queries: DataFrame, key: str, eps: float | None = None, k: int | None = None) -> bool:
+        """Whether a query row would go to so many cells that copying it costs more than meeting every block. Some query rows
+        are asked; the answer changes the way, not the result."""
+        if len(self.pivots) <= DENSE_COPIES:
+            return False
+        asked = queries.select(key, "x").where(F.pmod(F.xxhash64(key), F.lit(max(1, self.total // ASKED_ROWS))) == 0)
+        return self.route(asked, eps, k).count() > DENSE_COPIES * asked.count()
+
     def block_join(self, routed: DataFrame, query_key: str, work, schema: str, targets: DataFrame | None = None) -> DataFrame:
         """Run ``work(query block, target block)`` for every block pair of every cell.
 
@@ -174,7 +189,14 @@ def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: i
     copies = Window.partitionBy("x").orderBy("id")
     unique = train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
     cells = PivotCells(unique, "id", inner, block_rows)
-    routed = cells.route(queries.select(F.col("id").alias("q"), "x"), k=k)
+    asking = queries.select(F.col("id").alias("q"), "x")
+    w = Window.partitionBy("query").orderBy("d", "neighbor")
+    if cells.crowded(asking, "q", k=k):
+        state = lambda block: Nearest(block, k, inner)
+        found = block_pairs(checkpointed(asking), "q", {"q": "int64"}, cells.rows, "id", {"id": "int64"}, state, "query long, neighbor long, d double")
+        top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+        return top.select("query", "neighbor", reported(F.col("d"), metric).alias("distance"), "rank")
+    routed = cells.route(asking, k=k)
 
     def best(q: pa.Table, t: pa.Table) -> pa.Table:
         schema = pa.schema([("query", pa.int64()), ("neighbor", pa.int64()), ("d", pa.float64())])
@@ -189,7 +211,6 @@ def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: i
         return pa.table([np.repeat(_ints(q, "q"), pick.shape[1]), ids[pick].ravel(), dist.ravel()], schema=schema)
 
     found = cells.block_join(routed, "q", best, "query long, neighbor long, d double")
-    w = Window.partitionBy("query").orderBy("d", "neighbor")
     top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return top.select("query", "neighbor", reported(F.col("d"), metric).alias("distance"), "rank")
 
@@ -197,11 +218,15 @@ def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: i
 def weight_within(cells: PivotCells, queries: DataFrame, eps: float) -> DataFrame:
     """(key, weight): total ``w`` of the rows within eps of each query row (key, x)."""
     metric = cells.metric
+    if cells.crowded(queries, "key", eps=eps):
+        state = lambda block: Weight(block, eps, metric)
+        return block_pairs(queries, "key", {"key": "int64"}, cells.rows, "key", {"key": "int64", "w": "int64"}, state, "key long, weight long").groupBy("key").agg(
+            F.sum("weight").alias("weight"))
 
     def count(q: pa.Table, t: pa.Table) -> pa.Table:
         if not q.num_rows or not t.num_rows:
             return pa.schema([("key", pa.int64()), ("weight", pa.int64())]).empty_table()
-        near = distances(_matrix(q), _matrix(t), metric) <= eps
+        near = within(_matrix(q), _matrix(t), metric, eps)
         return pa.table({"key": _ints(q, "key"), "weight": near @ _ints(t, "w")})
 
     routed = cells.route(queries.select("key", "x"), eps=eps)
@@ -214,12 +239,15 @@ def eps_forest(cells: PivotCells, core: DataFrame, eps: float) -> DataFrame:
     Each block pair is reduced to one star per connected piece, so at most one edge per row leaves a task.
     """
     metric = cells.metric
+    if cells.crowded(core, "key", eps=eps):
+        state = lambda block: Forest(block, eps, metric)
+        return block_pairs(core, "key", {"key": "int64"}, core, "key", {"key": "int64"}, state, "a long, b long").distinct()
 
     def stars(q: pa.Table, t: pa.Table) -> pa.Table:
         none = pa.schema([("a", pa.int64()), ("b", pa.int64())]).empty_table()
         if not q.num_rows or not t.num_rows:
             return none
-        near = distances(_matrix(q), _matrix(t), metric) <= eps
+        near = within(_matrix(q), _matrix(t), metric, eps)
         qk, tk = _ints(q, "key"), _ints(t, "key")
         new_q = near.any(axis=1)
         free_t = near.any(axis=0)
@@ -249,11 +277,15 @@ def eps_forest(cells: PivotCells, core: DataFrame, eps: float) -> DataFrame:
 def smallest_label_within(cells: PivotCells, queries: DataFrame, labelled: DataFrame, eps: float) -> DataFrame:
     """(key, label): the smallest label among ``labelled`` rows (key, x, cell, label) within eps of each query row."""
     metric = cells.metric
+    if cells.crowded(queries, "key", eps=eps):
+        state = lambda block: Least(block, eps, metric)
+        found = block_pairs(queries, "key", {"key": "int64"}, labelled, "key", {"key": "int64", "label": "int64"}, state, "key long, label long")
+        return found.groupBy("key").agg(F.min("label").alias("label"))
 
     def least(q: pa.Table, t: pa.Table) -> pa.Table:
         if not q.num_rows or not t.num_rows:
             return pa.schema([("key", pa.int64()), ("label", pa.int64())]).empty_table()
-        near = distances(_matrix(q), _matrix(t), metric) <= eps
+        near = within(_matrix(q), _matrix(t), metric, eps)
         far = np.iinfo(np.int64).max
         best = np.where(near, _ints(t, "label")[None, :], far).min(axis=1)
         hit = best != far
@@ -263,43 +295,38 @@ def smallest_label_within(cells: PivotCells, queries: DataFrame, labelled: DataF
     return cells.block_join(routed, "key", least, "key long, label long", labelled).groupBy("key").agg(F.min("label").alias("label"))
 
 
-def mean_silhouette(df: DataFrame, id_col: str, cols: list[str], cluster: str, block_rows: int = BLOCK_ROWS) -> float:
-    """Exact mean Euclidean silhouette. Every row meets every row by definition; a task sees one block pair and
-    emits one distance sum per query row and cluster."""
-    spark = df.sparkSession
+def mean_silhouette(df: DataFrame, id_col: str, cols: list[str], cluster: str, block_rows: int = DENSE_ROWS) -> float:
+    """Exact mean Euclidean silhouette. Every different row meets every different row by definition; a task sees two blocks
+    at a time and emits one distance sum per row and cluster. Copies of a row with the same id count once in the mean."""
     rows = df.select(
         F.col(f"`{id_col}`").cast("long").alias("id"), feature_array(df, cols).alias("x"), F.col(f"`{cluster}`").cast("string").alias("c")
     )
-    rows = checkpointed(rows)
-    sizes = {r.c: r["count"] for r in rows.groupBy("c").count().collect()}
-    n = sum(sizes.values())
-    blocks = math.ceil(n / block_rows)
-    own = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = rows.withColumn("qb", own).withColumn("tb", every)
-    right = rows.withColumn("tb", own).withColumn("qb", every)
-
-    def add(q: pa.Table, t: pa.Table) -> pa.Table:
-        schema = pa.schema([("id", pa.int64()), ("own", pa.string()), ("c", pa.string()), ("s", pa.float64())])
-        if not q.num_rows or not t.num_rows:
-            return schema.empty_table()
-        d = distances(_matrix(q), _matrix(t), "euclidean")
-        label = np.array(t.column("c").to_pylist(), dtype=object)
-        ids, mine = _ints(q, "id"), q.column("c").combine_chunks()
-        parts = [
-            pa.table([ids, mine, pa.array([c] * len(ids), pa.string()), d[:, label == c].sum(axis=1)], schema=schema)
-            for c in sorted(set(label))
-        ]
-        return pa.concat_tables(parts)
-
-    sums = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInArrow(add, "id long, own string, c string, s double")
-    sums = sums.groupBy("id", "own", "c").agg(F.sum("s").alias("s"))
-    table = F.broadcast(spark.createDataFrame(list(sizes.items()), "c string, n long"))  # one row per cluster
-    per = sums.join(table, "c").groupBy("id", "own").agg(
-        F.max(F.when(F.col("c") == F.col("own"), F.col("n"))).alias("n"),
-        F.max(F.when(F.col("c") == F.col("own"), F.col("s") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"),
-        F.min(F.when(F.col("c") != F.col("own"), F.col("s") / F.col("n"))).alias("b"),
+    copies = rows.groupBy("x", "c", "id").count()
+    unique = checkpointed(copies.groupBy("x", "c").agg(F.sum("count").alias("w"), F.count(F.lit(1)).alias("ids")))
+    sizes = {r.c: r.n for r in unique.groupBy("c").agg(F.sum("w").alias("n")).collect()}
+    code = F.broadcast(df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(sorted(sizes))], "c string, code long"))  # one row per cluster
+    unique = checkpointed(
+        unique.join(code, "c").select("x", F.col("code").alias("c"), "w", "ids", F.xxhash64("x", "c").alias("key"))
     )
-    top = F.greatest("a", "b")
-    value = F.when((F.col("n") == 1) | (top == 0), 0.0).otherwise((F.col("b") - F.col("a")) / top)
-    return per.agg(F.avg(value)).first()[0]
+    size, k = np.array([sizes[c] for c in sorted(sizes)], dtype=float), len(sizes)
+    block_rows = max(1, min(block_rows, CLUSTER_SUMS // k))
+    state = lambda block: ClusterSums(block, k)
+    found = block_pairs(
+        unique, "key", {"key": "int64", "c": "int64", "ids": "int64"}, unique, "key", {"c": "int64", "w": "int64"}, state,
+        "key long, sums binary, c binary, ids binary", block_rows,
+    )
+
+    def values(part):
+        whole = lambda name, kind: np.frombuffer(part.column(name)[0].as_buffer(), dtype=kind)
+        own, ids = whole("c", "int64"), whole("ids", "int64")
+        s = sum(np.frombuffer(v.as_buffer(), dtype=float) for v in part.column("sums")).reshape(len(own), k)
+        at = np.arange(len(own))
+        a = s[at, own] / np.maximum(size[own] - 1, 1)
+        far = s / size
+        far[at, own] = np.inf
+        b = far.min(axis=1)
+        top = np.maximum(a, b)
+        value = np.where((size[own] == 1) | (top == 0), 0.0, (b - a) / np.where(top == 0, 1.0, top))
+        return pa.table({"n": [int(ids.sum())], "v": [float(ids @ value)]})
+
+    return found.groupBy("key").applyInArrow(values, "n long, v double").agg(F.sum("v") / F.sum("n")).first()[0]
