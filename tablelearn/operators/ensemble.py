@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..core import Fitted, Operator
 from ..functions.columns import class_index, class_map, class_value, names, require, sorted_classes
-from ..plans.lineage import checkpointed
+from ..plans.lineage import checkpointed, for_passes
 from ..plans.monotone import curve_pieces, interpolated, monotone_pools
 from .linear import accuracy
 from .registry import CLASSIFIERS, make
@@ -77,18 +77,20 @@ class VotingClassifier(Operator):
 
     def _fit(self, df):
         require(df, [*self.cols, self.target])
-        needed = df.select(*dict.fromkeys([*self.cols, self.target, *([self.id_col] if self.id_col else [])])).persist()
+        kept = df.select(*dict.fromkeys([*self.cols, self.target, *([self.id_col] if self.id_col else [])])).persist()
         try:
+            n = kept.count()
+            needed = for_passes(kept, n)
             ops = _members(self.estimators, self.cols, self.target, self.id_col, self.member_params)
             fitted = fit_all([lambda op=op: op.fit(needed) for op in ops], self.parallelism)
             model = VotingModel(
                 cols=self.cols, target=self.target, estimators=self.estimators, voting=self.voting,
-                classes=sorted_classes(needed, self.target), training_samples=needed.count(),
+                classes=sorted_classes(needed, self.target), training_samples=n,
             )
             model.members = fitted
             model.state["accuracy"] = accuracy(model, needed, self.target)
         finally:
-            needed.unpersist()
+            kept.unpersist()
         return model
 
 
@@ -139,8 +141,11 @@ class StackingClassifier(Operator):
         require(df, [*self.cols, self.target, self.id_col])
         classes = sorted_classes(df, self.target)
         needed = df.select(*dict.fromkeys([self.id_col, *self.cols, self.target]))
-        folded = with_folds(needed, self.id_col, self.cv, self.target, self.seed).persist()
+        kept = with_folds(needed, self.id_col, self.cv, self.target, self.seed).persist()
         try:
+            n = kept.count()
+            folded = for_passes(kept, n)
+
             def one(fold):
                 train = folded.where(F.col("_fold") != fold)
                 out = folded.where(F.col("_fold") == fold)
@@ -158,12 +163,12 @@ class StackingClassifier(Operator):
             fitted = fit_all([lambda op=op: op.fit(folded) for op in ops], self.parallelism)
             model = StackingModel(
                 cols=self.cols, target=self.target, estimators=self.estimators, final=self.final, cv=self.cv, classes=classes,
-                training_samples=folded.count(),
+                training_samples=n,
             )
             model.members, model.last = fitted, final
             model.state["accuracy"] = accuracy(model, folded, self.target)
         finally:
-            folded.unpersist()
+            kept.unpersist()
         return model
 
 
@@ -212,7 +217,7 @@ def _sigmoid(rows, n_pos, n_neg):
     share = F.when(F.col("hit") == 1, F.lit(high)).otherwise(F.lit(low))
     both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), share.alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - share).alias("w"))))
     data = rows.select(array_to_vector(F.array("s")).alias("features"), both.alias("b")).select("features", "b.label", "b.w")
-    m = MLLogistic(maxIter=100, weightCol="w", tol=1e-9).fit(data)
+    m = MLLogistic(maxIter=100, weightCol="w", tol=1e-9).fit(for_passes(data, 2 * int(n_pos + n_neg)))
     return {"kind": "sigmoid", "slope": float(m.coefficients[0]), "intercept": float(m.intercept)}
 
 
@@ -245,7 +250,7 @@ class CalibratedClassifier(Operator):
     def _fit(self, df):
         require(df, [*self.cols, self.target, self.id_col])
         classes = sorted_classes(df, self.target)
-        folded = with_folds(df.select(*dict.fromkeys([self.id_col, *self.cols, self.target])), self.id_col, self.cv, self.target, self.seed).persist()
+        kept = with_folds(df.select(*dict.fromkeys([self.id_col, *self.cols, self.target])), self.id_col, self.cv, self.target, self.seed).persist()
         extra = {"probability": False} if self.base == "SVC" else {}
 
         def one(fold):
@@ -263,16 +268,18 @@ class CalibratedClassifier(Operator):
             return member, curves
 
         try:
+            n = kept.count()
+            folded = for_passes(kept, n)
             pairs = fit_all([lambda f=f: one(f) for f in range(self.cv)], self.parallelism)
             model = CalibratedModel(
                 cols=self.cols, target=self.target, base_estimator=self.base, calibration_method=self.method, cv=self.cv,
-                classes=classes, training_samples=folded.count(),
+                classes=classes, training_samples=n,
             )
             model.members = [p[0] for p in pairs]
             model.hold([p[1] for p in pairs])
             model.state["accuracy"] = accuracy(model, folded, self.target)
         finally:
-            folded.unpersist()
+            kept.unpersist()
         return model
 
 
