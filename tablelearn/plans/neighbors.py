@@ -3,7 +3,8 @@
 Rows are assigned to the nearest of a bounded set of pivots. The triangle inequality then tells, per query row,
 which cells can hold a neighbour; the query row is sent only to those cells. Cells are cut into hash blocks of
 bounded size, so a task always sees one query block and one target block, and emits reduced results (the k best,
-a count, a spanning forest), never all pairs.
+a count, a spanning forest), never all pairs. The k best are first looked for in the row's own cell, whose k-th
+distance then decides which other cells are needed at all.
 """
 
 from __future__ import annotations
@@ -17,12 +18,16 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import feature_array, require
 from .blocks import DENSE_ROWS, ClusterSums, Forest, Least, Nearest, Weight, block_pairs, within
+from .boxes import Boxes, search
 from .lineage import checkpointed
 from .sums import lists_to_matrix
 
 METRICS = ("euclidean", "minkowski", "manhattan", "chebyshev", "cosine")
 BLOCK_ROWS = 1_024
 MAX_PIVOTS = 2_048
+#: Rows of a block whose boxes leave out most of it, and the most columns of such rows.
+WIDE_BLOCK_ROWS = 8_192
+BOX_COLUMNS = 8
 #: Cells that a row may be sent to on average before packed blocks meet instead.
 DENSE_COPIES = 16
 #: Rows asked how many cells they would be sent to.
@@ -79,6 +84,12 @@ def to_internal(eps: float, metric: str) -> float:
     return math.sqrt(2 * eps) if metric == "cosine" else eps
 
 
+def nearest_block_rows(rows: DataFrame) -> int:
+    """Rows (x) of a block in a search for the nearest ones: in few columns boxes leave out most of a large block."""
+    first = rows.select("x").first()
+    return WIDE_BLOCK_ROWS if first is not None and len(first.x) <= BOX_COLUMNS else BLOCK_ROWS
+
+
 class PivotCells:
     """Rows (key long, x array, ...) with their pivot cell, plus per-cell row count and radius range."""
 
@@ -112,8 +123,14 @@ class PivotCells:
 
         return rows.mapInArrow(assign, schema)
 
+    def homes(self, queries: DataFrame) -> DataFrame:
+        """Each query row once, for the cell of its nearest pivot."""
+        return self._assigned(queries).drop("r")
+
     def route(self, queries: DataFrame, eps: float | None = None, k: int | None = None) -> DataFrame:
-        """One copy of each query row per cell that can hold a row within ``eps``, or one of its ``k`` nearest."""
+        """One copy of each query row per cell that can hold a row within ``eps``, or one of its ``k`` nearest. Rows that have
+        been searched for in a cell ``home`` bring the ``bound`` found there and are not sent to it again."""
+        searched = "home" in queries.columns
         pivots, metric, count, lo, hi = self.pivots, self.metric, self.count, self.lo, self.hi
         schema = StructType(list(queries.schema.fields) + [StructField("cell", IntegerType())])
         at = queries.columns.index("x")
@@ -129,9 +146,14 @@ class PivotCells:
                     order = np.argsort(reach, axis=1)
                     filled = np.cumsum(count[order], axis=1) >= min(k, count.sum())
                     bound = np.take_along_axis(reach, order, axis=1)[np.arange(len(d)), filled.argmax(axis=1)]
+                if searched:
+                    bound = np.fmin(bound, batch.column("bound").to_numpy())
                 nearest = np.maximum(np.maximum(d - hi, lo - d), 0.0)
                 margin = slack * (1.0 + bound[:, None] + d)
-                row, cell = np.nonzero((nearest <= bound[:, None] + margin) & (count > 0))
+                reached = (nearest <= bound[:, None] + margin) & (count > 0)
+                if searched:
+                    reached[np.arange(len(d)), batch.column("home").to_numpy()] = False
+                row, cell = np.nonzero(reached)
                 yield pa.RecordBatch.from_arrays(
                     [*(c.take(pa.array(row)) for c in batch.columns), pa.array(cell.astype(np.int32))],
                     names=[*batch.schema.names, "cell"],
@@ -179,7 +201,7 @@ def _ints(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy()
 
 
-def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: int | None = None) -> DataFrame:
     """(query, neighbor, distance, rank): the k nearest train rows by (distance, id). Inputs are :func:`points`.
 
     Of identical train rows only the k smallest ids can ever be chosen, so the rest are dropped before the
@@ -188,31 +210,82 @@ def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: i
     inner = internal_metric(metric)
     copies = Window.partitionBy("x").orderBy("id")
     unique = train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
-    cells = PivotCells(unique, "id", inner, block_rows)
+    cells = PivotCells(unique, "id", inner, block_rows or nearest_block_rows(train))
     asking = queries.select(F.col("id").alias("q"), "x")
     w = Window.partitionBy("query").orderBy("d", "neighbor")
-    if cells.crowded(asking, "q", k=k):
+    if _crowded_nearest(cells, asking, k):
         state = lambda block: Nearest(block, k, inner)
         found = block_pairs(checkpointed(asking), "q", {"q": "int64"}, cells.rows, "id", {"id": "int64"}, state, "query long, neighbor long, d double")
-        top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        return top.select("query", "neighbor", reported(F.col("d"), metric).alias("distance"), "rank")
-    routed = cells.route(asking, k=k)
+    else:
+        first = checkpointed(_nearest_at_home(cells, asking, k))
+        found = first.select(F.col("q").alias("query"), F.inline("near"))
+        if len(cells.pivots) > 1:
+            found = found.unionByName(_nearest_elsewhere(cells, first, k))
+    top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return top.select("query", "neighbor", reported(F.col("d"), metric).alias("distance"), "rank")
+
+
+def _crowded_nearest(cells: PivotCells, asking: DataFrame, k: int) -> bool:
+    """Like :meth:`PivotCells.crowded`, for some query rows that have been searched for in their own cells."""
+    if len(cells.pivots) <= DENSE_COPIES:
+        return False
+    asked = asking.where(F.pmod(F.xxhash64("q"), F.lit(max(1, asking.count() // ASKED_ROWS))) == 0)
+    first = checkpointed(_nearest_at_home(cells, asked, k))
+    return _away(cells, first, k).count() > DENSE_COPIES * first.count()
+
+
+def _block_search(q: pa.Table, t: pa.Table, bound: np.ndarray, k: int, metric: str):
+    x, target = _matrix(q), Boxes(_matrix(t))
+    ids = _ints(t, "id")[target.order]
+    least = lambda rows: target.gaps(x[rows], metric)
+    exact = lambda rows, at: distances(x[rows], target.x[at], metric)
+    row, at, d = search(x, bound, ids, target, k, least, exact)
+    return row, ids[at], d
+
+
+def _nearest_at_home(cells: PivotCells, asking: DataFrame, k: int) -> DataFrame:
+    """(u, q, x, home, bound, near): every query row (u) with the k best rows of its own cell and the k-th distance."""
+    metric = cells.metric
 
     def best(q: pa.Table, t: pa.Table) -> pa.Table:
+        if not q.num_rows or not t.num_rows:
+            return pa.schema([("u", pa.int64()), ("q", pa.int64()), ("x", pa.list_(pa.float64())), ("home", pa.int32()), ("bound", pa.float64()),
+                              ("ids", pa.list_(pa.int64())), ("ds", pa.list_(pa.float64()))]).empty_table()
+        row, ids, d = _block_search(q, t, np.full(q.num_rows, np.inf), k, metric)
+        ends = np.searchsorted(row, np.arange(q.num_rows + 1)).astype(np.int32)
+        bound = np.full(q.num_rows, np.inf)
+        full = np.diff(ends) == k
+        bound[full] = d[ends[1:][full] - 1]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(v)) for v in (ids, d)]
+        return pa.table([q.column("u"), q.column("q"), q.column("x"), q.column("cell"), pa.array(bound), *lists], names=["u", "q", "x", "home", "bound", "ids", "ds"])
+
+    rows = cells.homes(asking).withColumn("u", F.monotonically_increasing_id())  # one number a row: ids may repeat
+    found = cells.block_join(rows, "u", best, "u long, q long, x array<double>, home int, bound double, ids array<long>, ds array<double>")
+    near = F.zip_with("ids", "ds", lambda i, d: F.struct(i.alias("neighbor"), d.alias("d"))).alias("near")
+    found = found.select("u", "q", "x", "home", "bound", near)
+    if cells.count.max() <= cells.block_rows:
+        return found
+    first = [F.first(c).alias(c) for c in ("q", "x", "home")]  # the same in every slice of the cell
+    return found.groupBy("u").agg(*first, F.min("bound").alias("bound"), F.flatten(F.collect_list("near")).alias("near"))
+
+
+def _away(cells: PivotCells, first: DataFrame, k: int) -> DataFrame:
+    return cells.route(first.select("u", "q", "x", "home", "bound"), k=k)
+
+
+def _nearest_elsewhere(cells: PivotCells, first: DataFrame, k: int) -> DataFrame:
+    """(query, neighbor, d): what the other cells hold within the bounds that the own cells gave."""
+    metric = cells.metric
+
+    def better(q: pa.Table, t: pa.Table) -> pa.Table:
         schema = pa.schema([("query", pa.int64()), ("neighbor", pa.int64()), ("d", pa.float64())])
         if not q.num_rows or not t.num_rows:
             return schema.empty_table()
-        ids = _ints(t, "id")
-        order = np.argsort(ids)
-        ids, x = ids[order], _matrix(t)[order]
-        d = distances(_matrix(q), x, inner)
-        pick = np.argsort(d, axis=1, kind="stable")[:, :k]
-        dist = np.take_along_axis(d, pick, axis=1)
-        return pa.table([np.repeat(_ints(q, "q"), pick.shape[1]), ids[pick].ravel(), dist.ravel()], schema=schema)
-
-    found = cells.block_join(routed, "q", best, "query long, neighbor long, d double")
-    top = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return top.select("query", "neighbor", reported(F.col("d"), metric).alias("distance"), "rank")
+        bound = _ints(q, "bound")
+        row, ids, d = _block_search(q, t, np.where(np.isnan(bound), np.inf, bound), k, metric)
+        return pa.table([_ints(q, "q")[row], ids, d], schema=schema)
+
+    return cells.block_join(_away(cells, first, k), "u", better, "query long, neighbor long, d double")
 
 
 def weight_within(cells: PivotCells, queries: DataFrame, eps: float) -> DataFrame:
