@@ -8,9 +8,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .boxes import Boxes, search
 from .components import components
 from .lineage import checkpointed
-from .neighbors import PivotCells, _ints, _matrix, distances, pieces
+from .neighbors import PivotCells, _ints, _matrix, distances, nearest_block_rows, pieces
 from .sums import lists_to_matrix
 
 #: Clusters that one task merges to the end; more go through another round.
@@ -43,9 +44,10 @@ class _Clusters(PivotCells):
         for r in self.rows.groupBy("cell").agg(*[f(c).alias(f"{c}{i}") for c in ("n", "s") for i, f in enumerate((F.min, F.max))]).collect():
             self.sizes[:, r.cell], self.spreads[:, r.cell] = (r.n0, r.n1), (r.s0, r.s1)
 
-    def route_nearest(self) -> DataFrame:
-        """Each cluster once for every cell that can hold its nearest one: the cells' largest possible heights bound the
-        least height, their smallest possible heights decide."""
+    def route_nearest(self, first: DataFrame) -> DataFrame:
+        """Each cluster (``first``: with the least height ``h`` found in its own cell ``home``) once for every other cell that can
+        hold its nearest one: that height and the cells' largest possible heights bound the least height, their smallest
+        possible heights decide."""
         pivots, count, lo, hi, kind, sizes, spreads = self.pivots, self.count, self.lo, self.hi, self.kind, self.sizes, self.spreads
 
         def send(batches):
@@ -58,32 +60,63 @@ class _Clusters(PivotCells):
                 order = np.argsort(most, axis=1)
                 enough = np.cumsum(count[order], axis=1) >= min(2, count.sum())  # one of them may be the cluster itself
                 bound = np.take_along_axis(most, order, axis=1)[np.arange(len(d)), enough.argmax(axis=1)]
+                bound = np.fmin(bound, batch.column("h").to_numpy())
                 near = np.maximum(np.maximum(d - hi, lo - d), 0.0)
                 least = height(kind, near * near * (1 - 1e-9), n, s, sizes[0], spreads[0])
-                row, cell = np.nonzero((least <= bound[:, None] * (1 + 1e-9)) & (count > 0))
+                reached = (least <= bound[:, None] * (1 + 1e-9)) & (count > 0)
+                reached[np.arange(len(d)), batch.column("home").to_numpy()] = False
+                row, cell = np.nonzero(reached)
                 yield pa.RecordBatch.from_arrays([*(c.take(pa.array(row)) for c in batch.columns), pa.array(cell.astype(np.int32))], names=[*batch.schema.names, "cell"])
 
-        return self.rows.select("key", "x", "n", "s").mapInArrow(send, f"{_FIELDS}, cell int")
+        return first.select("key", "x", "n", "s", "home", "h").mapInArrow(send, f"{_FIELDS}, home int, h double, cell int")
 
     def nearest(self) -> DataFrame:
         """(key, h, other): the nearest cluster of each, the smallest key of equal ones."""
         kind = self.kind
 
+        def found_in(q: pa.Table, t: pa.Table, bound: np.ndarray):
+            """(row of q, height, key of t) for the rows of q that have one within their bounds."""
+            x, n, s, ours = _matrix(q), _ints(q, "n"), _ints(q, "s"), _ints(q, "key")
+            target = Boxes(_matrix(t))
+            keys, m, spread = (_ints(t, c)[target.order] for c in ("key", "n", "s"))
+            few, tight = np.minimum.reduceat(m, target.starts), np.minimum.reduceat(spread, target.starts)
+
+            def least(rows):
+                gap = target.gaps(x[rows], "euclidean")
+                return height(kind, gap * gap, n[rows, None], s[rows, None], few, tight) * (1 - 1e-9)
+
+            def exact(rows, at):
+                gap = distances(x[rows], target.x[at], "euclidean")
+                h = height(kind, gap * gap, n[rows, None], s[rows, None], m[at], spread[at])
+                h[ours[rows, None] == keys[at]] = np.inf
+                return h
+
+            row, at, h = search(x, bound, keys, target, 1, least, exact)
+            real = np.isfinite(h)
+            return row[real], h[real], keys[at[real]]
+
         def best(q: pa.Table, t: pa.Table) -> pa.Table:
+            h, other = np.full(q.num_rows, np.inf), _ints(q, "key").copy()
+            if q.num_rows and t.num_rows:
+                row, least, key = found_in(q, t, h)
+                h[row], other[row] = least, key
+            return pa.table({**{c: q.column(c) for c in ("key", "x", "n", "s")}, "home": q.column("cell"), "h": h, "other": other})
+
+        def better(q: pa.Table, t: pa.Table) -> pa.Table:
             schema = pa.schema([("key", pa.int64()), ("h", pa.float64()), ("other", pa.int64())])
             if not q.num_rows or not t.num_rows:
                 return schema.empty_table()
-            order = np.argsort(_ints(t, "key"))
-            keys, ours = _ints(t, "key")[order], _ints(q, "key")
-            gap = distances(_matrix(q), _matrix(t)[order], "euclidean")
-            h = height(kind, gap * gap, _ints(q, "n")[:, None], _ints(q, "s")[:, None], _ints(t, "n")[order][None, :], _ints(t, "s")[order][None, :])
-            h[ours[:, None] == keys[None, :]] = np.inf
-            at = h.argmin(axis=1)
-            found = h[np.arange(len(ours)), at]
-            real = np.isfinite(found)
-            return pa.table([ours[real], found[real], keys[at[real]]], schema=schema)
-
-        found = self.block_join(self.route_nearest(), "key", best, "key long, h double, other long")
+            row, h, other = found_in(q, t, _ints(q, "h"))
+            return pa.table([_ints(q, "key")[row], h, other], schema=schema)
+
+        first = self.block_join(self.rows.drop("r"), "key", best, f"{_FIELDS}, home int, h double, other long")
+        if self.count.max() > self.block_rows:
+            same = [F.first(c).alias(c) for c in ("x", "n", "s", "home")]  # in every slice of the cell
+            first = first.groupBy("key").agg(*same, F.min(F.struct("h", "other")).alias("b")).select("key", "x", "n", "s", "home", "b.h", "b.other")
+        first = checkpointed(first)
+        found = first.where(F.col("h") < F.lit(float("inf"))).select("key", "h", "other")
+        if len(self.pivots) > 1:
+            found = found.unionByName(self.block_join(self.route_nearest(first), "key", better, "key long, h double, other long"))
         return found.groupBy("key").agg(F.min(F.struct("h", "other")).alias("b")).select("key", "b.h", "b.other")
 
 
@@ -117,7 +150,7 @@ def chain_merges(x: np.ndarray, n: np.ndarray, s: np.ndarray, keys: np.ndarray,
     return out
 
 
-def merges(points: DataFrame, kind: str, finish: int = FINISH_CLUSTERS, block_rows: int = 1_024) -> DataFrame:
+def merges(points: DataFrame, kind: str, finish: int = FINISH_CLUSTERS, block_rows: int | None = None) -> DataFrame:
     """``points`` (key, x, w: copies) -> (a, b, h, step): the merges that lead to one cluster, named by their smallest keys;
     ``step`` rises from a merge to those that build on it.
 
@@ -128,6 +161,7 @@ def merges(points: DataFrame, kind: str, finish: int = FINISH_CLUSTERS, block_ro
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
     clusters = checkpointed(points.select("key", "x", F.col("w").cast("double").alias("n"), F.lit(0.0).alias("s")))
+    block_rows = block_rows or nearest_block_rows(clusters)
     done, turn = [], 0
     while clusters.count() > finish:
         near = checkpointed(_Clusters(clusters, kind, block_rows).nearest())
