@@ -12,3 +12,10 @@ def test_splits_of_too_many_rows_are_dealt_out(spark, tmp_path, monkeypatch):
     dealt = tables.spread(scan)
     assert dealt.rdd.getNumPartitions() >= 5 * cores
     assert sorted(r.id for r in dealt.collect()) == list(range(10_000))
+
+
+def test_rows_of_a_task_stay_few_at_the_given_limit(spark, tmp_path):
+    rows = spark.sparkContext.defaultParallelism * 400_000
+    spark.range(rows).write.parquet(f"{tmp_path}/t.parquet")
+    dealt = tables.spread(tables.table(spark, str(tmp_path), "t"))
+    assert rows / dealt.rdd.getNumPartitions() <= 300_000
