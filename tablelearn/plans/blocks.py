@@ -21,6 +21,8 @@ SLICE_BLOCKS = 32
 LEFT_BLOCKS = 64
 #: Rows of a tile, whose distances to one block are held at once.
 TILE_ROWS = 512
+#: Share of a tile's pairs that single precision may leave open before double precision is asked.
+OPEN_SHARE = 1 / 64
 FAR = np.iinfo(np.int64).max
 
 
@@ -124,6 +126,27 @@ def tiles(n: int):
     return (slice(s, s + TILE_ROWS) for s in range(0, n, TILE_ROWS))
 
 
+class Rough:
+    """Squared distances of left rows to other rows, less the left row's own square, by one matrix product in single precision
+    around the middle of the left rows."""
+
+    def __init__(self, a: np.ndarray):
+        self.middle = a.mean(axis=0)
+        a = a - self.middle
+        self.own = np.einsum("ij,ij->i", a, a)
+        self.left = np.hstack([a, np.ones((len(a), 1))]).astype(np.float32)
+
+    def right(self, b: np.ndarray) -> tuple[np.ndarray, float] | None:
+        """The other factor for the rows ``b``, and a bound on how far the product lies from the added-up squares; none where
+        single precision does not reach."""
+        b = b - self.middle
+        bb = np.einsum("ij,ij->i", b, b)
+        most = self.own.max() + bb.max()
+        if not 1e-25 < most < 1e30:
+            return None
+        return np.hstack([-2.0 * b, bb[:, None]]).astype(np.float32).T, 8.0 * (b.shape[1] + 8) * 2.0**-24 * most
+
+
 class Nearest:
     """The k nearest right rows (id) of every left row (q) by (distance, id)."""
 
@@ -131,28 +154,47 @@ class Nearest:
         self.q, self.x, self.k, self.metric = block["q"], block["x"], k, metric
         self.row, self.id, self.d = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
         self.bound = np.full(len(self.q), np.inf)
-
-    def add(self, t):
+        self.rough = Rough(self.x) if len(self.x) and by_product(self.x, self.x, metric) else None
+
+    def _limit(self, g, limit, off):
+        """``limit``, or the k-th of the left row's numbers where it has none yet."""
+        if g.shape[1] > self.k and not np.isfinite(limit).all():
+            return np.minimum(limit, np.partition(g, self.k - 1, axis=1)[:, self.k - 1] + 2 * off)
+        return limit
+
+    def _roughly(self, s, factor, off):
+        """Pairs of the tile that single precision leaves open; none where these are many."""
+        g = self.rough.left[s] @ factor
+        bound = self.bound[s]
+        limit = self._limit(g, bound * bound * (1 + 1e-12) + off - self.rough.own[s], off)
+        near = np.flatnonzero(g <= np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None])
+        return np.divmod(near, g.shape[1]) if len(near) <= max(OPEN_SHARE * g.size, 4 * self.k * len(g)) else None
+
+    def _near(self, s, x, product, rough):
+        """(row of the tile, row of x, distance) of the pairs that can be among the k nearest."""
         from .neighbors import distances
 
+        a, bound = self.x[s], self.bound[s]
+        if not product:
+            d = distances(a, x, self.metric)
+            i, j = np.nonzero(~(d > self._limit(d, bound, 0.0)[:, None]))
+            return i, j, d[i, j]
+        found = self._roughly(s, *rough) if rough else None
+        if found is None:
+            g, off = squares(a, x)
+            found = np.nonzero(g <= self._limit(g, bound * bound * (1 + 1e-12) + off, off)[:, None])
+        return *found, lengths(a, x, *found)
+
+    def add(self, t):
         if not len(t["id"]):
             return
         found = [(self.row, self.id, self.d)]
         order = np.argsort(t["id"], kind="stable")
         ids, x = t["id"][order], t["x"][order]
+        product = self.rough is not None and by_product(self.x, x, self.metric)
+        rough = self.rough.right(x) if product else None
         for s in tiles(len(self.q)):
-            a, bound = self.x[s], self.bound[s]
-            exact = not by_product(a, x, self.metric)
-            g, off = (distances(a, x, self.metric), 0.0) if exact else squares(a, x)
-            limit = bound if exact else bound * bound * (1 + 1e-12) + off
-            if g.shape[1] > self.k and not np.isfinite(bound).all():
-                limit = np.minimum(limit, np.partition(g, self.k - 1, axis=1)[:, self.k - 1] + 2 * off)
-            if exact:
-                i, j = np.nonzero(~(g > limit[:, None]))
-                d = g[i, j]
-            else:
-                i, j = np.nonzero(g <= limit[:, None])
-                d = lengths(a, x, i, j)
+            i, j, d = self._near(s, x, product, rough)
             found.append((i + s.start, ids[j], d))
         row, key, d = (np.concatenate(c) for c in zip(*found))
         order = np.lexsort((key, d, row))

@@ -115,3 +115,42 @@ def test_pairs_at_the_limit_are_added_up():
     d = distances(a, b, "euclidean")
     for eps in d.ravel()[::37]:
         assert (blocks.within(a, b, "euclidean", eps) == (d <= eps)).all()
+
+
+def nearest_by_blocks(x, k, size=128):
+    """(neighbours, distances) of the rows in a left block, met by right blocks one after the other."""
+    ids = np.arange(len(x))
+    held = blocks.Nearest({"q": ids[:size], "x": x[:size]}, k, "euclidean")
+    for s in range(0, len(x), size):
+        held.add({"id": ids[s:s + size], "x": x[s:s + size]})
+    return held.id.reshape(-1, k), held.d.reshape(-1, k)
+
+
+def brute_force(x, k, size=128):
+    d = distances(x[:size], x, "euclidean")
+    order = np.stack([np.lexsort((np.arange(len(x)), row))[:k] for row in d])
+    return order, np.take_along_axis(d, order, axis=1)
+
+
+def test_candidates_come_from_single_precision(monkeypatch):
+    """Every pair was weighed in double precision, in five passes over the distances of a tile."""
+
+    def never(a, b):
+        raise AssertionError("double precision for a whole tile")
+
+    x = spread_points(1_000, 64, 6)
+    want = brute_force(x, 5)
+    monkeypatch.setattr(blocks, "squares", never)
+    for moved in (x, x + 3.0, x * 1e-9):
+        got = nearest_by_blocks(moved, 5)
+        assert (got[0] == want[0]).all() or (got[0] == brute_force(moved, 5)[0]).all()
+    assert (nearest_by_blocks(x, 5)[1] == want[1]).all()
+
+
+@pytest.mark.parametrize("scale", [1e-40, 1e-6, 1.0, 1e20])
+def test_rows_that_single_precision_cannot_tell_apart(scale):
+    """Two groups far apart, the rows of each closer together than single precision resolves at that distance."""
+    rng = np.random.default_rng(7)
+    x = (rng.integers(0, 2, (700, 1)) * 1e6 + rng.normal(size=(700, 16)) * 1e-4) * scale
+    got, want = nearest_by_blocks(x, 5), brute_force(x, 5)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
