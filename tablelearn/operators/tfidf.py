@@ -22,6 +22,8 @@ def _stop_list(stop_words):
     return list(stop_words)
 
 
+#: Words that n-grams are held to at most; where more words tie, all n-grams are counted.
+FREQUENT_WORDS = 2_000
 #: Rows times terms that are weighed at once.
 DENSE_CELLS = 2_000_000
 
@@ -40,7 +42,9 @@ class TfidfVectorizer(Operator):
     def _fit(self, df):
         require(df, [self.text])
         stop = _stop_list(self.stop_words)
-        terms = add_terms(df.select(self.text), self.text, "_terms", self.ngram, stop, self.lowercase)
+        text = df.select(self.text)
+        words = self._frequent(text, stop)
+        terms = add_terms(text, self.text, "_terms", self.ngram, stop, self.lowercase, words)
         one = lambda n, d: lambda t: F.struct(t.alias("term"), F.lit(n).alias("n"), F.lit(d).alias("d"))
         marks = F.concat(F.transform("_terms", one(1, 0)), F.transform(F.array_distinct("_terms"), one(0, 1)))
         n = df.count()
@@ -58,6 +62,20 @@ class TfidfVectorizer(Operator):
             counts=[r.total for r in top], ngram=list(self.ngram), stop_words=stop, lowercase=self.lowercase, documents=n,
         )
 
+    def _frequent(self, text, stop) -> list[str] | None:
+        """The words that a term of the vocabulary can hold: no n-gram occurs more often than each of its words, so words below
+        the ``max_features``-th count take no part. None where single words are no terms, or where too many words tie."""
+        lo, hi = self.ngram
+        if lo != 1 or hi == 1 or self.max_features > FREQUENT_WORDS:
+            return None
+        words = add_terms(text, self.text, "_terms", (1, 1), stop, self.lowercase)
+        counts = words.select(F.explode_outer("_terms").alias("term")).where("term is not null").groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+        found = counts.orderBy(F.desc("total")).limit(FREQUENT_WORDS + 1).collect()
+        if len(found) < self.max_features:
+            return [r.term for r in found]
+        found = [r for r in found if r.total >= found[self.max_features - 1].total]
+        return [r.term for r in found] if len(found) <= FREQUENT_WORDS else None
+
 
 class TfidfModel(Fitted):
     def vocabulary(self, spark) -> DataFrame:

@@ -162,6 +162,39 @@ def test_tfidf_row_values(spark):
     assert np.isclose(row[0].tfidf_features["cat"] / row[0].tfidf_features["sat"], 2 * rare / common)
 
 
+@pytest.mark.parametrize("most", [2_000, 8, 3])
+def test_bigrams_are_held_to_words_that_can_be_chosen(spark, monkeypatch, most):
+    """All bigrams went through the shuffle, though none can occur more often than its words. Ties and too many words included."""
+    from tablelearn.operators import tfidf
+
+    monkeypatch.setattr(tfidf, "FREQUENT_WORDS", most)
+    rng = np.random.default_rng(15)
+    texts = [" ".join(f"w{k}" for k in np.minimum(rng.geometric(0.25, rng.integers(0, 30)), 25)) for _ in range(50)] + ["", None, "once only"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, text string").repartition(3)
+    total, docs = {}, {}
+    for t in texts:
+        words = (t or "").split()
+        terms = words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+        for term in terms:
+            total[term] = total.get(term, 0) + 1
+        for term in set(terms):
+            docs[term] = docs.get(term, 0) + 1
+    for features in (2, 7, 30, 5_000):
+        op = TfidfVectorizer("text", features, ngram=(1, 2), stop_words="none")
+        m = op.fit(df)
+        want = sorted(sorted(total, key=lambda t: (-total[t], t))[:features])
+        assert m.terms == want and m.counts == [total[t] for t in want]
+        assert np.allclose(m.idf, [np.log((1 + len(texts)) / (1 + docs[t])) + 1 for t in want])
+        held = op._frequent(df.select("text"), None)
+        singles = sorted((n for t, n in total.items() if " " not in t), reverse=True)
+        if features == 7 and most == 2_000:
+            assert sorted(held) == sorted(t for t, n in total.items() if " " not in t and n >= singles[6])
+        if features > most:
+            assert held is None
+    with pytest.raises(ValueError, match="empty vocabulary"):
+        TfidfVectorizer("text", 5, ngram=(1, 2), stop_words="none").fit(df.where("text = ''"))
+
+
 def test_splits_and_folds_do_not_depend_on_layout(blobs):
     df, *_ = blobs
     train, test = train_test_split(df, "id", 0.25, stratify="label")
