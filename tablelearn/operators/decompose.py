@@ -108,7 +108,7 @@ class SparseTruncatedSVD(Operator):
 
     def _fit(self, df):
         require(df, [self.col])
-        rows = _sparse_rows(df, self.col)
+        rows = checkpointed(_sparse_rows(df, self.col))  # what makes the rows runs once, not once for every statistic
         n = rows.count()
         axes, sizes, rounds = leading_directions(rows, self.n_components, self.extra, self.seed, self.max_iter, self.tol)
         k = len(sizes)

@@ -156,9 +156,10 @@ def leading_directions(rows: DataFrame, k: int, extra: int = 10, seed: int = 42,
     """``rows`` (index, value) -> (table (col, v) of the leading right singular vectors, singular values, rounds).
 
     A random block of ``k + extra`` vectors, made from the column numbers by hash, is multiplied by rows' rows and made
-    orthonormal until the k lengths change by less than ``tol``. Fewer vectors come back where the rank is lower.
+    orthonormal until the k lengths change by less than ``tol``. Fewer vectors come back where the rank is lower. ``rows`` are
+    read in every round, so they should be a written table.
     """
-    rows = checkpointed(rows.select("index", "value"))
+    rows = rows.select("index", "value")
     entries = rows.withColumn("row", F.monotonically_increasing_id()).select("row", F.explode(F.arrays_zip("index", "value")).alias("e"))
     columns = checkpointed(entries.where("e.value <> 0").select(F.col("e.index").alias("col")).distinct())
     count = columns.count()

@@ -6,6 +6,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.linalg import SparseVector, Vectors
+from pyspark.sql import functions as F
 
 from tablelearn.core import load_fitted, save_fitted
 from tablelearn.operators import decompose
@@ -83,3 +84,16 @@ def test_hashed_tfidf_equals_plain_counts(spark):
         assert got[i] == pytest.approx({b: v / size for b, v in w.items()})
     unseen = model.transform(spark.createDataFrame([(0, "zebra")], df.schema)).first().tfidf_row
     assert place("zebra") in idf or unseen == {}
+
+
+def test_what_makes_the_sparse_rows_runs_once(spark):
+    """The rows were made anew for every statistic of the fit."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("map<long,double>")
+    def row(i):
+        made.add(1)
+        return {i % 7: 1.0, 50 + i % 3: 2.0}
+
+    SparseTruncatedSVD("m", 2).fit(spark.range(40).select(row("id").alias("m")))
+    assert made.value == 40

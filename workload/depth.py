@@ -9,6 +9,7 @@ from tablelearn.operators.kernel_machines import KernelSVC
 from tablelearn.operators.linear import LogisticRegression
 from tablelearn.operators.tfidf import HashedTfidf
 from tablelearn.operators.trees import DecisionTreeClassifier, DecisionTreeRegressor
+from tablelearn.plans.lineage import checkpointed
 from tablelearn.plans.monotone import curve_pieces, interpolated, monotone_pools
 
 from .base import F, query, r, spread, table
@@ -197,7 +198,7 @@ SELECT doc_id, round(coalesce(x, 0), 4) + 0.0 AS svd_component_1, (SELECT round(
 def _(spark, sf):
     """The first component of hashed TF-IDF rows with 262,144 columns."""
     docs = spread(table(spark, sf, "documents")).select("doc_id", "text")
-    rows = HashedTfidf("text").fit(docs).transform(docs).select("doc_id", "tfidf_row")
+    rows = checkpointed(HashedTfidf("text").fit(docs).transform(docs).select("doc_id", "tfidf_row"))
     out, m = SparseTruncatedSVD("tfidf_row", 1).fit_transform(rows)
     return out.select("doc_id", r(F.col("svd_features")[0], 4).alias("svd_component_1"), r(F.lit(m.singular_values[0]), 4).alias("s1"))
 
