@@ -18,20 +18,28 @@ from .lineage import checkpointed
 #: Rows of a block, and blocks of a slice that one task reads.
 DENSE_ROWS = 4_096
 SLICE_BLOCKS = 32
-LEFT_BLOCKS = 64
-#: Rows of a tile, whose distances to one block are held at once.
+LEFT_BLOCKS = 48
+#: Rows of a left block where little is kept per row: both blocks of a pair are handed to Python, so few large ones cost less.
+WIDE_LEFT_ROWS = 16_384
+#: Rows of a tile, whose distances to one block are held at once, and columns of the product that stay in a core's cache.
 TILE_ROWS = 512
+TILE_COLUMNS = 512
 #: Share of a tile's pairs that single precision may leave open before double precision is asked.
 OPEN_SHARE = 1 / 64
 FAR = np.iinfo(np.int64).max
 
 
 def packed(rows: DataFrame, key: str, numbers: dict[str, str], blocks: int) -> DataFrame:
-    """(block, x, ...): hash blocks of ``rows`` (x array, ...); ``numbers`` names the other columns and their numpy types."""
+    """(block, x, bytes, ...): hash blocks of ``rows`` (x array, ...); ``numbers`` names the other columns and their numpy types.
+    A block whose numbers single precision holds exactly has 4 ``bytes`` for each, others 8."""
 
     def pack(group, part):
         out = {"block": pa.array([group[0].as_py()], pa.int32())}
-        out["x"] = pa.array([part.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).tobytes()], pa.binary())
+        x = part.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
+        with np.errstate(over="ignore"):
+            short = x.astype(np.float32)
+        x = short if np.array_equal(short, x) else x
+        out["x"], out["bytes"] = pa.array([x.tobytes()], pa.binary()), pa.array([x.itemsize], pa.int32())
         for name, kind in numbers.items():
             if part.column(name).null_count:
                 raise ValueError(f"missing value in column {name}")
@@ -39,26 +47,27 @@ def packed(rows: DataFrame, key: str, numbers: dict[str, str], blocks: int) -> D
         return pa.table(out)
 
     block = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")
-    schema = "block int, x binary, " + ", ".join(f"{n} binary" for n in numbers)
+    schema = "block int, x binary, bytes int, " + ", ".join(f"{n} binary" for n in numbers)
     return rows.select("x", *numbers, block).groupBy("block").applyInArrow(pack, schema)
 
 
 def _read(batch, at: int, side: str, numbers: dict[str, str]) -> dict:
-    """The numbers of one packed block, without copying them."""
+    """The numbers of one packed block, copied only where they are sent in single precision."""
     out = {n: np.frombuffer(batch.column(f"{side}_{n}")[at].as_buffer(), dtype=kind) for n, kind in numbers.items()}
-    flat = np.frombuffer(batch.column(f"{side}_x")[at].as_buffer(), dtype=float)
-    out["x"] = flat.reshape(len(next(iter(out.values()))), -1)
+    kind = np.float32 if batch.column(f"{side}_bytes")[at].as_py() == 4 else float
+    flat = np.frombuffer(batch.column(f"{side}_x")[at].as_buffer(), dtype=kind)
+    out["x"] = flat.astype(float, copy=False).reshape(len(next(iter(out.values()))), -1)
     return out
 
 
 def block_pairs(left: DataFrame, key: str, left_numbers: dict, right: DataFrame, right_key: str, right_numbers: dict, state, schema: str,
-                block_rows: int = DENSE_ROWS) -> DataFrame:
+                block_rows: int = DENSE_ROWS, *, left_rows: int | None = None) -> DataFrame:
     """For every left block a ``state(block)`` that is given every right block by ``add`` and told by ``rows``.
 
     A left block is told once per slice of the right side, so the caller combines a few results per row.
     """
     n_left, n_right = left.count(), right.count()
-    size = min(block_rows, max(TILE_ROWS, math.ceil(n_left / LEFT_BLOCKS)))
+    size = min(left_rows or block_rows, max(TILE_ROWS, math.ceil(n_left / LEFT_BLOCKS)))
     n_blocks, r_blocks = max(1, math.ceil(n_left / size)), max(1, math.ceil(n_right / block_rows))
     slices = math.ceil(r_blocks / SLICE_BLOCKS)
     named = lambda df, side: df.select(*[F.col(c).alias(f"{side}_{c}") for c in df.columns])
@@ -103,7 +112,25 @@ def squares(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, float]:
 
 def by_product(a: np.ndarray, b: np.ndarray, metric: str) -> bool:
     """Whether :func:`squares` can decide most pairs."""
-    return metric == "euclidean" and a.shape[1] > 3 and bool(np.isfinite(a).all() and np.isfinite(b).all()) and max(np.abs(a).max(), np.abs(b).max()) < 1e150
+    return metric == "euclidean" and a.shape[1] > 3 and _moderate(a) and _moderate(b)
+
+
+def _moderate(a: np.ndarray) -> bool:
+    return bool(max(a.max(), -a.min()) < 1e150)  # NaN is not
+
+
+def nearest_row(a: np.ndarray, b: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """(place in ``b``, distance) of a nearest row of ``b`` for every row of ``a``. In many columns a matrix product picks it, so of
+    rows that are equally near up to rounding any may be taken; the distance is that of the row taken."""
+    from .neighbors import distances
+
+    at = np.arange(len(a))
+    if not len(a) or not by_product(a, b, metric):
+        d = distances(a, b, metric)
+        found = d.argmin(axis=1)
+        return found, d[at, found]
+    found = squares(a, b)[0].argmin(axis=1)
+    return found, lengths(a, b, at, found)
 
 
 def within(a: np.ndarray, b: np.ndarray, metric: str, eps: float) -> np.ndarray:
@@ -122,6 +149,16 @@ def within(a: np.ndarray, b: np.ndarray, metric: str, eps: float) -> np.ndarray:
     return near
 
 
+def marked(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) of the few places that are true, looked for in groups of eight."""
+    flat = near.ravel()
+    if flat.size % 8:
+        return np.nonzero(near)
+    groups = np.flatnonzero(flat.view(np.uint64) != 0)
+    group, place = np.nonzero(flat.reshape(-1, 8)[groups])
+    return np.divmod(groups[group] * 8 + place, near.shape[1])
+
+
 def tiles(n: int):
     return (slice(s, s + TILE_ROWS) for s in range(0, n, TILE_ROWS))
 
@@ -153,7 +190,7 @@ class Nearest:
     def __init__(self, block, k: int, metric: str):
         self.q, self.x, self.k, self.metric = block["q"], block["x"], k, metric
         self.row, self.id, self.d = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        self.bound = np.full(len(self.q), np.inf)
+        self.bound, self.seen = np.full(len(self.q), np.inf), 0
         self.rough = Rough(self.x) if len(self.x) and by_product(self.x, self.x, metric) else None
 
     def _limit(self, g, limit, off):
@@ -164,11 +201,19 @@ class Nearest:
 
     def _roughly(self, s, factor, off):
         """Pairs of the tile that single precision leaves open; none where these are many."""
-        g = self.rough.left[s] @ factor
+        left, n = self.rough.left[s], factor.shape[1]
         bound = self.bound[s]
-        limit = self._limit(g, bound * bound * (1 + 1e-12) + off - self.rough.own[s], off)
-        near = np.flatnonzero(g <= np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None])
-        return np.divmod(near, g.shape[1]) if len(near) <= max(OPEN_SHARE * g.size, 4 * self.k * len(g)) else None
+        limit = bound * bound * (1 + 1e-12) + off - self.rough.own[s]
+        found, most = [], max(OPEN_SHARE * len(left) * n, 4 * self.k * len(left))
+        for start in range(0, n, TILE_COLUMNS):
+            g = left @ factor[:, start:start + TILE_COLUMNS]
+            limit = self._limit(g, limit, off)
+            i, j = marked(g <= np.nextafter(limit.astype(np.float32), np.float32(np.inf))[:, None])
+            most -= len(i)
+            if most < 0:
+                return None
+            found.append((i, j + start))
+        return tuple(np.concatenate(c) for c in zip(*found))
 
     def _near(self, s, x, product, rough):
         """(row of the tile, row of x, distance) of the pairs that can be among the k nearest."""
@@ -186,22 +231,31 @@ class Nearest:
         return *found, lengths(a, x, *found)
 
     def add(self, t):
-        if not len(t["id"]):
-            return
-        found = [(self.row, self.id, self.d)]
-        order = np.argsort(t["id"], kind="stable")
-        ids, x = t["id"][order], t["x"][order]
-        product = self.rough is not None and by_product(self.x, x, self.metric)
+        start = 0
+        while start < len(t["id"]):  # the rows seen bound as many others
+            end = start + max(TILE_COLUMNS, self.seen)
+            self._add(t["id"][start:end], t["x"][start:end])
+            start, self.seen = end, self.seen + end - start
+
+    def _add(self, ids, x):
+        product = self.rough is not None and _moderate(x)
         rough = self.rough.right(x) if product else None
+        found = []
         for s in tiles(len(self.q)):
             i, j, d = self._near(s, x, product, rough)
             found.append((i + s.start, ids[j], d))
-        row, key, d = (np.concatenate(c) for c in zip(*found))
+        met = np.zeros(len(self.q), bool)
+        for row, _, _ in found:
+            met[row] = True
+        old = met[self.row]
+        row, key, d = (np.concatenate(c) for c in zip((self.row[old], self.id[old], self.d[old]), *found))
         order = np.lexsort((key, d, row))
         row, key, d = row[order], key[order], d[order]
         place = np.arange(len(row)) - np.searchsorted(row, row)
-        self.row, self.id, self.d = row[place < self.k], key[place < self.k], d[place < self.k]
-        last = place == self.k - 1
+        keep, last = place < self.k, place == self.k - 1
+        both = [np.concatenate([was[~old], now[keep]]) for was, now in ((self.row, row), (self.id, key), (self.d, d))]
+        order = np.argsort(both[0], kind="stable")
+        self.row, self.id, self.d = (c[order] for c in both)
         self.bound[row[last]] = np.where(np.isnan(d[last]), np.inf, d[last])
 
     def rows(self):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
 from ..functions.columns import feature_array, require
-from .blocks import DENSE_ROWS, ClusterSums, Forest, Least, Nearest, Weight, block_pairs, within
+from .blocks import DENSE_ROWS, WIDE_LEFT_ROWS, ClusterSums, Forest, Least, Nearest, Weight, block_pairs, nearest_row, within
 from .boxes import Boxes, search
 from .lineage import checkpointed
 from .sums import lists_to_matrix
@@ -116,9 +116,8 @@ class PivotCells:
 
         def assign(batches):
             for batch in pieces(batches):
-                d = distances(lists_to_matrix(batch.column(at)), pivots, metric)
-                cell = d.argmin(axis=1)
-                cols = list(batch.columns) + [pa.array(cell.astype(np.int32)), pa.array(d[np.arange(len(cell)), cell])]
+                cell, r = nearest_row(lists_to_matrix(batch.column(at)), pivots, metric)
+                cols = list(batch.columns) + [pa.array(cell.astype(np.int32)), pa.array(r)]
                 yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "cell", "r"])
 
         return rows.mapInArrow(assign, schema)
@@ -209,13 +208,14 @@ def knn(train: DataFrame, queries: DataFrame, k: int, metric: str, block_rows: i
     """
     inner = internal_metric(metric)
     copies = Window.partitionBy("x").orderBy("id")
-    unique = train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c")
+    unique = checkpointed(train.withColumn("_c", F.row_number().over(copies)).where(F.col("_c") <= k).drop("_c"))
     cells = PivotCells(unique, "id", inner, block_rows or nearest_block_rows(train))
     asking = queries.select(F.col("id").alias("q"), "x")
     w = Window.partitionBy("query").orderBy("d", "neighbor")
     if _crowded_nearest(cells, asking, k):
         state = lambda block: Nearest(block, k, inner)
-        found = block_pairs(checkpointed(asking), "q", {"q": "int64"}, cells.rows, "id", {"id": "int64"}, state, "query long, neighbor long, d double")
+        found = block_pairs(checkpointed(asking), "q", {"q": "int64"}, cells.rows, "id", {"id": "int64"}, state, "query long, neighbor long, d double",
+                            left_rows=WIDE_LEFT_ROWS)
     else:
         first = checkpointed(_nearest_at_home(cells, asking, k))
         found = first.select(F.col("q").alias("query"), F.inline("near"))
