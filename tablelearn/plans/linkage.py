@@ -17,6 +17,13 @@ from .sums import lists_to_matrix
 #: Clusters that one task merges to the end; more go through another round.
 FINISH_CLUSTERS = 2_048
 KINDS = ("ward", "average_squared")
+#: Most columns of clusters that are merged inside their cells first, and pivots whose borders are looked at one by one.
+LOCAL_COLUMNS = 3
+BORDER_PIVOTS = 32
+#: Cells above so many blocks leave their clusters to the rounds over all cells; so do passes that merge less than a quarter.
+LOCAL_BLOCKS = 4
+#: Steps of one round.
+ROUND_STEPS = 1 << 32
 _FIELDS = "key long, x array<double>, n double, s double"
 
 
@@ -120,6 +127,93 @@ class _Clusters(PivotCells):
         return found.groupBy("key").agg(F.min(F.struct("h", "other")).alias("b")).select("key", "b.h", "b.other")
 
 
+def _borders(pivots: np.ndarray, cell: int):
+    """A function that gives a lower bound of the distance from points of a cell to all points of other cells."""
+    here = pivots[cell]
+    away = distances(here[None, :], pivots, "euclidean")[0]
+    order = np.argsort(away, kind="stable")
+    order = order[order != cell]
+    near, rest = pivots[order[:BORDER_PIVOTS]], away[order[BORDER_PIVOTS:]]
+
+    def border(x):
+        own = distances(x, here[None, :], "euclidean")
+        out = np.full(len(x), np.inf)
+        if len(near):  # the planes half way to the nearest pivots
+            d = distances(x, near, "euclidean")
+            out = (((d - own) * (d + own) / (2 * away[order[:BORDER_PIVOTS]])) - 1e-9 * (d + own)).min(axis=1)
+        if len(rest):  # all others are at least as far away as the next one
+            out = np.minimum(out, rest[0] / 2 - own[:, 0] * (1 + 1e-9))
+        return np.maximum(out * (1 - 1e-9), 0.0)
+
+    return border
+
+
+def merge_inside(x: np.ndarray, n: np.ndarray, s: np.ndarray, keys: np.ndarray, kind: str, border):
+    """((centres, sizes, spreads, keys) of the clusters left, [(a, b, h, round)]): the clusters of one cell merged for as long as
+    reciprocal nearest ones are nearer than anything outside the cell can be. Heights never fall by merges of others, so these
+    are reciprocal nearest ones among all clusters, whatever the other cells do."""
+    order = np.argsort(keys)
+    x, n, s, keys, found, turn = x[order], n[order], s[order], keys[order], [], 0
+    while len(keys) > 1:
+        target = Boxes(x)
+        few, tight = np.minimum.reduceat(n[target.order], target.starts), np.minimum.reduceat(s[target.order], target.starts)
+
+        def least(rows):
+            gap = target.gaps(x[rows], "euclidean")
+            return height(kind, gap * gap, n[rows, None], s[rows, None], few, tight) * (1 - 1e-9)
+
+        def exact(rows, at):
+            there = target.order[at]
+            gap = distances(x[rows], x[there], "euclidean")
+            h = height(kind, gap * gap, n[rows, None], s[rows, None], n[there], s[there])
+            h[rows[:, None] == there] = np.inf
+            return h
+
+        edge = border(x)
+        outside = height(kind, edge * edge, n, s, 1.0, 0.0)
+        row, at, h = search(x, outside, keys[target.order], target, 1, least, exact)
+        near, low = np.arange(len(x)), np.full(len(x), np.inf)
+        near[row], low[row] = target.order[at], h
+        a = np.flatnonzero((near[near] == np.arange(len(x))) & (near > np.arange(len(x))) & (low < outside) & (low[near] < outside[near]))
+        if not len(a):
+            break
+        b = near[a]
+        found.append((keys[a], keys[b], low[a], np.full(len(a), turn)))
+        x[a], n[a], s[a] = joined(x[a], n[a], s[a], x[b], n[b], s[b])
+        keep = np.ones(len(x), bool)
+        keep[b] = False
+        x, n, s, keys, turn = x[keep], n[keep], s[keep], keys[keep], turn + 1
+        if len(a) < len(keys) // 100:
+            break
+    return (x, n, s, keys), found
+
+
+def merged_inside(clusters: DataFrame, kind: str, block_rows: int, turn: int) -> tuple[DataFrame, DataFrame]:
+    """(clusters left, merges) after :func:`merge_inside` in every cell; full cells stay as they are."""
+    cells = PivotCells(clusters, "key", "euclidean", block_rows)
+    pivots, full = cells.pivots, set(np.flatnonzero(cells.count > LOCAL_BLOCKS * block_rows).tolist())
+
+    def work(group, part):
+        cell = group[0].as_py()
+        left, found = (_matrix(part).copy(), *(_ints(part, c).copy() for c in ("n", "s", "key"))), []
+        if cell not in full:
+            left, found = merge_inside(*left, kind, _borders(pivots, cell))
+        x, n, s, keys = left
+        m = sum(len(f[0]) for f in found)
+        pad = lambda v, t: pa.concat_arrays([pa.nulls(len(keys), t), pa.array(np.concatenate([f[v] for f in found]), t)]) if m else pa.nulls(len(keys), t)
+        lists = pa.ListArray.from_arrays(np.arange(len(keys) + 1, dtype=np.int32) * x.shape[1], pa.array(x.ravel()))
+        return pa.table({
+            "key": pa.concat_arrays([pa.array(keys), pa.nulls(m, pa.int64())]), "x": pa.concat_arrays([lists, pa.nulls(m, lists.type)]),
+            "n": pa.concat_arrays([pa.array(n), pa.nulls(m, pa.float64())]), "s": pa.concat_arrays([pa.array(s), pa.nulls(m, pa.float64())]),
+            "a": pad(0, pa.int64()), "b": pad(1, pa.int64()), "h": pad(2, pa.float64()), "step": pad(3, pa.int64()),
+        })
+
+    tasks = min(len(pivots), 4 * clusters.sparkSession.sparkContext.defaultParallelism)  # few bytes, much work
+    both = checkpointed(cells.rows.drop("r").repartition(tasks, "cell").groupBy("cell").applyInArrow(work, f"{_FIELDS}, a long, b long, h double, step long"))
+    found = both.where("a is not null").select("a", "b", "h", (F.col("step") + turn * ROUND_STEPS).alias("step"))
+    return both.where("key is not null").select("key", "x", "n", "s"), found
+
+
 def chain_merges(x: np.ndarray, n: np.ndarray, s: np.ndarray, keys: np.ndarray, kind: str) -> list[tuple[int, int, float]]:
     """All merges (a, b, height) of a bounded set of clusters by a chain of nearest neighbours; a cluster keeps the smaller
     key. Memory is a few vectors, not a matrix."""
@@ -154,30 +248,39 @@ def merges(points: DataFrame, kind: str, finish: int = FINISH_CLUSTERS, block_ro
     """``points`` (key, x, w: copies) -> (a, b, h, step): the merges that lead to one cluster, named by their smallest keys;
     ``step`` rises from a merge to those that build on it.
 
-    A cluster is its centre, size and spread. In each round every cluster looks for its nearest one in the cells that can
-    hold it, and all reciprocal pairs merge; at least the closest pair does. Once ``finish`` clusters are left, one task
+    A cluster is its centre, size and spread. In few columns the clusters of a cell first merge among themselves as far as
+    the cell's borders allow, then among those of other cells. Where that does not merge many, every cluster looks for its
+    nearest one in the cells that can hold it, and all reciprocal pairs merge; at least the closest pair does. Once ``finish`` clusters are left, one task
     merges them, whatever the number of rows was.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
     clusters = checkpointed(points.select("key", "x", F.col("w").cast("double").alias("n"), F.lit(0.0).alias("s")))
     block_rows = block_rows or nearest_block_rows(clusters)
-    done, turn = [], 0
-    while clusters.count() > finish:
+    left, done, turn = clusters.count(), [], 0
+    first = clusters.select("x").first()
+    local = first is not None and len(first.x) <= LOCAL_COLUMNS
+    while left > finish:
+        if local:
+            clusters, found = merged_inside(clusters, kind, block_rows, turn)
+            done.append(found)
+            before, left, turn = left, clusters.count(), turn + 1
+            if left <= finish or left <= 0.75 * before:
+                continue
         near = checkpointed(_Clusters(clusters, kind, block_rows).nearest())
         back = near.select(F.col("key").alias("other"), F.col("other").alias("key"))
         pairs = checkpointed(near.join(back, ["key", "other"]).where("key < other").select(F.col("key").alias("a"), F.col("other").alias("b"), "h"))
-        done.append(pairs.withColumn("step", F.lit(turn).cast("long")))
+        done.append(pairs.withColumn("step", F.lit(turn * ROUND_STEPS).cast("long")))
         gone = pairs.select(F.col("b").alias("key"), F.col("a").alias("to")).unionByName(pairs.select(F.col("a").alias("key"), F.col("a").alias("to")))
         tagged = clusters.join(gone, "key", "left").withColumn("to", F.coalesce("to", "key"))
         both = tagged.groupBy("to").agg(F.sort_array(F.collect_list(F.struct("key", "x", "n", "s"))).alias("c"))  # one or two
         clusters = checkpointed(both.select(F.col("to").alias("key"), *_merged(F.col("c"))))
-        turn += 1
+        left, turn = clusters.count(), turn + 1
 
     def finish_all(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("key")
         found = chain_merges(np.stack(part["x"].to_numpy()), part["n"].to_numpy(), part["s"].to_numpy(), part["key"].to_numpy(), kind)
-        return pd.DataFrame({"a": [f[0] for f in found], "b": [f[1] for f in found], "h": [f[2] for f in found], "step": np.arange(len(found)) + turn}).astype({"a": "int64", "b": "int64", "h": "float64", "step": "int64"})
+        return pd.DataFrame({"a": [f[0] for f in found], "b": [f[1] for f in found], "h": [f[2] for f in found], "step": np.arange(len(found)) + turn * ROUND_STEPS}).astype({"a": "int64", "b": "int64", "h": "float64", "step": "int64"})
 
     done.append(clusters.withColumn("one", F.lit(1)).groupBy("one").applyInPandas(finish_all, "a long, b long, h double, step long"))
     out = done[0]

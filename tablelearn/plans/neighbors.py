@@ -183,7 +183,8 @@ class PivotCells:
         ]
         if not blocks:
             return self.spark.createDataFrame([], schema)
-        table = F.broadcast(self.spark.createDataFrame(blocks, "cell int, nq int, nt int"))  # one row per pivot
+        table = pa.table([pa.array(c, pa.int32()) for c in zip(*blocks)], names=["cell", "nq", "nt"])
+        table = F.broadcast(self.spark.createDataFrame(table))  # one row per pivot; as Arrow it needs no job of Python workers
         slice_of = lambda key, n: F.pmod(F.xxhash64(key), F.col(n)).cast("int")
         every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
         left = left.join(table, "cell").withColumn("qb", slice_of(query_key, "nq")).withColumn("tb", every("nt")).drop("nq", "nt")
