@@ -47,6 +47,53 @@ def test_similar_vectors_empty(spark):
     assert [tuple(r) for r in only] == [(1, 0, 1, True)]
 
 
+def test_similar_vectors_sends_every_row_once(spark):
+    """However many cells a vector may have partners in, it is packed once and blocks stay small."""
+    x = np.random.default_rng(3).normal(size=(600, 24))
+    frame = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "name long, many long, vec array<double>").repartition(3)
+    pivots = metricjoin._unit(x[:20])
+    packed, blocks = metricjoin.packed_blocks(frame, pivots, np.sqrt(0.1), 25)
+    found = packed.collect()
+    names = [np.frombuffer(r["name"], np.int64) for r in found]
+    assert len(found) == blocks and sorted(np.concatenate(names)) == list(range(600))
+    assert sum(len(r["reaches"]) for r in found) > 10 * blocks  # before, a row was copied to so many cells
+    for r, n in zip(found, names):
+        assert np.allclose(np.frombuffer(r["x"], float).reshape(len(n), 24), x[n])
+        assert set((metricjoin._unit(x[n]) @ pivots.T).argmax(axis=1)) == {r["cell"]}
+
+
+@pytest.mark.parametrize("noise", [0.02, 0.2, 1.0])
+def test_links_of_two_blocks(noise):
+    """Few and very many links, more rows than a tile."""
+    rng = np.random.default_rng(8)
+    x = metricjoin._unit(np.repeat(rng.normal(size=(40, 9)), 33, axis=0) + noise * rng.normal(size=(1320, 9)))[rng.permutation(1320)]
+    names, many = rng.permutation(1320), rng.integers(1, 4, 1320)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    cut = [np.arange(700), np.arange(700, 1320)]
+    states = [metricjoin.Links({"x": x[c], "name": names[c], "many": many[c]}, 0.95) for c in cut]
+    told = [states[0].add({"x": x[cut[1]], "name": names[cut[1]], "many": many[cut[1]]}, np.arange(700), np.arange(620))]
+    for state in states:
+        state.within()
+        told.append(state.rows())
+    links, parent = dict.fromkeys(names.tolist(), 0), {n: n for n in names.tolist()}
+
+    def top(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for part in told:
+        for n, k, r in zip(*(c.to_pylist() for c in part.columns)):
+            links[n] += k
+            parent[max(top(n), top(r))] = min(top(n), top(r))
+    reached = near | np.eye(1320, dtype=bool)
+    while not np.array_equal(more := (reached.astype(np.float32) @ reached > 0), reached):
+        reached = more
+    for i, n in enumerate(names.tolist()):
+        assert links[n] == near[i] @ many and top(n) == names[reached[i]].min()
+
+
 def water(sizes, weights, most):
     """Share again and again what the full ones cannot take."""
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
