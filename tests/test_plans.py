@@ -11,7 +11,7 @@ from tablelearn.plans.moments import moments
 from tablelearn.plans.neighbors import knn, mean_silhouette, points
 from tablelearn.plans.quantiles import exact_quantiles
 from tablelearn.plans.ranking import running_total
-from tablelearn.plans import skew
+from tablelearn.plans import farfield, neighbors, skew
 
 
 def frame(spark, x, **extra):
@@ -144,6 +144,69 @@ def test_silhouette_blocks(spark):
     assert clustering_metrics(df.withColumn("one", F.lit(1)), cols, "one").first().error.startswith("need")
 
 
+def far_points(kind, rng, n):
+    if kind == "lines":
+        x = np.column_stack([rng.uniform(-1, 10, n), rng.integers(0, 25, n)])
+    elif kind == "tails":
+        x = rng.standard_cauchy((n, 2))
+    elif kind == "offset":
+        x = 1e7 + rng.normal(size=(n, 2))
+    elif kind == "one column":
+        x = rng.normal(size=(n, 1))
+    else:
+        x = rng.integers(0, 40, (n, 2)).astype(float)  # many copies
+    return x
+
+
+@pytest.mark.parametrize("kind", ["lines", "tails", "offset", "one column", "grid"])
+def test_silhouette_of_many_rows_without_all_pairs(spark, monkeypatch, kind):
+    monkeypatch.setattr(farfield, "LEAF_ROWS", 32)
+    rng = np.random.default_rng(6)
+    x = far_points(kind, rng, 3000)
+    label = (x[:, 0] > np.median(x[:, 0])).astype(int) + 2 * (rng.uniform(size=len(x)) < 0.1)
+    label[:1] = 9  # alone
+    df, cols = frame(spark, x, c=[int(v) for v in label])
+    dist = np.sqrt(sum((x[:, None, j] - x[None, :, j]) ** 2 for j in range(x.shape[1])))
+    codes, own = np.unique(label, return_inverse=True)
+    sums = np.stack([dist[:, own == c].sum(axis=1) for c in range(len(codes))], axis=1)
+    size, at = np.bincount(own).astype(float), np.arange(len(x))
+    a, far = sums[at, own] / np.maximum(size[own] - 1, 1), sums / size
+    far[at, own] = np.inf
+    b = far.min(axis=1)
+    want = np.where(size[own] == 1, 0.0, (b - a) / np.maximum(a, b)).mean()
+    with monkeypatch.context() as patch:
+        patch.setattr(neighbors, "block_pairs", None)
+        assert np.isclose(mean_silhouette(df, "id", cols, "c", far_rows=100), want, rtol=1e-10, atol=1e-12)
+    assert np.isclose(mean_silhouette(df, "id", cols, "c"), want, rtol=1e-10, atol=1e-12)
+
+
+@pytest.mark.parametrize("kind,share", [("lines", 0.15), ("tails", 0.5), ("one column", 0.1)])
+def test_far_sums_meet_every_leaf_once(kind, share):
+    rng = np.random.default_rng(7)
+    x, weights = far_points(kind, rng, 6000), rng.integers(1, 4, (6000, 2)).astype(float)
+    tree = farfield.Tree(x[::3], 10)
+    at, low, high, held = tree.find(x), {}, {}, {}
+    for leaf in tree.leaf:
+        mine = at == leaf
+        low[leaf], high[leaf] = x[mine].min(axis=0), x[mine].max(axis=0)
+        held[leaf] = farfield.moments(x[mine] - low[leaf], weights[mine], high[leaf] - low[leaf])
+    tree.fill(low, high, held)
+    assert set(at) == set(tree.leaf) and len(tree.leaf) > 150
+    target, source, way = tree.seen_from(tree.leaf)
+    assert (way == farfield.NEAR).sum() < share * len(tree.leaf) ** 2  # before, all of them
+
+    def under(node):
+        return [node] if tree.left[node] == node else under(tree.left[node]) + under(tree.right[node])
+
+    for leaf in tree.leaf[::20]:
+        seen = target == leaf
+        nodes, ways = source[seen], way[seen]
+        assert sorted(v for n in nodes for v in under(n)) == tree.leaf.tolist()
+        far = np.isin(at, [v for n in nodes[ways != farfield.NEAR] for v in under(n)])
+        want = np.sqrt(((x[at == leaf][:, None] - x[far][None]) ** 2).sum(axis=2)) @ weights[far]
+        assert np.allclose(tree.far_sums(x[at == leaf], leaf, nodes, ways), want, rtol=1e-11)
+
+
 def brute_merge(x, k, linkage):
     groups = [[i] for i in range(len(x))]
     dist = pairwise(x, "euclidean")
