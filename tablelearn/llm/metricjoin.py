@@ -174,7 +174,7 @@ def _joined(classes: DataFrame, total: int, threshold: float, reach: float, cell
 
 def packed_blocks(classes: DataFrame, pivots: np.ndarray, reach: float, block_rows: int) -> tuple[DataFrame, int]:
     """Every row (name, many, vec) once: hash blocks of its cell as bytes, with the cells that one of their rows may have a
-    partner in; and the number of blocks."""
+    partner in; and the number of blocks, some of which may be empty."""
     number, gaps, vec = len(pivots), _gaps(pivots), classes.schema["vec"].dataType.simpleString()
 
     def nearest(batch) -> np.ndarray:
@@ -186,9 +186,9 @@ def packed_blocks(classes: DataFrame, pivots: np.ndarray, reach: float, block_ro
             held += np.bincount(nearest(batch), minlength=number)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(number)), pa.array(held)], names=["cell", "n"])
 
-    cuts = np.zeros(number, np.int64)
+    cuts = np.ones(number, np.int64)  # at least one, as a row between equal pivots may be found in either
     for r in classes.select("vec").mapInArrow(tally, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():  # one row per pivot
-        cuts[r["cell"]] = -(-r["n"] // block_rows)
+        cuts[r["cell"]] = max(1, -(-r["n"] // block_rows))
     first = np.cumsum(cuts) - cuts
 
     def place(batches):
